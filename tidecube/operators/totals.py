@@ -38,11 +38,8 @@ def average_tenure(minutes: Column, count: Column) -> Column:
     return F.try_divide(minutes.cast("double"), count * F.lit(MINUTES_PER_YEAR))
 
 
-def hourly_metrics(totals: DataFrame, options: Options) -> DataFrame:
-    """Hourly columns per cell; ``totals`` is by DateHour."""
-    return totals.select(
-        "DateHour",
-        *options.dimension_names,
+def hourly_metrics_columns() -> list[Column]:
+    return [
         F.col("UU").alias("UUHourly"),
         F.col("TxCount").alias("TxCountHourly"),
         F.col("TxVolume").alias("TxVolumeHourly"),
@@ -50,7 +47,12 @@ def hourly_metrics(totals: DataFrame, options: Options) -> DataFrame:
         average_tenure(F.col("TenureMinutes"), F.col("TenureCount")).alias(
             "AvgTenureByYearHourly"
         ),
-    )
+    ]
+
+
+def hourly_metrics(totals: DataFrame, options: Options) -> DataFrame:
+    """Hourly columns per cell; ``totals`` is by DateHour."""
+    return totals.select("DateHour", *options.dimension_names, *hourly_metrics_columns())
 
 
 def running_totals(totals: DataFrame, periods: tuple[str, ...], options: Options) -> DataFrame:
@@ -70,19 +72,18 @@ def running_totals(totals: DataFrame, periods: tuple[str, ...], options: Options
     return out
 
 
+def running_count_columns(periods: tuple[str, ...]) -> list[Column]:
+    return [F.col(f"{m}{p}") for p in periods for m in ("TxCount", "TxVolume")]
+
+
 def running_counts(running: DataFrame, periods: tuple[str, ...], options: Options) -> DataFrame:
     """TxCount and TxVolume columns of ``running_totals``."""
     return running.select(
-        "DateHour",
-        *options.dimension_names,
-        *[f"{m}{p}" for p in periods for m in ("TxCount", "TxVolume")],
+        "DateHour", *options.dimension_names, *running_count_columns(periods)
     )
 
 
-def running_averages(
-    running: DataFrame, periods: tuple[str, ...], options: Options
-) -> DataFrame:
-    """AvgAge and AvgTenureByYear columns of ``running_totals``."""
+def running_average_columns(periods: tuple[str, ...], options: Options) -> list[Column]:
     columns = []
     for period in periods:
         source = period
@@ -96,4 +97,13 @@ def running_averages(
                 F.col(f"TenureMinutes{source}"), F.col(f"TenureCount{source}")
             ).alias(f"AvgTenureByYear{period}"),
         ]
-    return running.select("DateHour", *options.dimension_names, *columns)
+    return columns
+
+
+def running_averages(
+    running: DataFrame, periods: tuple[str, ...], options: Options
+) -> DataFrame:
+    """AvgAge and AvgTenureByYear columns of ``running_totals``."""
+    return running.select(
+        "DateHour", *options.dimension_names, *running_average_columns(periods, options)
+    )
