@@ -75,3 +75,12 @@ def period_start(period: str, ts: Column, launch: date | None = None) -> Column:
         return _first_of(ts, months)
     years_back = {"YTD": 0, "2YTD": 1, "3YTD": 2}[period]
     return F.make_date(F.year(ts) - years_back, F.lit(1), F.lit(1))
+
+
+def next_start(period: str, ts: Column) -> Column:
+    """First day after ``ts`` on which the period's start lies later than ``ts``."""
+    months = {"MTD": 1, "QTD": 3, "SemiYTD": 6}.get(period)
+    if months:
+        return F.add_months(_first_of(ts, months), months)
+    years_ahead = {"YTD": 1, "2YTD": 2, "3YTD": 3}[period]
+    return F.make_date(F.year(ts) + years_ahead, F.lit(1), F.lit(1))
