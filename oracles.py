@@ -319,3 +319,31 @@ compared AS (SELECT * FROM filled LEFT JOIN priors USING ({self.key}))"""
     def whole(self, where: str = "") -> str:
         columns = self.metrics() + self.contributions() + self.retained() + self.rates()
         return self.select(self.compared(), "compared", columns, where)
+
+
+def period_starts(launch: str) -> str:
+    """Period starts by the procedure's own offset arithmetic, for every order date."""
+    half = "make_date(year(d2), (month(d2) - 1) // {0} * {0} + 1, 1)"
+    return f"""
+WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS BaseDay FROM orders),
+offsets AS (
+  SELECT BaseDay, CASE WHEN day(BaseDay) = 1 THEN 2 ELSE 1 END AS m,
+    CASE WHEN year(BaseDay) <> year(BaseDay - 1) THEN 1 ELSE 0 END AS y FROM days),
+moved AS (
+  SELECT BaseDay, CAST(BaseDay - m AS DATE) AS d2, year(BaseDay - CAST(y AS INT)) AS yy,
+    CAST(BaseDay - to_months(CAST(m AS INT)) AS DATE) AS month_back FROM offsets)
+SELECT BaseDay, CAST(BaseDay - 1 AS DATE) AS StartDTH,
+  CAST(last_day(month_back) + 1 AS DATE) AS StartMTD, {half.format(2)} AS Start2MTD,
+  {half.format(3)} AS StartQTD, {half.format(6)} AS StartSemiYTD,
+  make_date(yy, 1, 1) AS StartYTD, make_date(yy - 1, 1, 1) AS Start2YTD,
+  make_date(yy - 2, 1, 1) AS Start3YTD, DATE '{launch}' AS StartFeatureLaunchedTD
+FROM moved"""
+
+
+def hour_spine() -> str:
+    return f"""
+WITH {ORDERS},
+bounds AS (SELECT min(CAST(CreatedAt AS DATE)) AS a, max(CAST(CreatedAt AS DATE)) AS b
+           FROM transactions)
+SELECT unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP) + INTERVAL 1 DAY,
+  INTERVAL 1 HOUR)) AS DateHour FROM bounds"""

@@ -2,6 +2,7 @@
 
 from tidecube.plans.backfill import backfill_cube
 from tidecube.plans.daily import daily_cube
+from tidecube.plans.job import run_day, run_range
 from tidecube.plans.options import Options
 from tidecube.plans.periods import Periods
 from tidecube.sources.inputs import Inputs, read_inputs
@@ -15,5 +16,7 @@ __all__ = [
     "daily_cube",
     "read_inputs",
     "read_slice",
+    "run_day",
+    "run_range",
     "write_days",
 ]
