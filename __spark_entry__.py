@@ -130,15 +130,15 @@ def customer_hour_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metrics(spark, sf_dir).select(*KEYS, *[contribution(p) for p in PAIRS])
+    return _metrics(spark, sf_dir).selectExpr(*KEYS, *[contribution(p) for p in PAIRS])
 
 
 def retained_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metrics(spark, sf_dir).select(*KEYS, *[retained(p, Options()) for p in PAIRS])
+    return _metrics(spark, sf_dir).selectExpr(*KEYS, *[retained(p, Options()) for p in PAIRS])
 
 
 def retention_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metrics(spark, sf_dir).select(*KEYS, *[retention_rate(p) for p in PAIRS])
+    return _metrics(spark, sf_dir).selectExpr(*KEYS, *[retention_rate(p) for p in PAIRS])
 
 
 def _day(base_day: date, options: Options = Options(), launch: date = ORDERS_LAUNCH):

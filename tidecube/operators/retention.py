@@ -1,40 +1,33 @@
-"""Contribution, retained users and retention rate of every period pair."""
+"""Contribution, retained users and retention rate of every period pair.
 
-from __future__ import annotations
+The columns are SQL expressions: there are 63 of them, all of one form.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from tidecube.plans.options import Options
 from tidecube.plans.periods import Pair
 
 
-def users(period: str) -> Column:
-    return F.col(f"UU{period}")
-
-
-def contribution(pair: Pair) -> Column:
+def contribution(pair: Pair) -> str:
     """Users the long period gained since the short one began."""
-    return (users(pair.long) - F.col(pair.key)).alias(pair.contribution)
+    return f"UU{pair.long} - {pair.key} AS {pair.contribution}"
 
 
-def _still_active(pair: Pair) -> Column:
-    return users(pair.short) - users(pair.long) + F.col(pair.key)
+def _still_active(pair: Pair, short: str) -> str:
+    return f"UU{short} - UU{pair.long} + {pair.key}"
 
 
-def retained(pair: Pair, options: Options) -> Column:
+def retained(pair: Pair, options: Options) -> str:
     """Users of the short period who already were in the long one before it began.
 
     As written, the two columns for 2YTD subtract from the 3YTD users.
     """
-    if pair.short == "2YTD" and options.retained_2ytd == "as_written":
-        value = users("3YTD") - users(pair.long) + F.col(pair.key)
-    else:
-        value = _still_active(pair)
-    return value.alias(pair.retained)
+    as_written = pair.short == "2YTD" and options.retained_2ytd == "as_written"
+    return f"{_still_active(pair, '3YTD' if as_written else pair.short)} AS {pair.retained}"
 
 
-def retention_rate(pair: Pair) -> Column:
+def retention_rate(pair: Pair) -> str:
     """Retained users as a share of those who could be; 0 when nobody could."""
-    share = F.try_divide(_still_active(pair).cast("double"), F.col(pair.key).cast("double"))
-    return F.coalesce(share, F.lit(0.0)).alias(pair.rate)
+    share = f"try_divide(CAST({_still_active(pair, pair.short)} AS DOUBLE), {pair.key})"
+    return f"coalesce({share}, 0.0D) AS {pair.rate}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecube.functions.dates import period_start
@@ -30,29 +30,26 @@ def hourly_totals(cube: DataFrame, options: Options, *by: str) -> DataFrame:
     )
 
 
-def average_age(days: Column, count: Column) -> Column:
-    return F.try_divide(days.cast("double"), count * F.lit(DAYS_PER_YEAR))
+def average_age(days: str, count: str) -> str:
+    return f"try_divide(CAST({days} AS DOUBLE), {count} * {DAYS_PER_YEAR}D)"
 
 
-def average_tenure(minutes: Column, count: Column) -> Column:
-    return F.try_divide(minutes.cast("double"), count * F.lit(MINUTES_PER_YEAR))
+def average_tenure(minutes: str, count: str) -> str:
+    return f"try_divide(CAST({minutes} AS DOUBLE), {count} * {MINUTES_PER_YEAR}D)"
 
 
-def hourly_metrics_columns() -> list[Column]:
-    return [
-        F.col("UU").alias("UUHourly"),
-        F.col("TxCount").alias("TxCountHourly"),
-        F.col("TxVolume").alias("TxVolumeHourly"),
-        average_age(F.col("AgeDays"), F.col("AgeCount")).alias("AvgAgeHourly"),
-        average_tenure(F.col("TenureMinutes"), F.col("TenureCount")).alias(
-            "AvgTenureByYearHourly"
-        ),
-    ]
+HOURLY_METRICS = (
+    "UU AS UUHourly",
+    "TxCount AS TxCountHourly",
+    "TxVolume AS TxVolumeHourly",
+    f"{average_age('AgeDays', 'AgeCount')} AS AvgAgeHourly",
+    f"{average_tenure('TenureMinutes', 'TenureCount')} AS AvgTenureByYearHourly",
+)
 
 
 def hourly_metrics(totals: DataFrame, options: Options) -> DataFrame:
     """Hourly columns per cell; ``totals`` is by DateHour."""
-    return totals.select("DateHour", *options.dimension_names, *hourly_metrics_columns())
+    return totals.selectExpr("DateHour", *options.dimension_names, *HOURLY_METRICS)
 
 
 def running_totals(totals: DataFrame, periods: tuple[str, ...], options: Options) -> DataFrame:
@@ -72,31 +69,29 @@ def running_totals(totals: DataFrame, periods: tuple[str, ...], options: Options
     return out
 
 
-def running_count_columns(periods: tuple[str, ...]) -> list[Column]:
-    return [F.col(f"{m}{p}") for p in periods for m in ("TxCount", "TxVolume")]
+def running_count_columns(periods: tuple[str, ...]) -> list[str]:
+    return [f"{m}{p}" for p in periods for m in ("TxCount", "TxVolume")]
 
 
 def running_counts(running: DataFrame, periods: tuple[str, ...], options: Options) -> DataFrame:
     """TxCount and TxVolume columns of ``running_totals``."""
-    return running.select(
-        "DateHour", *options.dimension_names, *running_count_columns(periods)
-    )
+    return running.select("DateHour", *options.dimension_names, *running_count_columns(periods))
+
+
+def average_source(period: str, options: Options) -> str:
+    """The period whose running sums give the averages of ``period``."""
+    if period == "DTH" and options.dth_average == "as_written":
+        return "MTD"
+    return period
 
 
-def running_average_columns(periods: tuple[str, ...], options: Options) -> list[Column]:
+def running_average_columns(periods: tuple[str, ...], options: Options) -> list[str]:
     columns = []
     for period in periods:
-        source = period
-        if period == "DTH" and options.dth_average == "as_written":
-            source = "MTD"
-        columns += [
-            average_age(F.col(f"AgeDays{source}"), F.col(f"AgeCount{source}")).alias(
-                f"AvgAge{period}"
-            ),
-            average_tenure(
-                F.col(f"TenureMinutes{source}"), F.col(f"TenureCount{source}")
-            ).alias(f"AvgTenureByYear{period}"),
-        ]
+        of = average_source(period, options)
+        age = average_age(f"AgeDays{of}", f"AgeCount{of}")
+        tenure = average_tenure(f"TenureMinutes{of}", f"TenureCount{of}")
+        columns += [f"{age} AS AvgAge{period}", f"{tenure} AS AvgTenureByYear{period}"]
     return columns
 
 
@@ -104,6 +99,6 @@ def running_averages(
     running: DataFrame, periods: tuple[str, ...], options: Options
 ) -> DataFrame:
     """AvgAge and AvgTenureByYear columns of ``running_totals``."""
-    return running.select(
+    return running.selectExpr(
         "DateHour", *options.dimension_names, *running_average_columns(periods, options)
     )

@@ -123,8 +123,3 @@ def activity_patterns(
     return cells.groupBy(*options.dimension_names, "Segments", "FirstHour").agg(
         F.count(F.lit(1)).alias("Customers")
     )
-
-
-def has_activity(bits: int) -> Column:
-    """True for patterns with activity in any of the segments ``bits``."""
-    return F.col("Segments").bitwiseAND(F.lit(bits)) != 0

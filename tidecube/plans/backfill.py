@@ -16,7 +16,7 @@ from tidecube.operators.cube import customer_hour_cube
 from tidecube.operators.dimensions import explode_levels
 from tidecube.operators.enrich import of_known_customers, payments, with_company
 from tidecube.operators.totals import ADDITIVE, average_age, average_tenure, hourly_totals
-from tidecube.plans.columns import published, running_metric_columns
+from tidecube.plans.columns import filled_metrics, prior_counts, published
 from tidecube.plans.options import Options
 from tidecube.plans.periods import LAUNCH, PAIRS, Periods
 from tidecube.sources.inputs import Inputs
@@ -231,19 +231,14 @@ def backfill_metrics(
         .agg(*[F.sum(v).alias(v) for v in values])
     )
     running = _running(_dense(increments, span, options), span, options)
-    zero = F.lit(0)
-    return running.filter("_reported").select(
+    return running.filter("_reported").selectExpr(
         "DateHour",
         *cell,
-        F.coalesce("UU", zero).alias("UUHourly"),
-        F.coalesce("TxCount", zero).alias("TxCountHourly"),
-        F.coalesce("TxVolume", zero).alias("TxVolumeHourly"),
-        average_age(F.col("AgeDays"), F.col("AgeCount")).alias("AvgAgeHourly"),
-        average_tenure(F.col("TenureMinutes"), F.col("TenureCount")).alias(
-            "AvgTenureByYearHourly"
-        ),
-        *running_metric_columns(span.periods, options),
-        *[F.nullif(F.col(p.key), zero).alias(p.key) for p in PAIRS],
+        *[f"coalesce({m}, 0) AS {m}Hourly" for m in ("UU", "TxCount", "TxVolume")],
+        f"{average_age('AgeDays', 'AgeCount')} AS AvgAgeHourly",
+        f"{average_tenure('TenureMinutes', 'TenureCount')} AS AvgTenureByYearHourly",
+        *filled_metrics(span.periods, options),
+        *prior_counts(),
     )
 
 

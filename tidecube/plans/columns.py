@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidecube.operators.retention import contribution, retained, retention_rate
+from tidecube.operators.totals import (
+    average_age,
+    average_source,
+    average_tenure,
+    running_count_columns,
+)
 from tidecube.plans.options import Options
-from tidecube.plans.periods import CALENDAR_PAIRS, LONG_PAIRS, TWO_MONTH
+from tidecube.plans.periods import CALENDAR_PAIRS, LONG_PAIRS, PAIRS, TWO_MONTH, Periods
 
 # Metrics in published order, without the period-pair columns.
 HOUR_AND_CALENDAR_METRICS = (
@@ -27,19 +32,13 @@ LONG_METRICS = ("UU2YTD", "UU3YTD", "UUFeatureLaunchedTD")
 TWO_MONTH_METRICS = ("UU", "TxCount", "TxVolume", "AvgAge", "AvgTenureByYear")
 
 
-def base_metrics(options: Options) -> list[str]:
-    """Every metric that is not derived from a period pair."""
-    extra = [f"{m}{TWO_MONTH}" for m in TWO_MONTH_METRICS] if options.two_month else []
-    return [*HOUR_AND_CALENDAR_METRICS, *LONG_METRICS, *extra]
-
-
 def published(cells: DataFrame, options: Options) -> DataFrame:
     """Derives the pair columns and puts everything in published order.
 
     The two-month metrics, when asked for, follow after the published columns.
     """
     extra = [f"{m}{TWO_MONTH}" for m in TWO_MONTH_METRICS] if options.two_month else []
-    return cells.select(
+    return cells.selectExpr(
         "DateHour",
         *options.dimension_names,
         *HOUR_AND_CALENDAR_METRICS,
@@ -54,26 +53,27 @@ def published(cells: DataFrame, options: Options) -> DataFrame:
     )
 
 
-def running_metric_columns(periods, options: Options) -> list:
+def filled_metrics(periods: Periods, options: Options) -> list[str]:
     """Filled running metrics from running sums named ``<measure><period>``.
 
     Inputs are NULL-free running sums on every hour, so an average is the running
     value at the last hour with activity; before any activity it is 0.
     """
-    from tidecube.operators.totals import average_age, average_tenure
-
-    columns = [F.col(f"UU{p}") for p in periods.names]
-    columns += [F.col(f"{m}{p}") for p in periods.calendar for m in ("TxCount", "TxVolume")]
+    columns = [f"UU{p}" for p in periods.names]
+    columns += running_count_columns(periods.calendar)
     for period in periods.calendar:
-        monthly_day = period == "DTH" and options.dth_average == "as_written"
-        source = "MTD" if monthly_day else period
-        for name, average, total, count in (
-            ("AvgAge", average_age, "AgeDays", "AgeCount"),
-            ("AvgTenureByYear", average_tenure, "TenureMinutes", "TenureCount"),
+        of = average_source(period, options)
+        for name, average in (
+            ("AvgAge", average_age(f"AgeDays{of}", f"AgeCount{of}")),
+            ("AvgTenureByYear", average_tenure(f"TenureMinutes{of}", f"TenureCount{of}")),
         ):
-            value = average(F.col(f"{total}{source}"), F.col(f"{count}{source}"))
-            if monthly_day:
+            if of != period:
                 # The day's value starts at its first activity, not at midnight.
-                value = F.when(F.col("UUDTH") > 0, value)
-            columns.append(F.coalesce(value, F.lit(0.0)).alias(f"{name}{period}"))
+                average = f"CASE WHEN UU{period} > 0 THEN {average} END"
+            columns.append(f"coalesce({average}, 0.0D) AS {name}{period}")
     return columns
+
+
+def prior_counts() -> list[str]:
+    """Prior counts with NULL, not 0, where nobody was there before."""
+    return [f"nullif({p.key}, 0) AS {p.key}" for p in PAIRS]

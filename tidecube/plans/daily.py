@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecube.functions.dates import midnight, plus_hours
+from tidecube.functions.dates import midnight
 from tidecube.operators.cube import customer_hour_cube
 from tidecube.operators.enrich import payments
 from tidecube.operators.totals import ADDITIVE, average_age, average_tenure, hourly_totals
-from tidecube.operators.users import activity_patterns, has_activity, pair_bits, period_bits
-from tidecube.plans.columns import published, running_metric_columns
+from tidecube.operators.users import activity_patterns, pair_bits, period_bits
+from tidecube.plans.columns import filled_metrics, prior_counts, published
 from tidecube.plans.options import Options
 from tidecube.plans.periods import PAIRS, Periods
 from tidecube.sources.inputs import Inputs
@@ -54,87 +54,88 @@ def day_users(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
     return patterns.withColumn("Slot", F.explode(slots))
 
 
-def day_metrics(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
-    """Every metric and prior-period count for each cell and hour of the day.
-
-    Totals and users are gathered by cell and slot, where slot -1 stands for all that
-    came before the day. Each row then holds until the cell's next row, so the hours
-    without activity are filled by repeating it, without a grid to join against.
-    """
+def _combined(totals: DataFrame, users: DataFrame, periods: Periods, options: Options) -> DataFrame:
+    """Increments per cell and slot, from totals and users in one pass."""
     cell = options.dimension_names
-    before = F.col("Slot") == BEFORE_DAY
     segments = periods.segments()
 
-    def in_period(period: str):
+    def in_period(period: str) -> str:
         """Rows of ``day_totals`` that fall into the period."""
         first = sum(1 for day in segments if day < periods.first_day(period))
-        return F.col("Segment") >= first
+        return f"Segment >= {first}"
 
-    def arrives(period: str):
-        """Patterns that enter the period's users in their slot."""
-        earlier = has_activity(period_bits(periods, period))
-        return F.when(before, earlier).otherwise(~earlier)
+    def had_activity(bits: int) -> str:
+        return f"(Segments & {bits}) != 0"
 
-    sums = [F.sum("UU").alias("UUHourly")]
-    sums += [F.sum(m).alias(f"{m}Hourly") for m in ADDITIVE]
-    sums += [
-        F.sum(F.when(in_period(p), F.col(m))).alias(f"{m}{p}")
+    sums = {f"{m}Hourly": m for m in ("UU", *ADDITIVE)}
+    sums |= {
+        f"{m}{p}": f"CASE WHEN {in_period(p)} THEN {m} END"
         for p in periods.calendar
         for m in ADDITIVE
-    ]
-    sums += [F.sum(F.when(arrives(p), F.col("Customers"))).alias(f"UU{p}") for p in periods.names]
-    sums += [
-        F.sum(
-            F.when(before & has_activity(pair_bits(periods, p.long, p.short)), F.col("Customers"))
-        ).alias(p.key)
-        for p in PAIRS
-    ]
-    totals = day_totals(inputs, periods, options)
-    users = day_users(inputs, periods, options)
-    rows = (
+    }
+    for p in periods.names:
+        # Users from before the day enter at slot -1, the day's new ones at their hour.
+        earlier = had_activity(period_bits(periods, p))
+        sums[f"UU{p}"] = f"CASE WHEN {earlier} = (Slot = {BEFORE_DAY}) THEN Customers END"
+    for p in PAIRS:
+        before = had_activity(pair_bits(periods, p.long, p.short))
+        sums[p.key] = f"CASE WHEN Slot = {BEFORE_DAY} AND {before} THEN Customers END"
+    return (
         totals.unionByName(users, allowMissingColumns=True)
         .repartition(*cell)
         .groupBy(*cell, "Slot")
-        .agg(*sums, F.max("Segment").alias("Segment"))
+        .agg(
+            *[F.expr(f"sum({value}) AS {name}") for name, value in sums.items()],
+            F.max("Segment").alias("Segment"),
+        )
     )
 
-    ordered = Window.partitionBy(*cell).orderBy("Slot")
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+def day_metrics(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
+    """Every metric and prior-period count for each cell and hour of the day.
+
+    Totals and users are gathered by cell and slot, where slot -1 stands for all that
+    came before the day. Each row then holds until the cell's next row, so the hours
+    without activity are filled by repeating it, without a grid to join against.
+    """
+    cell = ", ".join(options.dimension_names)
+    rows = _combined(
+        day_totals(inputs, periods, options),
+        day_users(inputs, periods, options),
+        periods,
+        options,
+    )
+    ordered = f"PARTITION BY {cell} ORDER BY Slot"
+    so_far = f"OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    whole = f"OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     running = [f"{m}{p}" for p in periods.calendar for m in ADDITIVE]
     running += [f"UU{p}" for p in periods.names]
-    filled = rows.select(
-        *cell,
+    filled = rows.selectExpr(
+        *options.dimension_names,
         "Slot",
         *[c for c in rows.columns if c.endswith("Hourly")],
-        *[F.coalesce(F.sum(c).over(so_far), F.lit(0)).alias(c) for c in running],
-        *[F.sum(p.key).over(so_far).alias(p.key) for p in PAIRS],
-        F.max("Segment").over(whole).alias("_this_year"),
-        F.coalesce(F.lead("Slot").over(ordered), F.lit(HOURS)).alias("_next"),
+        *[f"coalesce(sum({c}) {so_far}, 0) AS {c}" for c in running],
+        *[f"sum({p.key}) {so_far} AS {p.key}" for p in PAIRS],
+        f"max(Segment) {whole} AS _this_year",
+        f"coalesce(lead(Slot) OVER ({ordered}), {HOURS}) AS _next",
     )
     first = F.greatest("Slot", F.lit(0))
     hours = F.when(F.col("_next") > first, F.sequence(first, F.col("_next") - 1))
-    return (
-        filled.filter(F.col("_this_year").isNotNull())
-        .withColumn("_hour", F.explode(hours))
-        .withColumn("_active", F.col("_hour") == F.col("Slot"))
-    )
+    return filled.filter(F.col("_this_year").isNotNull()).withColumn("_hour", F.explode(hours))
 
 
-def hourly_columns() -> list:
+def _hourly_columns() -> list[str]:
     """Metrics of the hour itself: counts are 0 and averages NULL in a quiet hour."""
 
-    def of_hour(measure: str):
-        return F.when(F.col("_active"), F.col(f"{measure}Hourly"))
+    def of_hour(measure: str) -> str:
+        return f"CASE WHEN Slot = _hour THEN {measure}Hourly END"
 
+    age = average_age(of_hour("AgeDays"), f"({of_hour('AgeCount')})")
+    tenure = average_tenure(of_hour("TenureMinutes"), f"({of_hour('TenureCount')})")
     return [
-        F.coalesce(of_hour("UU"), F.lit(0)).alias("UUHourly"),
-        F.coalesce(of_hour("TxCount"), F.lit(0)).alias("TxCountHourly"),
-        F.coalesce(of_hour("TxVolume"), F.lit(0)).alias("TxVolumeHourly"),
-        average_age(of_hour("AgeDays"), of_hour("AgeCount")).alias("AvgAgeHourly"),
-        average_tenure(of_hour("TenureMinutes"), of_hour("TenureCount")).alias(
-            "AvgTenureByYearHourly"
-        ),
+        *[f"coalesce({of_hour(m)}, 0) AS {m}Hourly" for m in ("UU", "TxCount", "TxVolume")],
+        f"{age} AS AvgAgeHourly",
+        f"{tenure} AS AvgTenureByYearHourly",
     ]
 
 
@@ -143,13 +144,13 @@ def daily_metrics(
 ) -> DataFrame:
     """Filled metrics and prior-period counts of the day before ``base_day``."""
     periods = Periods(base_day, launch, options.two_month)
-    metrics = day_metrics(inputs, periods, options)
-    return metrics.select(
-        plus_hours(midnight(periods.day), F.col("_hour")).alias("DateHour"),
+    midnight_of_day = f"timestamp_ntz'{periods.day} 00:00:00'"
+    return day_metrics(inputs, periods, options).selectExpr(
+        f"{midnight_of_day} + make_dt_interval(0, _hour) AS DateHour",
         *options.dimension_names,
-        *hourly_columns(),
-        *running_metric_columns(periods, options),
-        *[F.nullif(F.col(p.key), F.lit(0)).alias(p.key) for p in PAIRS],
+        *_hourly_columns(),
+        *filled_metrics(periods, options),
+        *prior_counts(),
     )
 
 

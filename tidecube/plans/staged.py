@@ -74,16 +74,12 @@ class Stages:
         """Hourly metrics with running counts, volumes and averages."""
         keys = ["DateHour", *self.options.dimension_names]
         running, periods = self._running, self.periods.calendar
-        columns = [
-            c
-            for part in (
-                totals.hourly_metrics_columns(),
-                totals.running_count_columns(periods),
-                totals.running_average_columns(periods, self.options),
-            )
-            for c in part
-        ]
-        return running.select(*keys, *columns)
+        return running.selectExpr(
+            *keys,
+            *totals.HOURLY_METRICS,
+            *totals.running_count_columns(periods),
+            *totals.running_average_columns(periods, self.options),
+        )
 
     @cached_property
     def running_users(self) -> DataFrame:
