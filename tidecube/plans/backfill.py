@@ -16,7 +16,12 @@ from tidecube.operators.cube import customer_hour_cube
 from tidecube.operators.dimensions import explode_levels
 from tidecube.operators.enrich import of_known_customers, payments, with_company
 from tidecube.operators.totals import ADDITIVE, average_age, average_tenure, hourly_totals
-from tidecube.plans.columns import filled_metrics, prior_counts, published
+from tidecube.plans.columns import (
+    day_averages_as_written,
+    filled_averages,
+    prior_counts,
+    published,
+)
 from tidecube.plans.options import Options
 from tidecube.plans.periods import LAUNCH, PAIRS, Periods
 from tidecube.sources.inputs import Inputs
@@ -151,7 +156,7 @@ def range_users(inputs: Inputs, span: Range, options: Options) -> DataFrame:
     )
     return placed.groupBy(*options.dimension_names, "DateHour").agg(
         *[
-            F.sum(F.when(F.col("Metric") == i, F.col("Customers"))).alias(m)
+            F.expr(f"sum(CASE WHEN Metric = {i} THEN Customers END) AS {m}")
             for i, m in enumerate(span.metrics)
         ]
     )
@@ -191,28 +196,48 @@ def _dense(increments: DataFrame, span: Range, options: Options) -> DataFrame:
         *values,
     )
     return rows.groupBy(*cell, "DateHour").agg(
-        *[F.sum(F.when(F.col("_own"), F.col(v))).alias(v) for v in values],
+        *[F.expr(f"sum(CASE WHEN _own THEN {v} END) AS {v}") for v in values],
         F.bool_or(~F.col("_own")).alias("_reported"),
     )
 
 
-def _running(dense: DataFrame, span: Range, options: Options) -> DataFrame:
-    """Running sums of all increments over the periods they belong to."""
-    windows = {p: p for p in span.periods.calendar}
-    windows |= {"2YTD": "YTD", "3YTD": "YTD", LAUNCH: None}
+def _filled(dense: DataFrame, span: Range, options: Options) -> DataFrame:
+    """Runs all increments up over the periods they belong to.
 
-    def over(period: str):
-        keys = list(options.dimension_names)
-        if windows[period]:
-            keys.append(period_start(windows[period], F.col("DateHour")))
-        window = Window.partitionBy(*keys).orderBy("DateHour")
-        return window.rowsBetween(Window.unboundedPreceding, 0)
-
-    running = {f"{m}{p}": F.sum(m).over(over(p)) for p in span.periods.calendar for m in ADDITIVE}
-    running |= {f"UU{p}": F.sum(f"UU{p}").over(over(p)) for p in span.names}
-    priors = {p.key: F.sum(p.key).over(over(p.long)) for p in PAIRS}
-    filled = {name: F.coalesce(value, F.lit(0)) for name, value in running.items()}
-    return dense.withColumns(filled | priors)
+    One window per kind of period, all on the same partitioning. Each period's sums are
+    turned into its metrics right away, so rows stay narrow for the next window.
+    """
+    cell = options.dimension_names
+    rows = dense
+    for scope in (*span.periods.calendar, LAUNCH):
+        members = [scope, "2YTD", "3YTD"] if scope == "YTD" else [scope]
+        averaged = scope != LAUNCH and not (
+            scope == "DTH" and options.dth_average == "as_written"
+        )
+        measures = [] if scope == LAUNCH else list(ADDITIVE if averaged else ADDITIVE[:2])
+        sums = {f"{m}{scope}": m for m in measures} | {f"UU{p}": f"UU{p}" for p in members}
+        priors = [p.key for p in PAIRS if p.long in members]
+
+        keys = list(cell)
+        if scope != LAUNCH:
+            rows = rows.withColumn("_scope", period_start(scope, F.col("DateHour")))
+            keys.append("_scope")
+        frame = (
+            f"OVER (PARTITION BY {', '.join(keys)} ORDER BY DateHour "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        )
+        others = [c for c in rows.columns if c not in (*sums, *priors, "_scope")]
+        summed = rows.selectExpr(
+            *others,
+            *[f"coalesce(sum({value}) {frame}, 0) AS {name}" for name, value in sums.items()],
+            *[f"sum({key}) {frame} AS {key}" for key in priors],
+        )
+        spent = [f"{m}{scope}" for m in ADDITIVE[2:]]
+        rows = summed.selectExpr(
+            *[c for c in summed.columns if c not in spent],
+            *(filled_averages(scope) if averaged else []),
+        )
+    return rows
 
 
 def backfill_metrics(
@@ -228,17 +253,19 @@ def backfill_metrics(
     increments = (
         both.repartition(*cell)
         .groupBy(*cell, "DateHour")
-        .agg(*[F.sum(v).alias(v) for v in values])
+        .agg(*[F.expr(f"sum({v}) AS {v}") for v in values])
     )
-    running = _running(_dense(increments, span, options), span, options)
-    return running.filter("_reported").selectExpr(
-        "DateHour",
-        *cell,
+    filled = _filled(_dense(increments, span, options), span, options).filter("_reported")
+    priors = [p.key for p in PAIRS]
+    spent = {"UU", *ADDITIVE, *priors, "_reported"}
+    as_written = options.dth_average == "as_written"
+    return filled.selectExpr(
         *[f"coalesce({m}, 0) AS {m}Hourly" for m in ("UU", "TxCount", "TxVolume")],
         f"{average_age('AgeDays', 'AgeCount')} AS AvgAgeHourly",
         f"{average_tenure('TenureMinutes', 'TenureCount')} AS AvgTenureByYearHourly",
-        *filled_metrics(span.periods, options),
+        *[c for c in filled.columns if c not in spent],
         *prior_counts(),
+        *(day_averages_as_written() if as_written else []),
     )
 
 

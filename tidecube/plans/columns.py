@@ -5,14 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tidecube.operators.retention import contribution, retained, retention_rate
-from tidecube.operators.totals import (
-    average_age,
-    average_source,
-    average_tenure,
-    running_count_columns,
-)
+from tidecube.operators.totals import average_age, average_tenure
 from tidecube.plans.options import Options
-from tidecube.plans.periods import CALENDAR_PAIRS, LONG_PAIRS, PAIRS, TWO_MONTH, Periods
+from tidecube.plans.periods import CALENDAR_PAIRS, LONG_PAIRS, PAIRS, TWO_MONTH
 
 # Metrics in published order, without the period-pair columns.
 HOUR_AND_CALENDAR_METRICS = (
@@ -53,25 +48,22 @@ def published(cells: DataFrame, options: Options) -> DataFrame:
     )
 
 
-def filled_metrics(periods: Periods, options: Options) -> list[str]:
-    """Filled running metrics from running sums named ``<measure><period>``.
+def filled_averages(period: str) -> list[str]:
+    """Averages of one period from its running sums; 0 before anything was seen."""
+    age = average_age(f"AgeDays{period}", f"AgeCount{period}")
+    tenure = average_tenure(f"TenureMinutes{period}", f"TenureCount{period}")
+    return [
+        f"coalesce({age}, 0.0D) AS AvgAge{period}",
+        f"coalesce({tenure}, 0.0D) AS AvgTenureByYear{period}",
+    ]
 
-    Inputs are NULL-free running sums on every hour, so an average is the running
-    value at the last hour with activity; before any activity it is 0.
-    """
-    columns = [f"UU{p}" for p in periods.names]
-    columns += running_count_columns(periods.calendar)
-    for period in periods.calendar:
-        of = average_source(period, options)
-        for name, average in (
-            ("AvgAge", average_age(f"AgeDays{of}", f"AgeCount{of}")),
-            ("AvgTenureByYear", average_tenure(f"TenureMinutes{of}", f"TenureCount{of}")),
-        ):
-            if of != period:
-                # The day's value starts at its first activity, not at midnight.
-                average = f"CASE WHEN UU{period} > 0 THEN {average} END"
-            columns.append(f"coalesce({average}, 0.0D) AS {name}{period}")
-    return columns
+
+def day_averages_as_written() -> list[str]:
+    """The day's averages: the month's, from the day's first activity on."""
+    return [
+        f"CASE WHEN UUDTH > 0 THEN {m}MTD ELSE 0.0D END AS {m}DTH"
+        for m in ("AvgAge", "AvgTenureByYear")
+    ]
 
 
 def prior_counts() -> list[str]:

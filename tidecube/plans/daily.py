@@ -10,9 +10,20 @@ from pyspark.sql import functions as F
 from tidecube.functions.dates import midnight
 from tidecube.operators.cube import customer_hour_cube
 from tidecube.operators.enrich import payments
-from tidecube.operators.totals import ADDITIVE, average_age, average_tenure, hourly_totals
+from tidecube.operators.totals import (
+    ADDITIVE,
+    average_age,
+    average_tenure,
+    hourly_totals,
+    running_count_columns,
+)
 from tidecube.operators.users import activity_patterns, pair_bits, period_bits
-from tidecube.plans.columns import filled_metrics, prior_counts, published
+from tidecube.plans.columns import (
+    day_averages_as_written,
+    filled_averages,
+    prior_counts,
+    published,
+)
 from tidecube.plans.options import Options
 from tidecube.plans.periods import PAIRS, Periods
 from tidecube.sources.inputs import Inputs
@@ -91,12 +102,11 @@ def _combined(totals: DataFrame, users: DataFrame, periods: Periods, options: Op
     )
 
 
-def day_metrics(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
-    """Every metric and prior-period count for each cell and hour of the day.
+def day_slots(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
+    """Every running metric and prior count for each cell and slot with activity.
 
     Totals and users are gathered by cell and slot, where slot -1 stands for all that
-    came before the day. Each row then holds until the cell's next row, so the hours
-    without activity are filled by repeating it, without a grid to join against.
+    came before the day. ``_next`` is the cell's next slot.
     """
     cell = ", ".join(options.dimension_names)
     rows = _combined(
@@ -110,7 +120,7 @@ def day_metrics(inputs: Inputs, periods: Periods, options: Options) -> DataFrame
     whole = f"OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     running = [f"{m}{p}" for p in periods.calendar for m in ADDITIVE]
     running += [f"UU{p}" for p in periods.names]
-    filled = rows.selectExpr(
+    return rows.selectExpr(
         *options.dimension_names,
         "Slot",
         *[c for c in rows.columns if c.endswith("Hourly")],
@@ -118,39 +128,57 @@ def day_metrics(inputs: Inputs, periods: Periods, options: Options) -> DataFrame
         *[f"sum({p.key}) {so_far} AS {p.key}" for p in PAIRS],
         f"max(Segment) {whole} AS _this_year",
         f"coalesce(lead(Slot) OVER ({ordered}), {HOURS}) AS _next",
-    )
-    first = F.greatest("Slot", F.lit(0))
-    hours = F.when(F.col("_next") > first, F.sequence(first, F.col("_next") - 1))
-    return filled.filter(F.col("_this_year").isNotNull()).withColumn("_hour", F.explode(hours))
-
-
-def _hourly_columns() -> list[str]:
-    """Metrics of the hour itself: counts are 0 and averages NULL in a quiet hour."""
+    ).filter("_this_year IS NOT NULL")
 
-    def of_hour(measure: str) -> str:
-        return f"CASE WHEN Slot = _hour THEN {measure}Hourly END"
 
-    age = average_age(of_hour("AgeDays"), f"({of_hour('AgeCount')})")
-    tenure = average_tenure(of_hour("TenureMinutes"), f"({of_hour('TenureCount')})")
-    return [
-        *[f"coalesce({of_hour(m)}, 0) AS {m}Hourly" for m in ("UU", "TxCount", "TxVolume")],
-        f"{age} AS AvgAgeHourly",
-        f"{tenure} AS AvgTenureByYearHourly",
-    ]
+def _slot_metrics(periods: Periods, options: Options) -> list[str]:
+    """Running metrics of a slot; they hold until the next slot."""
+    metrics = [f"UU{p}" for p in periods.names] + running_count_columns(periods.calendar)
+    as_written = options.dth_average == "as_written"
+    for period in periods.calendar:
+        if period == "DTH" and as_written:
+            continue
+        metrics += filled_averages(period)
+    return metrics
 
 
 def daily_metrics(
     inputs: Inputs, base_day: date, launch: date, options: Options = Options()
 ) -> DataFrame:
-    """Filled metrics and prior-period counts of the day before ``base_day``."""
+    """Filled metrics and prior-period counts of the day before ``base_day``.
+
+    Each slot is repeated for the hours up to the cell's next slot, which fills the
+    hours without activity, with no grid to join against. Metrics of the hour itself
+    stay with the slot's own hour: in a quiet hour counts are 0 and averages NULL.
+    """
     periods = Periods(base_day, launch, options.two_month)
-    midnight_of_day = f"timestamp_ntz'{periods.day} 00:00:00'"
-    return day_metrics(inputs, periods, options).selectExpr(
-        f"{midnight_of_day} + make_dt_interval(0, _hour) AS DateHour",
-        *options.dimension_names,
-        *_hourly_columns(),
-        *filled_metrics(periods, options),
+    cell = options.dimension_names
+    slots = day_slots(inputs, periods, options).selectExpr(
+        *cell,
+        "Slot",
+        "UUHourly",
+        "TxCountHourly",
+        "TxVolumeHourly",
+        f"{average_age('AgeDaysHourly', 'AgeCountHourly')} AS AvgAgeHourly",
+        f"{average_tenure('TenureMinutesHourly', 'TenureCountHourly')} AS AvgTenureByYearHourly",
+        *_slot_metrics(periods, options),
         *prior_counts(),
+        "explode(sequence(greatest(Slot, 0), greatest(Slot, 0, _next - 1))) AS _hour",
+        "_next",
+    ).filter("_hour < _next")
+    own = "CASE WHEN _hour = Slot THEN {0} END"
+    hourly = {
+        **{m: f"coalesce({own.format(m)}, 0)" for m in ("UUHourly", "TxCountHourly", "TxVolumeHourly")},
+        **{m: own.format(m) for m in ("AvgAgeHourly", "AvgTenureByYearHourly")},
+    }
+    as_written = options.dth_average == "as_written"
+    finished = {*cell, "Slot", "_hour", "_next", *hourly}
+    return slots.selectExpr(
+        f"timestamp_ntz'{periods.day} 00:00:00' + make_dt_interval(0, _hour) AS DateHour",
+        *cell,
+        *[f"{value} AS {name}" for name, value in hourly.items()],
+        *[c for c in slots.columns if c not in finished],
+        *(day_averages_as_written() if as_written else []),
     )
 
 
