@@ -29,12 +29,6 @@ from tidecube.operators.enrich import (  # noqa: E402
     payments,
 )
 from tidecube.operators.frame import hour_spine as spine_between  # noqa: E402
-from tidecube.operators.retention import (  # noqa: E402
-    contribution,
-    retained,
-    retention_rate,
-)
-from tidecube.plans.daily import daily_metrics  # noqa: E402
 from tidecube.plans.periods import PAIRS  # noqa: E402
 from tidecube.plans.staged import Stages  # noqa: E402
 from tidecube.plans.staged import period_starts as starts_of  # noqa: E402
@@ -67,8 +61,14 @@ def _stages(spark: SparkSession, sf_dir: str) -> Stages:
     return Stages(orders_inputs(spark, sf_dir), BASE_DAY, ORDERS_LAUNCH)
 
 
-def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_metrics(orders_inputs(spark, sf_dir), BASE_DAY, ORDERS_LAUNCH)
+def _pairs(column: str) -> Callable[[SparkSession, str], DataFrame]:
+    """One family of period-pair columns of the day's cube."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cube = daily_cube(orders_inputs(spark, sf_dir), BASE_DAY, ORDERS_LAUNCH)
+        return cube.select(*KEYS, *[getattr(p, column) for p in PAIRS])
+
+    return query
 
 
 def _target_folder(spark: SparkSession, name: str) -> str:
@@ -129,18 +129,6 @@ def customer_hour_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metrics(spark, sf_dir).selectExpr(*KEYS, *[contribution(p) for p in PAIRS])
-
-
-def retained_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metrics(spark, sf_dir).selectExpr(*KEYS, *[retained(p, Options()) for p in PAIRS])
-
-
-def retention_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metrics(spark, sf_dir).selectExpr(*KEYS, *[retention_rate(p) for p in PAIRS])
-
-
 def _day(base_day: date, options: Options = Options(), launch: date = ORDERS_LAUNCH):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return daily_cube(orders_inputs(spark, sf_dir), base_day, launch, options)
@@ -199,9 +187,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "customer_attributes": customer_attributes,
         "customer_hour_cube": customer_hour_cube,
         **{name: stage(name) for name in staged},
-        "contribution": contributions,
-        "retained": retained_users,
-        "retention_rate": retention_rates,
+        "contribution": _pairs("contribution"),
+        "retained": _pairs("retained"),
+        "retention_rate": _pairs("rate"),
         "todate_cube_day": _day(BASE_DAY),
         "todate_cube_staged": stage("published"),
         **{f"todate_cube_{name}": _day(day) for name, day in EDGE_BASE_DAYS.items()},

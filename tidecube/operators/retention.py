@@ -31,3 +31,7 @@ def retention_rate(pair: Pair) -> str:
     """Retained users as a share of those who could be; 0 when nobody could."""
     share = f"try_divide(CAST({_still_active(pair, pair.short)} AS DOUBLE), {pair.key})"
     return f"coalesce({share}, 0.0D) AS {pair.rate}"
+
+
+def pair_columns(pair: Pair, options: Options) -> list[str]:
+    return [contribution(pair), retained(pair, options), retention_rate(pair)]

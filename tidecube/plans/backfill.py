@@ -15,13 +15,9 @@ from tidecube.functions.dates import NTZ, date_hour, midnight, next_start, perio
 from tidecube.operators.cube import customer_hour_cube
 from tidecube.operators.dimensions import explode_levels
 from tidecube.operators.enrich import of_known_customers, payments, with_company
+from tidecube.operators.retention import pair_columns
 from tidecube.operators.totals import ADDITIVE, average_age, average_tenure, hourly_totals
-from tidecube.plans.columns import (
-    day_averages_as_written,
-    filled_averages,
-    prior_counts,
-    published,
-)
+from tidecube.plans.columns import day_averages_as_written, filled_averages, published
 from tidecube.plans.options import Options
 from tidecube.plans.periods import LAUNCH, PAIRS, Periods
 from tidecube.sources.inputs import Inputs
@@ -216,7 +212,8 @@ def _filled(dense: DataFrame, span: Range, options: Options) -> DataFrame:
         )
         measures = [] if scope == LAUNCH else list(ADDITIVE if averaged else ADDITIVE[:2])
         sums = {f"{m}{scope}": m for m in measures} | {f"UU{p}": f"UU{p}" for p in members}
-        priors = [p.key for p in PAIRS if p.long in members]
+        pairs = [p for p in PAIRS if p.long in members]
+        priors = [p.key for p in pairs]
 
         keys = list(cell)
         if scope != LAUNCH:
@@ -230,20 +227,21 @@ def _filled(dense: DataFrame, span: Range, options: Options) -> DataFrame:
         summed = rows.selectExpr(
             *others,
             *[f"coalesce(sum({value}) {frame}, 0) AS {name}" for name, value in sums.items()],
-            *[f"sum({key}) {frame} AS {key}" for key in priors],
+            *[f"nullif(sum({key}) {frame}, 0) AS {key}" for key in priors],
         )
-        spent = [f"{m}{scope}" for m in ADDITIVE[2:]]
+        spent = [*priors, *[f"{m}{scope}" for m in ADDITIVE[2:]]]
         rows = summed.selectExpr(
             *[c for c in summed.columns if c not in spent],
             *(filled_averages(scope) if averaged else []),
+            *[column for p in pairs for column in pair_columns(p, options)],
         )
     return rows
 
 
-def backfill_metrics(
+def backfill_cube(
     inputs: Inputs, first: date, last: date, launch: date, options: Options = Options()
 ) -> DataFrame:
-    """Filled metrics and prior-period counts for each reported hour and active cell."""
+    """The published columns for every reported day from ``first`` to ``last``."""
     span = Range(first, last, launch, options)
     totals = range_totals(inputs, span, options)
     users = range_users(inputs, span, options)
@@ -256,21 +254,12 @@ def backfill_metrics(
         .agg(*[F.expr(f"sum({v}) AS {v}") for v in values])
     )
     filled = _filled(_dense(increments, span, options), span, options).filter("_reported")
-    priors = [p.key for p in PAIRS]
-    spent = {"UU", *ADDITIVE, *priors, "_reported"}
-    as_written = options.dth_average == "as_written"
-    return filled.selectExpr(
+    spent = {"UU", *ADDITIVE, "_reported"}
+    cells = filled.selectExpr(
         *[f"coalesce({m}, 0) AS {m}Hourly" for m in ("UU", "TxCount", "TxVolume")],
         f"{average_age('AgeDays', 'AgeCount')} AS AvgAgeHourly",
         f"{average_tenure('TenureMinutes', 'TenureCount')} AS AvgTenureByYearHourly",
         *[c for c in filled.columns if c not in spent],
-        *prior_counts(),
-        *(day_averages_as_written() if as_written else []),
+        *(day_averages_as_written() if options.dth_average == "as_written" else []),
     )
-
-
-def backfill_cube(
-    inputs: Inputs, first: date, last: date, launch: date, options: Options = Options()
-) -> DataFrame:
-    """The published columns for every reported day from ``first`` to ``last``."""
-    return published(backfill_metrics(inputs, first, last, launch, options), options)
+    return published(cells, options)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidecube.operators.retention import contribution, retained, retention_rate
 from tidecube.operators.totals import average_age, average_tenure
 from tidecube.plans.options import Options
-from tidecube.plans.periods import CALENDAR_PAIRS, LONG_PAIRS, PAIRS, TWO_MONTH
+from tidecube.plans.periods import CALENDAR_PAIRS, LONG_PAIRS, TWO_MONTH
 
 # Metrics in published order, without the period-pair columns.
 HOUR_AND_CALENDAR_METRICS = (
@@ -28,22 +27,22 @@ TWO_MONTH_METRICS = ("UU", "TxCount", "TxVolume", "AvgAge", "AvgTenureByYear")
 
 
 def published(cells: DataFrame, options: Options) -> DataFrame:
-    """Derives the pair columns and puts everything in published order.
+    """Puts the columns in published order.
 
     The two-month metrics, when asked for, follow after the published columns.
     """
     extra = [f"{m}{TWO_MONTH}" for m in TWO_MONTH_METRICS] if options.two_month else []
-    return cells.selectExpr(
+    return cells.select(
         "DateHour",
         *options.dimension_names,
         *HOUR_AND_CALENDAR_METRICS,
-        *[contribution(p) for p in CALENDAR_PAIRS],
+        *[p.contribution for p in CALENDAR_PAIRS],
         *LONG_METRICS,
-        *[contribution(p) for p in LONG_PAIRS],
-        *[retained(p, options) for p in CALENDAR_PAIRS],
-        *[retention_rate(p) for p in CALENDAR_PAIRS],
-        *[retained(p, options) for p in LONG_PAIRS],
-        *[retention_rate(p) for p in LONG_PAIRS],
+        *[p.contribution for p in LONG_PAIRS],
+        *[p.retained for p in CALENDAR_PAIRS],
+        *[p.rate for p in CALENDAR_PAIRS],
+        *[p.retained for p in LONG_PAIRS],
+        *[p.rate for p in LONG_PAIRS],
         *extra,
     )
 
@@ -64,8 +63,3 @@ def day_averages_as_written() -> list[str]:
         f"CASE WHEN UUDTH > 0 THEN {m}MTD ELSE 0.0D END AS {m}DTH"
         for m in ("AvgAge", "AvgTenureByYear")
     ]
-
-
-def prior_counts() -> list[str]:
-    """Prior counts with NULL, not 0, where nobody was there before."""
-    return [f"nullif({p.key}, 0) AS {p.key}" for p in PAIRS]

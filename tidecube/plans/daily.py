@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidecube.functions.dates import midnight
 from tidecube.operators.cube import customer_hour_cube
 from tidecube.operators.enrich import payments
+from tidecube.operators.retention import pair_columns
 from tidecube.operators.totals import (
     ADDITIVE,
     average_age,
@@ -18,12 +19,7 @@ from tidecube.operators.totals import (
     running_count_columns,
 )
 from tidecube.operators.users import activity_patterns, pair_bits, period_bits
-from tidecube.plans.columns import (
-    day_averages_as_written,
-    filled_averages,
-    prior_counts,
-    published,
-)
+from tidecube.plans.columns import day_averages_as_written, filled_averages, published
 from tidecube.plans.options import Options
 from tidecube.plans.periods import PAIRS, Periods
 from tidecube.sources.inputs import Inputs
@@ -125,7 +121,7 @@ def day_slots(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
         "Slot",
         *[c for c in rows.columns if c.endswith("Hourly")],
         *[f"coalesce(sum({c}) {so_far}, 0) AS {c}" for c in running],
-        *[f"sum({p.key}) {so_far} AS {p.key}" for p in PAIRS],
+        *[f"nullif(sum({p.key}) {so_far}, 0) AS {p.key}" for p in PAIRS],
         f"max(Segment) {whole} AS _this_year",
         f"coalesce(lead(Slot) OVER ({ordered}), {HOURS}) AS _next",
     ).filter("_this_year IS NOT NULL")
@@ -142,10 +138,10 @@ def _slot_metrics(periods: Periods, options: Options) -> list[str]:
     return metrics
 
 
-def daily_metrics(
+def daily_cube(
     inputs: Inputs, base_day: date, launch: date, options: Options = Options()
 ) -> DataFrame:
-    """Filled metrics and prior-period counts of the day before ``base_day``.
+    """The published columns for every hour and cell of the day before ``base_day``.
 
     Each slot is repeated for the hours up to the cell's next slot, which fills the
     hours without activity, with no grid to join against. Metrics of the hour itself
@@ -153,7 +149,10 @@ def daily_metrics(
     """
     periods = Periods(base_day, launch, options.two_month)
     cell = options.dimension_names
-    slots = day_slots(inputs, periods, options).selectExpr(
+    # Some pair columns are derived before the rows are repeated and some after, which
+    # keeps both generated methods small enough to be compiled.
+    sooner, later = PAIRS[: len(PAIRS) * 3 // 4], PAIRS[len(PAIRS) * 3 // 4 :]
+    hours = day_slots(inputs, periods, options).selectExpr(
         *cell,
         "Slot",
         "UUHourly",
@@ -162,28 +161,23 @@ def daily_metrics(
         f"{average_age('AgeDaysHourly', 'AgeCountHourly')} AS AvgAgeHourly",
         f"{average_tenure('TenureMinutesHourly', 'TenureCountHourly')} AS AvgTenureByYearHourly",
         *_slot_metrics(periods, options),
-        *prior_counts(),
-        "explode(sequence(greatest(Slot, 0), greatest(Slot, 0, _next - 1))) AS _hour",
+        *[column for p in sooner for column in pair_columns(p, options)],
+        *[p.key for p in later],
         "_next",
+        "explode(sequence(greatest(Slot, 0), greatest(Slot, 0, _next - 1))) AS _hour",
     ).filter("_hour < _next")
     own = "CASE WHEN _hour = Slot THEN {0} END"
-    hourly = {
-        **{m: f"coalesce({own.format(m)}, 0)" for m in ("UUHourly", "TxCountHourly", "TxVolumeHourly")},
-        **{m: own.format(m) for m in ("AvgAgeHourly", "AvgTenureByYearHourly")},
-    }
+    counts = ("UUHourly", "TxCountHourly", "TxVolumeHourly")
+    averages = ("AvgAgeHourly", "AvgTenureByYearHourly")
     as_written = options.dth_average == "as_written"
-    finished = {*cell, "Slot", "_hour", "_next", *hourly}
-    return slots.selectExpr(
+    finished = {*cell, "Slot", "_hour", "_next", *counts, *averages}
+    cells = hours.selectExpr(
         f"timestamp_ntz'{periods.day} 00:00:00' + make_dt_interval(0, _hour) AS DateHour",
         *cell,
-        *[f"{value} AS {name}" for name, value in hourly.items()],
-        *[c for c in slots.columns if c not in finished],
+        *[f"coalesce({own.format(m)}, 0) AS {m}" for m in counts],
+        *[f"{own.format(m)} AS {m}" for m in averages],
+        *[c for c in hours.columns if c not in finished],
+        *[column for p in later for column in pair_columns(p, options)],
         *(day_averages_as_written() if as_written else []),
     )
-
-
-def daily_cube(
-    inputs: Inputs, base_day: date, launch: date, options: Options = Options()
-) -> DataFrame:
-    """The published columns for every hour and cell of the day before ``base_day``."""
-    return published(daily_metrics(inputs, base_day, launch, options), options)
+    return published(cells, options)

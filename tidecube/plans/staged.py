@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecube.functions.dates import midnight, period_start
-from tidecube.operators import cube, frame, totals, users
+from tidecube.operators import cube, frame, retention, totals, users
 from tidecube.operators.enrich import base_transactions, payments
 from tidecube.plans.columns import published
 from tidecube.plans.options import Options
@@ -116,7 +116,8 @@ class Stages:
 
     @cached_property
     def published(self) -> DataFrame:
-        return published(self.compared, self.options)
+        columns = [c for p in PAIRS for c in retention.pair_columns(p, self.options)]
+        return published(self.compared.selectExpr("*", *columns), self.options)
 
 
 def period_starts(days: DataFrame, launch: date) -> DataFrame:
