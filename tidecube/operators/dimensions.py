@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,21 +59,21 @@ def standardize_product(name: Column) -> Column:
 def explode_levels(df: DataFrame, dimensions: tuple[Dimension, ...]) -> DataFrame:
     """One row per cube level: each dimension kept or replaced by its overall label.
 
+    Levels are numbered, and bit ``i`` of the number rolls up dimension ``i``.
+
     Unlike ``CUBE``, which Spark plans as an ``Expand`` that forgets how its input
     is partitioned, this keeps the input's partitioning. Aggregating afterwards on
     keys that include the partitioning keys needs no shuffle of the multiplied rows.
     """
-    levels = [
-        F.struct(
-            *[
-                (F.col(d.name) if kept else F.lit(d.overall)).alias(d.name)
-                for d, kept in zip(dimensions, choice)
-            ]
-        )
-        for choice in product((True, False), repeat=len(dimensions))
-    ]
     names = {d.name for d in dimensions}
     others = [c for c in df.columns if c not in names]
-    return df.select(*others, F.explode(F.array(*levels)).alias("_level")).select(
-        *others, "_level.*"
+    numbers = F.array(*[F.lit(i) for i in range(2 ** len(dimensions))])
+    return df.select("*", F.explode(numbers).alias("_level")).select(
+        *others,
+        *[
+            F.when(F.col("_level").bitwiseAND(F.lit(1 << i)) == 0, F.col(d.name))
+            .otherwise(F.lit(d.overall))
+            .alias(d.name)
+            for i, d in enumerate(dimensions)
+        ],
     )

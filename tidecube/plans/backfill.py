@@ -6,6 +6,7 @@ shuffled once for the whole range.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,12 +20,33 @@ from tidecube.operators.retention import pair_columns
 from tidecube.operators.totals import ADDITIVE, average_age, average_tenure, hourly_totals
 from tidecube.plans.columns import day_averages_as_written, filled_averages, published
 from tidecube.plans.options import Options
-from tidecube.plans.periods import LAUNCH, PAIRS, Periods
+from tidecube.plans.periods import LAUNCH, PAIRS, Periods, end_of
 from tidecube.sources.inputs import Inputs
 
+COUNTS = ("UU", "TxCount", "TxVolume")
+# Years before the reporting one that the long periods reach back to.
+REACH = {"2YTD": 1, "3YTD": 2}
+
+PATTERN = -1
+
+
+@dataclass(frozen=True)
+class OpenScope:
+    """A period already running when the range begins."""
+
+    period: int
+    scope: date
+    segments: tuple[int, ...]
+    until: date | None
+
 
 class Range:
-    """Reported days ``first`` to ``last``, both included."""
+    """Reported days ``first`` to ``last``, both included.
+
+    A *scope* is one run of a period. Calendar periods are scoped by their start. The
+    two- and three-year periods of different years overlap, so they are scoped by the
+    first day of the year that reports them.
+    """
 
     def __init__(self, first: date, last: date, launch: date, options: Options):
         if last < first:
@@ -42,35 +64,94 @@ class Range:
         No period of any reported day begins inside such a stretch, so all of it is in
         a period or none of it, and its start stands for the whole.
         """
-        segments = self.periods.segments()
         value = F.when(ts >= midnight(self.first), hour)
-        for day in reversed(segments):
+        for day in reversed(self.periods.segments()):
             value = value.when(ts >= midnight(day), midnight(day))
         return value
 
-    def scopes(self, day: Column) -> Column:
-        """Every (period, scope) with reported days that ``day`` counts towards.
+    def segment_bit(self, bucket: Column) -> Column:
+        """The bit of a stretch of history; 0 inside the range."""
+        value = F.when(bucket >= midnight(self.first), F.lit(0))
+        for i, day in enumerate(self.periods.segments()):
+            value = value.when(bucket == midnight(day), F.lit(1 << i))
+        return value
 
-        A calendar period is scoped by its start. The two- and three-year periods of
-        different years overlap, so they are scoped by the year that reports them.
+    def new_scopes(self, day: Column) -> Column:
+        """Scopes that begin inside the range and that ``day`` counts towards.
+
+        Every row also belongs to its customer's pattern, which stands for the scopes
+        that began earlier.
         """
-        tags = []
+        pattern = F.struct(F.lit(PATTERN).alias("Period"), F.lit(None).cast("date").alias("Scope"))
+        tags = [pattern]
         for i, period in enumerate(self.names):
-            tag = F.lit(i).alias("Period")
+            tag, since = F.lit(i).alias("Period"), F.lit(self.first)
             if period == LAUNCH:
-                tags.append(F.struct(tag, F.lit(self.launch).alias("Scope")))
-            elif period in ("2YTD", "3YTD"):
-                reach = {"2YTD": 1, "3YTD": 2}[period]
+                scope = F.lit(self.launch)
+                tags.append(
+                    F.when(
+                        (day >= since) & (scope >= since), F.struct(tag, scope.alias("Scope"))
+                    )
+                )
+            elif period in REACH:
                 for year in self.years:
-                    counts = F.year(day).between(year - reach, year)
+                    if date(year - REACH[period], 1, 1) < self.first:
+                        continue
+                    counts = F.year(day).between(year - REACH[period], year)
                     scope = F.lit(date(year, 1, 1)).alias("Scope")
                     tags.append(F.when(counts, F.struct(tag, scope)))
             else:
                 start = period_start(period, day)
-                counts = start >= F.lit(self.periods.start(period))
-                tags.append(F.when(counts, F.struct(tag, start.alias("Scope"))))
+                tags.append(F.when(start >= since, F.struct(tag, start.alias("Scope"))))
         return F.array_compact(F.array(*tags))
 
+    def open_scopes(self) -> list[OpenScope]:
+        """Scopes that began before the range and reach into it."""
+        segments = self.periods.segments()
+        scopes = []
+
+        def add(period: str, scope: date, start: date, until: date | None) -> None:
+            inside = tuple(i for i, day in enumerate(segments) if day >= start)
+            scopes.append(OpenScope(self.names.index(period), scope, inside, until))
+
+        for period in self.names:
+            if period == LAUNCH:
+                if self.launch < self.first:
+                    add(period, self.launch, self.launch, None)
+            elif period in REACH:
+                for year in self.years:
+                    start = date(year - REACH[period], 1, 1)
+                    if start < self.first:
+                        add(period, date(year, 1, 1), start, date(year + 1, 1, 1))
+            else:
+                start = self.periods.start(period)
+                if start < self.first:
+                    add(period, start, start, end_of(period, start))
+        return scopes
+
+    def arrivals(self) -> Column:
+        """(period, scope, first hour) of a pattern in every scope that was open.
+
+        The first appearance is in the earliest stretch of the scope that had activity,
+        or else at the first active hour of the range, if the scope lasts until then.
+        """
+        segments = self.periods.segments()
+        first = F.col("FirstHour")
+        out = []
+        for scope in self.open_scopes():
+            lasts = F.lit(True) if scope.until is None else first < midnight(scope.until)
+            hour = F.when(lasts, first)
+            for i in reversed(scope.segments):
+                active = F.col("Segments").bitwiseAND(F.lit(1 << i)) != 0
+                hour = F.when(active, midnight(segments[i])).otherwise(hour)
+            entry = F.struct(
+                F.lit(scope.period).alias("Period"),
+                F.lit(scope.scope).alias("Scope"),
+                hour.alias("FirstHour"),
+            )
+            out.append(F.when(hour.isNotNull(), entry))
+        return F.array_compact(F.array(*out))
+
     def placements(self) -> Column:
         """Where a first appearance adds to a metric, as (metric, hour) pairs.
 
@@ -80,7 +161,7 @@ class Range:
         first, scope = F.col("FirstHour"), F.col("Scope")
         value = None
         for i, period in enumerate(self.names):
-            yearly = period in ("2YTD", "3YTD")
+            yearly = period in REACH
 
             def place(metric: str, ts: Column) -> Column:
                 hour = F.greatest(ts, scope.cast(NTZ)) if yearly else ts
@@ -116,31 +197,51 @@ def range_totals(inputs: Inputs, span: Range, options: Options) -> DataFrame:
 
 
 def range_arrivals(inputs: Inputs, span: Range, options: Options) -> DataFrame:
-    """New users per cell, period, scope and hour of first appearance."""
+    """New users per cell, period, scope and hour of first appearance.
+
+    History before the range leaves one row per customer and cell: which stretches had
+    activity, as bits. Only days of the range are listed one by one.
+    """
     created = F.col("CreatedAt")
+    cell = options.dimension_names
     hour = span.bucket(created, date_hour(created, options.hour_offset))
     extra = [d.name for d in options.extra_dimensions]
     finest = (
         payments(inputs, span.launch, span.end, options)
         .withColumn("_hour", hour)
         .groupBy("CustomerKey", "CompanyId", *extra, F.to_date("_hour").alias("_day"))
-        .agg(F.min("_hour").alias("FirstHour"))
+        .agg(F.min("_hour").alias("_hour"))
     )
     known = of_known_customers(with_company(finest, inputs.companies), inputs.customers)
+    merged = (F.bit_or("Segments").alias("Segments"), F.min("FirstHour").alias("FirstHour"))
     scoped = (
-        known.withColumn("_tag", F.explode(span.scopes(F.col("_day"))))
-        .select("CustomerKey", *options.dimension_names, "_tag.*", "FirstHour")
-        .groupBy("CustomerKey", *options.dimension_names, "Period", "Scope")
-        .agg(F.min("FirstHour").alias("FirstHour"))
+        known.select(
+            "CustomerKey",
+            *cell,
+            F.explode(span.new_scopes(F.col("_day"))).alias("_tag"),
+            span.segment_bit(F.col("_hour")).alias("Segments"),
+            F.when(F.col("_hour") >= midnight(span.first), F.col("_hour")).alias("FirstHour"),
+        )
+        .select("CustomerKey", *cell, "_tag.*", "Segments", "FirstHour")
+        .groupBy("CustomerKey", *cell, "Period", "Scope")
+        .agg(*merged)
     )
-    firsts = (
+    customers = (
         explode_levels(scoped, options.dimensions)
-        .groupBy("CustomerKey", *options.dimension_names, "Period", "Scope")
-        .agg(F.min("FirstHour").alias("FirstHour"))
+        .groupBy("CustomerKey", *cell, "Period", "Scope")
+        .agg(*merged)
     )
-    return firsts.groupBy(*options.dimension_names, "Period", "Scope", "FirstHour").agg(
+    counted = customers.groupBy(*cell, "Period", "Scope", "Segments", "FirstHour").agg(
         F.count(F.lit(1)).alias("Customers")
     )
+    own = F.array(F.struct("Period", "Scope", "FirstHour"))
+    is_pattern = F.col("Period") == PATTERN
+    entries = F.when(is_pattern, span.arrivals()).otherwise(own) if span.open_scopes() else F.when(
+        ~is_pattern, own
+    )
+    return counted.select(*cell, "Customers", F.explode(entries).alias("_entry")).select(
+        *cell, "_entry.*", "Customers"
+    )
 
 
 def range_users(inputs: Inputs, span: Range, options: Options) -> DataFrame:
@@ -158,11 +259,12 @@ def range_users(inputs: Inputs, span: Range, options: Options) -> DataFrame:
     )
 
 
-def _dense(increments: DataFrame, span: Range, options: Options) -> DataFrame:
-    """Adds empty rows for the reported hours of each cell active in the year so far.
+def _anchored(increments: DataFrame, span: Range, options: Options) -> DataFrame:
+    """Adds an empty row at the start of each day that a cell reports.
 
-    The first row of a cell and year brings the year's empty rows along; merging them
-    with the rows that carry values keeps the partitioning by cell.
+    A cell reports from its first active day of the year on. The first row of a cell and
+    year brings the year's empty rows along; merging them with the rows that carry
+    values keeps the partitioning by cell. ``_from`` is when the cell's reports begin.
     """
     cell = options.dimension_names
     values = [c for c in increments.columns if c not in (*cell, "DateHour")]
@@ -171,40 +273,37 @@ def _dense(increments: DataFrame, span: Range, options: Options) -> DataFrame:
     active_from = F.min(F.when(F.col("UU") > 0, hour)).over(of_year)
     marked = increments.withColumns(
         {
-            "_from": F.greatest(F.to_date(active_from), F.lit(span.first)).cast(NTZ),
+            "_from": F.greatest(F.to_date(active_from), F.lit(span.first)),
+            "_active": active_from.isNotNull(),
             "_is_first": F.row_number().over(of_year.orderBy("DateHour")) == 1,
         }
     )
-    year_end = F.make_date(F.year(hour) + 1, F.lit(1), F.lit(1)).cast(NTZ)
-    until = F.least(year_end, midnight(span.end)) - F.expr("INTERVAL 1 HOUR")
-    reports = F.col("_is_first") & active_from.isNotNull() & (F.col("_from") <= until)
-    marked = marked.withColumn("_reports", reports)
-    empty = F.transform(
-        F.when(
-            F.col("_reports"), F.sequence(F.col("_from"), until, F.expr("INTERVAL 1 HOUR"))
-        ).otherwise(F.array().cast(f"array<{NTZ}>")),
-        lambda h: F.struct(h.alias("DateHour"), F.lit(False).alias("_own")),
+    until = F.least(F.make_date(F.year(hour), F.lit(12), F.lit(31)), F.lit(span.last))
+    brings = F.col("_is_first") & F.col("_active") & (F.col("_from") <= until)
+    anchors = F.transform(
+        F.when(brings, F.sequence(F.col("_from"), until)).otherwise(F.array().cast("array<date>")),
+        lambda day: F.struct(day.cast(NTZ).alias("DateHour"), F.lit(False).alias("_own")),
     )
     own = F.array(F.struct(hour.alias("DateHour"), F.lit(True).alias("_own")))
-    rows = marked.withColumn("_row", F.explode(F.concat(own, empty))).select(
-        *cell,
-        "_row.*",
-        *values,
-    )
+    starts = F.when(F.col("_active"), F.col("_from").cast(NTZ)).alias("_from")
+    rows = marked.select(
+        *cell, F.explode(F.concat(own, anchors)).alias("_row"), starts, *values
+    ).select(*cell, "_row.*", "_from", *values)
     return rows.groupBy(*cell, "DateHour").agg(
         *[F.expr(f"sum(CASE WHEN _own THEN {v} END) AS {v}") for v in values],
-        F.bool_or(~F.col("_own")).alias("_reported"),
+        F.max("_from").alias("_from"),
     )
 
 
-def _filled(dense: DataFrame, span: Range, options: Options) -> DataFrame:
+def _filled(anchored: DataFrame, span: Range, options: Options) -> DataFrame:
     """Runs all increments up over the periods they belong to.
 
     One window per kind of period, all on the same partitioning. Each period's sums are
-    turned into its metrics right away, so rows stay narrow for the next window.
+    turned into its metrics right away, so rows stay narrow for the next window. ``_next``
+    is the hour of the cell's next row.
     """
     cell = options.dimension_names
-    rows = dense
+    rows = anchored
     for scope in (*span.periods.calendar, LAUNCH):
         members = [scope, "2YTD", "3YTD"] if scope == "YTD" else [scope]
         averaged = scope != LAUNCH and not (
@@ -224,8 +323,14 @@ def _filled(dense: DataFrame, span: Range, options: Options) -> DataFrame:
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         )
         others = [c for c in rows.columns if c not in (*sums, *priors, "_scope")]
+        following = []
+        if scope == LAUNCH:
+            following.append(
+                f"lead(DateHour) OVER (PARTITION BY {', '.join(keys)} ORDER BY DateHour) AS _next"
+            )
         summed = rows.selectExpr(
             *others,
+            *following,
             *[f"coalesce(sum({value}) {frame}, 0) AS {name}" for name, value in sums.items()],
             *[f"nullif(sum({key}) {frame}, 0) AS {key}" for key in priors],
         )
@@ -253,13 +358,29 @@ def backfill_cube(
         .groupBy(*cell, "DateHour")
         .agg(*[F.expr(f"sum({v}) AS {v}") for v in values])
     )
-    filled = _filled(_dense(increments, span, options), span, options).filter("_reported")
-    spent = {"UU", *ADDITIVE, "_reported"}
-    cells = filled.selectExpr(
-        *[f"coalesce({m}, 0) AS {m}Hourly" for m in ("UU", "TxCount", "TxVolume")],
+    filled = _filled(_anchored(increments, span, options), span, options)
+    as_written = options.dth_average == "as_written"
+    # Every row holds until the next one; days begin with a row of their own.
+    day_end = "CAST(date_add(CAST(DateHour AS DATE), 1) AS TIMESTAMP_NTZ)"
+    until = f"least(coalesce(_next, {day_end}), {day_end}) - INTERVAL 1 HOUR"
+    spent = {*cell, "UU", *ADDITIVE, "DateHour", "_from", "_next"}
+    hours = filled.filter("DateHour >= _from").selectExpr(
+        *cell,
+        "DateHour AS _own",
+        f"explode(sequence(DateHour, {until}, INTERVAL 1 HOUR)) AS DateHour",
+        *[f"coalesce({m}, 0) AS {m}Hourly" for m in COUNTS],
         f"{average_age('AgeDays', 'AgeCount')} AS AvgAgeHourly",
         f"{average_tenure('TenureMinutes', 'TenureCount')} AS AvgTenureByYearHourly",
         *[c for c in filled.columns if c not in spent],
-        *(day_averages_as_written() if options.dth_average == "as_written" else []),
+        *(day_averages_as_written() if as_written else []),
+    )
+    hourly = {f"{m}Hourly": "0" for m in COUNTS}
+    hourly |= {"AvgAgeHourly": "NULL", "AvgTenureByYearHourly": "NULL"}
+    cells = hours.selectExpr(
+        *[c for c in hours.columns if c not in hourly],
+        *[
+            f"CASE WHEN DateHour = _own THEN {name} ELSE {quiet} END AS {name}"
+            for name, quiet in hourly.items()
+        ],
     )
     return published(cells, options)

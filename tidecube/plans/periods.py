@@ -99,6 +99,13 @@ def start_of(period: str, day: date, launch: date) -> date:
     }[period]
 
 
+def end_of(period: str, start: date) -> date:
+    """First day after the calendar period that starts at ``start``."""
+    months = {"MTD": 1, "2MTD": 2, "QTD": 3, "SemiYTD": 6, "YTD": 12}[period]
+    month = start.month - 1 + months
+    return date(start.year + month // 12, month % 12 + 1, 1)
+
+
 @dataclass(frozen=True)
 class Periods:
     """Period starts of the day before ``base_day``.

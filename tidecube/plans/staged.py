@@ -2,7 +2,9 @@
 
 ``daily_cube`` gives the same result with less work. This form is for looking at a
 stage on its own: totals and users at every hour of history, the dense frame before
-and after filling, and the prior-period counts.
+and after filling, and the prior-period counts. Later stages use the totals and the
+users several times, so these two are persisted, which computes them from the facts
+once; ``release`` gives their storage back.
 """
 
 from __future__ import annotations
@@ -79,13 +81,19 @@ class Stages:
             *totals.HOURLY_METRICS,
             *totals.running_count_columns(periods),
             *totals.running_average_columns(periods, self.options),
-        )
+        ).persist()
 
     @cached_property
     def running_users(self) -> DataFrame:
         rows = payments(self.inputs, self.launch, self.base_day, self.options)
         firsts = users.first_hours(rows, self.inputs, self.periods, self.options)
-        return users.running_users(firsts, self.periods, self.options)
+        return users.running_users(firsts, self.periods, self.options).persist()
+
+    def release(self) -> None:
+        """Unpersists the stages that were persisted."""
+        for stage in ("totals", "running_users"):
+            if stage in self.__dict__:
+                self.__dict__[stage].unpersist()
 
     @cached_property
     def dense_frame(self) -> DataFrame:
