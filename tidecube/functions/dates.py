@@ -77,10 +77,11 @@ def period_start(period: str, ts: Column, launch: date | None = None) -> Column:
     return F.make_date(F.year(ts) - years_back, F.lit(1), F.lit(1))
 
 
-def next_start(period: str, ts: Column) -> Column:
-    """First day after ``ts`` on which the period's start lies later than ``ts``."""
-    months = {"MTD": 1, "QTD": 3, "SemiYTD": 6}.get(period)
-    if months:
-        return F.add_months(_first_of(ts, months), months)
-    years_ahead = {"YTD": 1, "2YTD": 2, "3YTD": 3}[period]
-    return F.make_date(F.year(ts) + years_ahead, F.lit(1), F.lit(1))
+def next_multiple_of_months(ts: str, months: str) -> str:
+    """First day after ``ts`` that starts a stretch of ``months`` counted from January.
+
+    Stretches longer than a year are counted from the January before ``ts``.
+    """
+    january = f"make_date(year({ts}), 1, 1)"
+    elapsed = f"CAST((month({ts}) - 1) DIV {months} + 1 AS INT)"
+    return f"add_months({january}, {elapsed} * {months})"

@@ -12,20 +12,27 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecube.functions.dates import NTZ, date_hour, midnight, next_start, period_start
+from tidecube.functions.dates import (
+    NTZ,
+    date_hour,
+    midnight,
+    next_multiple_of_months,
+    period_start,
+)
 from tidecube.operators.cube import customer_hour_cube
 from tidecube.operators.dimensions import explode_levels
 from tidecube.operators.enrich import of_known_customers, payments, with_company
-from tidecube.operators.retention import pair_columns
-from tidecube.operators.totals import ADDITIVE, average_age, average_tenure, hourly_totals
-from tidecube.plans.columns import day_averages_as_written, filled_averages, published
+from tidecube.operators.totals import ADDITIVE, hourly_totals
+from tidecube.plans.columns import published_hours, slot_metrics
 from tidecube.plans.options import Options
 from tidecube.plans.periods import LAUNCH, PAIRS, Periods, end_of
 from tidecube.sources.inputs import Inputs
 
-COUNTS = ("UU", "TxCount", "TxVolume")
 # Years before the reporting one that the long periods reach back to.
 REACH = {"2YTD": 1, "3YTD": 2}
+# Months from one start of a period to the next start that leaves it behind.
+MONTHS = {"MTD": 1, "2MTD": 2, "QTD": 3, "SemiYTD": 6, "YTD": 12, "2YTD": 24, "3YTD": 36}
+ENDLESS = 12000
 
 PATTERN = -1
 
@@ -103,7 +110,7 @@ class Range:
             else:
                 start = period_start(period, day)
                 tags.append(F.when(start >= since, F.struct(tag, start.alias("Scope"))))
-        return F.array_compact(F.array(*tags))
+        return F.when(day >= F.lit(self.first), F.array(*tags)).otherwise(F.array(pattern))
 
     def open_scopes(self) -> list[OpenScope]:
         """Scopes that began before the range and reach into it."""
@@ -129,62 +136,89 @@ class Range:
                     add(period, start, start, end_of(period, start))
         return scopes
 
-    def arrivals(self) -> Column:
-        """(period, scope, first hour) of a pattern in every scope that was open.
+    def arrivals(self, counted: DataFrame) -> DataFrame:
+        """Turns patterns into first hours in every scope that was open.
 
         The first appearance is in the earliest stretch of the scope that had activity,
         or else at the first active hour of the range, if the scope lasts until then.
+        Rows are multiplied by scope number first and worked out after.
         """
-        segments = self.periods.segments()
-        first = F.col("FirstHour")
-        out = []
-        for scope in self.open_scopes():
-            lasts = F.lit(True) if scope.until is None else first < midnight(scope.until)
-            hour = F.when(lasts, first)
-            for i in reversed(scope.segments):
-                active = F.col("Segments").bitwiseAND(F.lit(1 << i)) != 0
-                hour = F.when(active, midnight(segments[i])).otherwise(hour)
-            entry = F.struct(
-                F.lit(scope.period).alias("Period"),
-                F.lit(scope.scope).alias("Scope"),
-                hour.alias("FirstHour"),
-            )
-            out.append(F.when(hour.isNotNull(), entry))
-        return F.array_compact(F.array(*out))
-
-    def placements(self) -> Column:
-        """Where a first appearance adds to a metric, as (metric, hour) pairs.
-
-        It adds to the period's users at its hour. It adds to a prior count when the
-        short period next begins, if that is still within the scope.
+        scopes = self.open_scopes()
+        number = F.col("_number")
+
+        def of_scope(value, otherwise: Column) -> Column:
+            for i, scope in enumerate(scopes):
+                otherwise = F.when(number == i, value(scope)).otherwise(otherwise)
+            return otherwise
+
+        def until(scope: OpenScope) -> Column:
+            return midnight(scope.until) if scope.until else F.lit(None).cast(NTZ)
+
+        def bits(scope: OpenScope) -> Column:
+            return F.lit(sum(1 << i for i in scope.segments))
+
+        own = F.array(F.lit(-1))
+        numbers = F.array(*[F.lit(i) for i in range(len(scopes))]).cast("array<int>")
+        others = [c for c in counted.columns if c not in ("Period", "Scope", "Segments")]
+        opened = counted.withColumn(
+            "_number", F.explode(F.when(F.col("Period") == PATTERN, numbers).otherwise(own))
+        ).select(
+            *others,
+            of_scope(lambda s: F.lit(s.period), F.col("Period")).alias("Period"),
+            of_scope(lambda s: F.lit(s.scope), F.col("Scope")).alias("Scope"),
+            of_scope(bits, F.lit(0)).bitwiseAND(F.col("Segments")).alias("_active"),
+            of_scope(until, F.lit(None).cast(NTZ)).alias("_until"),
+        )
+        in_range = F.col("_until").isNull() | (F.col("FirstHour") < F.col("_until"))
+        hour = F.when(in_range, F.col("FirstHour"))
+        for i, day in reversed(list(enumerate(self.periods.segments()))):
+            active = F.col("_active").bitwiseAND(F.lit(1 << i)) != 0
+            hour = F.when(active, midnight(day)).otherwise(hour)
+        return opened.withColumn("FirstHour", hour).drop("_active", "_until")
+
+    def metrics_of(self, period: Column) -> Column:
+        """The metrics a first appearance in ``period`` adds to.
+
+        ``Months`` is the length of the short period that must begin anew before it
+        counts, or NULL for the period's own users, which count at once. ``Length`` is
+        the length of the scope.
         """
-        first, scope = F.col("FirstHour"), F.col("Scope")
-        value = None
-        for i, period in enumerate(self.names):
-            yearly = period in REACH
 
-            def place(metric: str, ts: Column) -> Column:
-                hour = F.greatest(ts, scope.cast(NTZ)) if yearly else ts
-                return F.struct(
-                    F.lit(self.metrics.index(metric)).alias("Metric"), hour.alias("DateHour")
-                )
+        def metric(name: str, months: int | None, length: int) -> Column:
+            return F.struct(
+                F.lit(self.metrics.index(name)).alias("Metric"),
+                F.lit(months).cast("int").alias("Months"),
+                F.lit(length).alias("Length"),
+            )
 
-            places = [place(f"UU{period}", first)]
-            for pair in PAIRS:
-                if pair.long != period:
-                    continue
-                start = next_start(pair.short, first)
-                within = start <= F.lit(self.last)
-                if yearly:
-                    within &= F.year(start) <= F.year(scope)
-                elif period != LAUNCH:
-                    within &= period_start(period, start) == scope
-                places.append(F.when(within, place(pair.key, start.cast(NTZ))))
-            here = F.array_compact(F.array(*places))
-            is_period = F.col("Period") == i
-            value = F.when(is_period, here) if value is None else value.when(is_period, here)
+        value = F.lit(None)
+        for i, name in enumerate(self.names):
+            length = ENDLESS if name == LAUNCH else MONTHS.get(name, 0)
+            if name in REACH:
+                length = 12
+            entries = [metric(f"UU{name}", None, length)]
+            entries += [metric(p.key, MONTHS[p.short], length) for p in PAIRS if p.long == name]
+            value = F.when(period == i, F.array(*entries)).otherwise(value)
         return value
 
+    def place(self) -> Column:
+        """The hour at which a first appearance adds to a metric; NULL if it never does.
+
+        Users are added at the hour itself, prior counts on the day the short period
+        next begins, if that is within the scope. A scope named after its reporting year
+        collects what came before that year at its start.
+        """
+        yearly = ", ".join(str(self.names.index(p)) for p in REACH)
+        restart = next_multiple_of_months("FirstHour", "Months")
+        return F.expr(
+            f"""CASE WHEN Period IN ({yearly}) AND Months IS NULL
+                     THEN greatest(FirstHour, CAST(Scope AS TIMESTAMP_NTZ))
+                     WHEN Months IS NULL THEN FirstHour
+                     WHEN {restart} < add_months(Scope, Length)
+                     THEN CAST(CASE WHEN Period IN ({yearly}) THEN greatest({restart}, Scope)
+                                    ELSE {restart} END AS TIMESTAMP_NTZ) END"""
+        )
+
 
 def range_totals(inputs: Inputs, span: Range, options: Options) -> DataFrame:
     """Measures per cell and hour; before the range, per cell and stretch of history."""
@@ -222,6 +256,7 @@ def range_arrivals(inputs: Inputs, span: Range, options: Options) -> DataFrame:
             span.segment_bit(F.col("_hour")).alias("Segments"),
             F.when(F.col("_hour") >= midnight(span.first), F.col("_hour")).alias("FirstHour"),
         )
+        .filter(F.col("_tag").isNotNull())
         .select("CustomerKey", *cell, "_tag.*", "Segments", "FirstHour")
         .groupBy("CustomerKey", *cell, "Period", "Scope")
         .agg(*merged)
@@ -234,22 +269,21 @@ def range_arrivals(inputs: Inputs, span: Range, options: Options) -> DataFrame:
     counted = customers.groupBy(*cell, "Period", "Scope", "Segments", "FirstHour").agg(
         F.count(F.lit(1)).alias("Customers")
     )
-    own = F.array(F.struct("Period", "Scope", "FirstHour"))
-    is_pattern = F.col("Period") == PATTERN
-    entries = F.when(is_pattern, span.arrivals()).otherwise(own) if span.open_scopes() else F.when(
-        ~is_pattern, own
-    )
-    return counted.select(*cell, "Customers", F.explode(entries).alias("_entry")).select(
-        *cell, "_entry.*", "Customers"
-    )
+    return span.arrivals(counted).filter(F.col("FirstHour").isNotNull())
 
 
 def range_users(inputs: Inputs, span: Range, options: Options) -> DataFrame:
-    """Increments of every user and prior count per cell and hour."""
+    """Increments of every user and prior count per cell and hour.
+
+    Rows are multiplied first and placed after, in plain columns: both stay in generated
+    code, which array functions inside the generator would not.
+    """
     placed = (
         range_arrivals(inputs, span, options)
-        .withColumn("_place", F.explode(span.placements()))
-        .select(*options.dimension_names, "_place.*", "Customers")
+        .withColumn("_metric", F.explode(span.metrics_of(F.col("Period"))))
+        .select(*options.dimension_names, "_metric.*", "Period", "Scope", "FirstHour", "Customers")
+        .withColumn("DateHour", span.place())
+        .filter(F.col("DateHour") < midnight(span.end))
     )
     return placed.groupBy(*options.dimension_names, "DateHour").agg(
         *[
@@ -290,57 +324,64 @@ def _anchored(increments: DataFrame, span: Range, options: Options) -> DataFrame
         *cell, F.explode(F.concat(own, anchors)).alias("_row"), starts, *values
     ).select(*cell, "_row.*", "_from", *values)
     return rows.groupBy(*cell, "DateHour").agg(
-        *[F.expr(f"sum(CASE WHEN _own THEN {v} END) AS {v}") for v in values],
+        *[F.expr(f"coalesce(sum(CASE WHEN _own THEN {v} END), 0) AS {v}") for v in values],
         F.max("_from").alias("_from"),
     )
 
 
-def _filled(anchored: DataFrame, span: Range, options: Options) -> DataFrame:
+def _running(anchored: DataFrame, span: Range, options: Options) -> DataFrame:
     """Runs all increments up over the periods they belong to.
 
-    One window per kind of period, all on the same partitioning. Each period's sums are
-    turned into its metrics right away, so rows stay narrow for the next window. ``_next``
-    is the hour of the cell's next row.
+    Everything is summed from a cell's first row on, and what had been reached when a
+    period began is taken off. So all periods share one window order and one sort.
+    ``_next`` is the hour of the cell's next row.
     """
     cell = options.dimension_names
-    rows = anchored
-    for scope in (*span.periods.calendar, LAUNCH):
-        members = [scope, "2YTD", "3YTD"] if scope == "YTD" else [scope]
-        averaged = scope != LAUNCH and not (
-            scope == "DTH" and options.dth_average == "as_written"
-        )
-        measures = [] if scope == LAUNCH else list(ADDITIVE if averaged else ADDITIVE[:2])
-        sums = {f"{m}{scope}": m for m in measures} | {f"UU{p}": f"UU{p}" for p in members}
-        pairs = [p for p in PAIRS if p.long in members]
-        priors = [p.key for p in pairs]
-
-        keys = list(cell)
-        if scope != LAUNCH:
-            rows = rows.withColumn("_scope", period_start(scope, F.col("DateHour")))
-            keys.append("_scope")
-        frame = (
-            f"OVER (PARTITION BY {', '.join(keys)} ORDER BY DateHour "
-            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-        )
-        others = [c for c in rows.columns if c not in (*sums, *priors, "_scope")]
-        following = []
-        if scope == LAUNCH:
-            following.append(
-                f"lead(DateHour) OVER (PARTITION BY {', '.join(keys)} ORDER BY DateHour) AS _next"
-            )
-        summed = rows.selectExpr(
-            *others,
-            *following,
-            *[f"coalesce(sum({value}) {frame}, 0) AS {name}" for name, value in sums.items()],
-            *[f"nullif(sum({key}) {frame}, 0) AS {key}" for key in priors],
-        )
-        spent = [*priors, *[f"{m}{scope}" for m in ADDITIVE[2:]]]
-        rows = summed.selectExpr(
-            *[c for c in summed.columns if c not in spent],
-            *(filled_averages(scope) if averaged else []),
-            *[column for p in pairs for column in pair_columns(p, options)],
-        )
-    return rows
+    ordered = f"PARTITION BY {', '.join(cell)} ORDER BY DateHour"
+    so_far = f"OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    increments = [*ADDITIVE, *span.metrics]
+    summed = anchored.selectExpr(
+        *anchored.columns,
+        *[f"sum({c}) {so_far} AS _sum{c}" for c in increments],
+        f"lag(DateHour) OVER ({ordered}) AS _previous",
+        f"lead(DateHour) OVER ({ordered}) AS _next",
+    )
+    hour, previous = F.col("DateHour"), F.col("_previous")
+    begins = {
+        f"_begins{p}": previous.isNull() | (period_start(p, hour) != period_start(p, previous))
+        for p in span.periods.calendar
+    }
+    running = {}
+    for period in span.periods.calendar:
+        running |= {f"{m}{period}": (m, period) for m in ADDITIVE}
+    for period in span.names:
+        # The long periods are scoped by the year that reports them.
+        scope = "YTD" if period in REACH else period
+        running[f"UU{period}"] = (f"UU{period}", scope)
+        running |= {p.key: (p.key, scope) for p in PAIRS if p.long == period}
+    reached = {
+        f"_before{name}": f"last(CASE WHEN _begins{period} THEN _sum{c} - {c} END, true) {so_far}"
+        for name, (c, period) in running.items()
+        if period != LAUNCH
+    }
+    kept = [*cell, "DateHour", "_from", "_next", "UU", *ADDITIVE]
+    opened = summed.withColumns(begins).selectExpr(
+        *kept,
+        *[f"_sum{c}" for c in increments],
+        *[f"{value} AS {name}" for name, value in reached.items()],
+    )
+    priors = {p.key for p in PAIRS}
+
+    def so_far_in_period(name: str, c: str) -> str:
+        value = f"_sum{c} - _before{name}" if f"_before{name}" in reached else f"_sum{c}"
+        return f"nullif({value}, 0) AS {name}" if name in priors else f"{value} AS {name}"
+
+    # Measures of the hour itself get names of their own next to the running ones.
+    return opened.filter("DateHour >= _from").selectExpr(
+        *[c for c in kept if c not in ("UU", *ADDITIVE)],
+        *[f"{m} AS {m}Hourly" for m in ("UU", *ADDITIVE)],
+        *[so_far_in_period(name, c) for name, (c, _) in running.items()],
+    )
 
 
 def backfill_cube(
@@ -358,29 +399,14 @@ def backfill_cube(
         .groupBy(*cell, "DateHour")
         .agg(*[F.expr(f"sum({v}) AS {v}") for v in values])
     )
-    filled = _filled(_anchored(increments, span, options), span, options)
-    as_written = options.dth_average == "as_written"
+    running = _running(_anchored(increments, span, options), span, options)
     # Every row holds until the next one; days begin with a row of their own.
     day_end = "CAST(date_add(CAST(DateHour AS DATE), 1) AS TIMESTAMP_NTZ)"
     until = f"least(coalesce(_next, {day_end}), {day_end}) - INTERVAL 1 HOUR"
-    spent = {*cell, "UU", *ADDITIVE, "DateHour", "_from", "_next"}
-    hours = filled.filter("DateHour >= _from").selectExpr(
+    hours = running.selectExpr(
+        f"explode(sequence(DateHour, {until}, INTERVAL 1 HOUR)) AS _hour",
+        "DateHour",
         *cell,
-        "DateHour AS _own",
-        f"explode(sequence(DateHour, {until}, INTERVAL 1 HOUR)) AS DateHour",
-        *[f"coalesce({m}, 0) AS {m}Hourly" for m in COUNTS],
-        f"{average_age('AgeDays', 'AgeCount')} AS AvgAgeHourly",
-        f"{average_tenure('TenureMinutes', 'TenureCount')} AS AvgTenureByYearHourly",
-        *[c for c in filled.columns if c not in spent],
-        *(day_averages_as_written() if as_written else []),
-    )
-    hourly = {f"{m}Hourly": "0" for m in COUNTS}
-    hourly |= {"AvgAgeHourly": "NULL", "AvgTenureByYearHourly": "NULL"}
-    cells = hours.selectExpr(
-        *[c for c in hours.columns if c not in hourly],
-        *[
-            f"CASE WHEN DateHour = _own THEN {name} ELSE {quiet} END AS {name}"
-            for name, quiet in hourly.items()
-        ],
+        *slot_metrics(span.periods, options),
     )
-    return published(cells, options)
+    return published_hours(hours, "DateHour", "_hour", options)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidecube.operators.totals import average_age, average_tenure
+from tidecube.operators.retention import pair_columns
+from tidecube.operators.totals import average_age, average_tenure, running_count_columns
 from tidecube.plans.options import Options
-from tidecube.plans.periods import CALENDAR_PAIRS, LONG_PAIRS, TWO_MONTH
+from tidecube.plans.periods import CALENDAR_PAIRS, LONG_PAIRS, PAIRS, TWO_MONTH, Periods
 
 # Metrics in published order, without the period-pair columns.
 HOUR_AND_CALENDAR_METRICS = (
@@ -63,3 +64,44 @@ def day_averages_as_written() -> list[str]:
         f"CASE WHEN UUDTH > 0 THEN {m}MTD ELSE 0.0D END AS {m}DTH"
         for m in ("AvgAge", "AvgTenureByYear")
     ]
+
+
+# Some pair columns are derived before rows are repeated hour by hour and some after,
+# which keeps both generated methods small enough to be compiled.
+SOONER, LATER = PAIRS[: len(PAIRS) * 3 // 4], PAIRS[len(PAIRS) * 3 // 4 :]
+
+
+def slot_metrics(periods: Periods, options: Options) -> list[str]:
+    """What holds from one row of a cell to its next, from running sums.
+
+    Metrics of the hour itself come along for the row's own hour.
+    """
+    metrics = ["UUHourly", "TxCountHourly", "TxVolumeHourly"]
+    metrics.append(f"{average_age('AgeDaysHourly', 'AgeCountHourly')} AS AvgAgeHourly")
+    tenure = average_tenure("TenureMinutesHourly", "TenureCountHourly")
+    metrics.append(f"{tenure} AS AvgTenureByYearHourly")
+    metrics += [f"UU{p}" for p in periods.names] + running_count_columns(periods.calendar)
+    for period in periods.calendar:
+        if period != "DTH" or options.dth_average == "day":
+            metrics += filled_averages(period)
+    metrics += [column for p in SOONER for column in pair_columns(p, options)]
+    return metrics + [p.key for p in LATER]
+
+
+def published_hours(hours: DataFrame, own: str, hour: str, options: Options) -> DataFrame:
+    """Published columns from rows of ``slot_metrics`` repeated for every hour they hold.
+
+    ``own`` is the row's own hour and ``hour`` the repeated one. In the hours between,
+    counts are 0 and averages NULL.
+    """
+    here = f"CASE WHEN {hour} = {own} THEN {{0}} END"
+    hourly = {m: f"coalesce({here.format(m)}, 0)" for m in HOUR_AND_CALENDAR_METRICS[:3]}
+    hourly |= {m: here.format(m) for m in ("AvgAgeHourly", "AvgTenureByYearHourly")}
+    cells = hours.selectExpr(
+        f"{hour} AS DateHour",
+        *[f"{value} AS {name}" for name, value in hourly.items()],
+        *[c for c in hours.columns if c not in (own, hour, *hourly)],
+        *[column for p in LATER for column in pair_columns(p, options)],
+        *(day_averages_as_written() if options.dth_average == "as_written" else []),
+    )
+    return published(cells, options)

@@ -10,16 +10,9 @@ from pyspark.sql import functions as F
 from tidecube.functions.dates import midnight
 from tidecube.operators.cube import customer_hour_cube
 from tidecube.operators.enrich import payments
-from tidecube.operators.retention import pair_columns
-from tidecube.operators.totals import (
-    ADDITIVE,
-    average_age,
-    average_tenure,
-    hourly_totals,
-    running_count_columns,
-)
+from tidecube.operators.totals import ADDITIVE, hourly_totals
 from tidecube.operators.users import activity_patterns, pair_bits, period_bits
-from tidecube.plans.columns import day_averages_as_written, filled_averages, published
+from tidecube.plans.columns import published_hours, slot_metrics
 from tidecube.plans.options import Options
 from tidecube.plans.periods import PAIRS, Periods
 from tidecube.sources.inputs import Inputs
@@ -57,8 +50,8 @@ def day_users(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
     """Activity patterns, listed before the day and at the hour of first activity."""
     rows = payments(inputs, periods.launch, periods.base_day, options)
     patterns = activity_patterns(rows, inputs, periods, options)
-    slots = F.array_compact(F.array(F.lit(BEFORE_DAY), F.col("FirstHour")))
-    return patterns.withColumn("Slot", F.explode(slots))
+    slots = F.explode(F.array(F.lit(BEFORE_DAY), F.col("FirstHour")))
+    return patterns.withColumn("Slot", slots).filter(F.col("Slot").isNotNull())
 
 
 def _combined(totals: DataFrame, users: DataFrame, periods: Periods, options: Options) -> DataFrame:
@@ -127,57 +120,27 @@ def day_slots(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
     ).filter("_this_year IS NOT NULL")
 
 
-def _slot_metrics(periods: Periods, options: Options) -> list[str]:
-    """Running metrics of a slot; they hold until the next slot."""
-    metrics = [f"UU{p}" for p in periods.names] + running_count_columns(periods.calendar)
-    as_written = options.dth_average == "as_written"
-    for period in periods.calendar:
-        if period == "DTH" and as_written:
-            continue
-        metrics += filled_averages(period)
-    return metrics
-
-
 def daily_cube(
     inputs: Inputs, base_day: date, launch: date, options: Options = Options()
 ) -> DataFrame:
     """The published columns for every hour and cell of the day before ``base_day``.
 
     Each slot is repeated for the hours up to the cell's next slot, which fills the
-    hours without activity, with no grid to join against. Metrics of the hour itself
-    stay with the slot's own hour: in a quiet hour counts are 0 and averages NULL.
+    hours without activity, with no grid to join against.
     """
     periods = Periods(base_day, launch, options.two_month)
-    cell = options.dimension_names
-    # Some pair columns are derived before the rows are repeated and some after, which
-    # keeps both generated methods small enough to be compiled.
-    sooner, later = PAIRS[: len(PAIRS) * 3 // 4], PAIRS[len(PAIRS) * 3 // 4 :]
-    hours = day_slots(inputs, periods, options).selectExpr(
-        *cell,
-        "Slot",
-        "UUHourly",
-        "TxCountHourly",
-        "TxVolumeHourly",
-        f"{average_age('AgeDaysHourly', 'AgeCountHourly')} AS AvgAgeHourly",
-        f"{average_tenure('TenureMinutesHourly', 'TenureCountHourly')} AS AvgTenureByYearHourly",
-        *_slot_metrics(periods, options),
-        *[column for p in sooner for column in pair_columns(p, options)],
-        *[p.key for p in later],
-        "_next",
-        "explode(sequence(greatest(Slot, 0), greatest(Slot, 0, _next - 1))) AS _hour",
-    ).filter("_hour < _next")
-    own = "CASE WHEN _hour = Slot THEN {0} END"
-    counts = ("UUHourly", "TxCountHourly", "TxVolumeHourly")
-    averages = ("AvgAgeHourly", "AvgTenureByYearHourly")
-    as_written = options.dth_average == "as_written"
-    finished = {*cell, "Slot", "_hour", "_next", *counts, *averages}
-    cells = hours.selectExpr(
-        f"timestamp_ntz'{periods.day} 00:00:00' + make_dt_interval(0, _hour) AS DateHour",
-        *cell,
-        *[f"coalesce({own.format(m)}, 0) AS {m}" for m in counts],
-        *[f"{own.format(m)} AS {m}" for m in averages],
-        *[c for c in hours.columns if c not in finished],
-        *[column for p in later for column in pair_columns(p, options)],
-        *(day_averages_as_written() if as_written else []),
+    day = f"timestamp_ntz'{periods.day} 00:00:00'"
+    hours = (
+        day_slots(inputs, periods, options)
+        .selectExpr(
+            *options.dimension_names,
+            *slot_metrics(periods, options),
+            f"{day} + make_dt_interval(0, Slot) AS _own",
+            "explode(sequence(greatest(Slot, 0), greatest(Slot, 0, _next - 1))) AS _slot",
+            "_next",
+        )
+        .filter("_slot < _next")
+        .withColumn("_hour", F.expr(f"{day} + make_dt_interval(0, _slot)"))
+        .drop("_slot", "_next")
     )
-    return published(cells, options)
+    return published_hours(hours, "_own", "_hour", options)
