@@ -27,7 +27,13 @@ def main() -> None:
     if (args.first is None) != (args.last is None):
         parser.error("--first and --last go together")
 
-    spark = SparkSession.builder.appName("tidecube").getOrCreate()
+    # The cube is about a hundred columns wide. Generated methods beyond this size would
+    # run uncompiled in the JVM; with the limit Spark splits the expressions instead.
+    spark = (
+        SparkSession.builder.appName("tidecube")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .getOrCreate()
+    )
     inputs = read_inputs(
         spark, args.transactions, args.companies, args.customers, day_column=args.day_column
     )
