@@ -145,3 +145,27 @@ def test_staged_equals_daily(make_inputs):
     inputs = make_inputs(facts, COMPANIES, [customer(k) for k in range(1, 13)])
     staged = Stages(inputs, base, LAUNCH).published
     assert as_dict(staged) == as_dict(daily_cube(inputs, base, LAUNCH))
+
+
+def test_range_with_more_dimensions_equals_single_days(spark):
+    """Product and customer type as dimensions, and a shifted hour, on the test tables."""
+    from conftest import SF, rows_of
+
+    from tidecube.operators.dimensions import COMPANY, CUSTOMER_TYPE, PAYMENT_TYPE, PRODUCT
+    from tidecube.sources.testdata import ORDERS_LAUNCH, orders_inputs
+
+    inputs = orders_inputs(spark, SF)
+    first = date(2000, 9, 30)
+    dimensions = (PAYMENT_TYPE, COMPANY, CUSTOMER_TYPE, PRODUCT)
+    options = Options(dimensions=dimensions, hour_offset=5)
+    got = backfill_cube(inputs, first, first + timedelta(days=1), ORDERS_LAUNCH, options)
+    single = [
+        row
+        for n in (1, 2)
+        for row in rows_of(
+            daily_cube(inputs, first + timedelta(days=n), ORDERS_LAUNCH, options)
+        )
+    ]
+    assert rows_of(got) == sorted(single, key=str)
+    products = {r[0] for r in got.select("StandardizedProductName").distinct().collect()}
+    assert products == {"Fatura Payment", "bill Payment", "Top-up", "NULL", "(Overall)"}

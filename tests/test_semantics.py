@@ -10,7 +10,7 @@ from conftest import at, customer, tx
 from pyspark.sql import functions as F
 
 from tidecube import Options, daily_cube
-from tidecube.operators.dimensions import COMPANY, CUSTOMER_TYPE, PAYMENT_TYPE, PRODUCT
+from tidecube.operators.dimensions import COMPANY, CUSTOMER_TYPE, PAYMENT_TYPE
 from tidecube.operators.enrich import base_transactions, payments
 from tidecube.plans.staged import Stages
 
