@@ -39,6 +39,14 @@ from tidecube.sources.testdata import (  # noqa: E402
     orders_inputs,
 )
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from tidecube.llm import registry as llm  # noqa: E402
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "tidecube.llm"):
+        raise
+    llm = None
+
 BASE_DAY = date(2000, 11, 16)
 EVENTS_BASE_DAY = date(2024, 1, 20)
 EDGE_BASE_DAYS = {
@@ -180,7 +188,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "carry_forward",
         "prior_users",
     )
+    training_data = {"pipeline": corpus_pipeline.run, **llm.QUERIES} if llm else {}
     return {
+        **training_data,
         "period_starts": period_starts,
         "hour_spine": hour_spine,
         "base_transactions": base_transactions,
@@ -235,7 +245,11 @@ def oracle_sql() -> dict[str, str]:
 
     by_product = dict(dims=("PaymentType", "CompanyId", "StandardizedProductName"))
     by_type = dict(dims=("PaymentType", "CompanyId", "CustomerType"))
+    training_data = dict(llm.SQL) if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        training_data["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {
+        **training_data,
         "period_starts": oracles.period_starts(launch),
         "hour_spine": oracles.hour_spine(),
         "base_transactions": one.enriched() + """
