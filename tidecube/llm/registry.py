@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing, packing
+from . import jaccard, mixing, packing
 
 QUERIES = {
+    "op4_jaccard_join": jaccard.op4_jaccard_join,
     "op7_packed_ids": packing.op7_packed_ids,
     "op10_fair_mix": mixing.op10_fair_mix,
 }
