@@ -27,7 +27,8 @@ from .tables import shared_folder, table
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 BLOCK_IDS = 1 << 16
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 500_000
+TEXTS_AT_ONCE = 64
 BLOCKS = (
     "file int, block long, bits int, first long, n_ids long, data binary, "
     "doc_ids array<long>, doc_first array<long>"
@@ -73,8 +74,10 @@ class Encoder:
     """Ids of texts by the tokenizers library.
 
     The tokenizer splits a text into words before it merges, and always before a single space
-    that follows a character other than white space. So what lies between such spaces is encoded
-    once and remembered; texts with two white space characters in a row go through whole.
+    between characters other than white space. So a text is the sequence of its space-separated
+    chunks, each is encoded once, and a dictionary has it afterwards. New chunks are encoded
+    together as one text, which comes apart again at the tokens that begin with a space, as a
+    chunk has none inside. Texts with spaces beside other white space go through whole.
     """
 
     def __init__(self, name: str) -> None:
@@ -85,26 +88,49 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self._tokenizer.encode_special_tokens = True
         self.vocabulary = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        spaced = np.zeros(self.vocabulary, dtype=bool)
+        for token, number in self._tokenizer.get_vocab(with_added_tokens=True).items():
+            spaced[number] = token.startswith("\u0120")  # how byte-level vocabularies show a space
+        self._spaced = spaced
         self._known: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _learn(self, chunks: list[str]) -> None:
+        if len(self._known) + len(chunks) > CACHED_CHUNKS:
+            self._known.clear()
+        for at in range(0, len(chunks), 4096):
+            part = chunks[at : at + 4096]
+            ids = np.frombuffer(self.whole([" " + " ".join(part)])[0], dtype="<u4")
+            begins = np.flatnonzero(self._spaced[ids])
+            if len(begins) == len(part):
+                data, places = ids.tobytes(), [*(4 * begins).tolist(), 4 * len(ids)]
+                pieces = map(data.__getitem__, map(slice, places, places[1:]))
+            else:
+                pieces = self.whole([" " + x for x in part])
+            self._known.update(zip(part, pieces, strict=True))
+
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        known = self._known
+        split = [(x or "").split(" ") for x in texts]
+        firsts = self.whole([parts[0] for parts in split])
+        found = [list(map(known.get, parts[1:])) for parts in split]
+        lacking = [k for k, rest in enumerate(found) if None in rest]
+        new: dict[str, None] = {}
+        for k in lacking:
+            missed = [x for x, y in zip(split[k][1:], found[k], strict=True) if y is None]
+            new.update(dict.fromkeys(missed))
+        # A chunk that has white space at an end, or is empty, makes its text go through whole.
+        self._learn([x for x in new if x and not x[0].isspace() and not x[-1].isspace()])
+        for k in lacking:
+            found[k] = list(map(known.get, split[k][1:]))
         out = []
-        for text in texts:
-            parts = (text or "").split(" ")
-            if "" in parts or any(x[-1].isspace() or x[0].isspace() for x in parts):
-                joined = self.whole([text])[0] if text else b""
-            else:
-                chunks = [parts[0], *(" " + x for x in parts[1:])]
-                if new := [x for x in dict.fromkeys(chunks) if x not in self._known]:
-                    if len(self._known) + len(new) > CACHED_CHUNKS:
-                        self._known.clear()
-                        new = list(dict.fromkeys(chunks))
-                    self._known.update(zip(new, self.whole(new), strict=True))
-                joined = b"".join(map(self._known.__getitem__, chunks))
+        for text, parts, first, rest in zip(texts, split, firsts, found, strict=True):
+            spaced = len(parts) > 1 and (not parts[0] or parts[0][-1].isspace())
+            whole = spaced or None in rest
+            joined = self.whole([text])[0] if whole else first + b"".join(rest)
             out.append(np.frombuffer(joined, dtype="<u4"))
         return out
 
@@ -133,9 +159,9 @@ def _blocks_of(
 
     for batch in batches:
         doc_ids, texts = batch.column(0), batch.column(1)
-        for at in range(0, batch.num_rows, 64):
-            encoded = encode(texts.slice(at, 64).to_pylist())
-            for doc_id, ids in zip(doc_ids.slice(at, 64).to_pylist(), encoded, strict=True):
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            encoded = encode(texts.slice(at, TEXTS_AT_ONCE).to_pylist())
+            for doc_id, ids in zip(doc_ids.slice(at, TEXTS_AT_ONCE).to_pylist(), encoded, strict=True):
                 if held and count + len(ids) + 1 > block_ids:
                     yield finished()
                 held.append((doc_id, np.append(ids, np.uint32(end_id))))

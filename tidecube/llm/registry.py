@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, packing
+from . import decontamination, jaccard, mixing, packing, quality
 
 QUERIES = {
+    "op3_quality": quality.op3_quality,
     "op4_jaccard_join": jaccard.op4_jaccard_join,
+    "op6_decontamination": decontamination.op6_decontamination,
     "op7_packed_ids": packing.op7_packed_ids,
     "op10_fair_mix": mixing.op10_fair_mix,
 }
