@@ -1,23 +1,53 @@
-"""A corpus pipeline of five operators: quality, near copies, leaks, mixing, token ids."""
+"""A corpus pipeline of five operators: quality, near copies, leaks, mixing, token ids.
+
+Every stage takes what its predecessor kept, written to Parquet and read again. All but the last
+return the columns of ``documents``. Tables other than the documents come from ``sf_dir``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidecube.llm.decontamination import decontaminated
+from tidecube.llm.jaccard import deduplicated
 from tidecube.llm.mixing import mixed_documents
 from tidecube.llm.packing import packed
+from tidecube.llm.quality import accepted
 from tidecube.llm.tables import table, written
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the positive-unlabelled classifier rejects go."""
+    return accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of linked documents, the one with the smallest doc_id stays."""
+    return deduplicated(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def at_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix in its order: a row for each time a document is taken, with the words taken."""
     return mixed_documents(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids are written as packed bits and read back: doc_id, start, n_tokens, ids_crc32."""
     return packed(docs)
 
 
-STAGES = [("mixing", mix_sources), ("token_ids", token_ids)]
+STAGES = [
+    ("quality_classifier", good_quality),
+    ("jaccard_join", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("fair_mix", at_target_weights),
+    ("token_ids", token_ids),
+]
 
 #: The first stage is a learned model, which SQL cannot express.
 ORACLE_SQL = None

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
@@ -39,7 +39,7 @@ HASHES = BANDS * ROWS
 _ids = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
 _FACTORS = (_ids[:HASHES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFTS = (_ids[HASHES:] >> np.uint64(32)).astype(np.uint32)
-SIGNED = "row_id long, class binary, n int, signature binary"
+SIGNED = "doc_id long, row_key string, class binary, signature binary"
 
 
 def signature(sets: np.ndarray) -> np.ndarray:
@@ -76,17 +76,16 @@ def _signed(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.Reco
     import hashlib
 
     for batch in batches:
-        names, counts, signatures = [], [], []
-        for text in batch.column(1):
+        names, signatures = [], []
+        for text in batch.column(2):
             found = shingles(words(lowered(text.as_py())).hashes, n_words)
             known = len(found) > 0
             names.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if known else None)
-            counts.append(len(found))
             signatures.append(signature(found).tobytes() if known else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(names, pa.binary()), pa.array(counts, pa.int32()),
+            [batch.column(0), batch.column(1), pa.array(names, pa.binary()),
              pa.array(signatures, pa.binary())],
-            ["row_id", "class", "n", "signature"],
+            ["doc_id", "row_key", "class", "signature"],
         )
 
 
@@ -262,52 +261,42 @@ def _products(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def jaccard_join(
+def grouped(
     docs: DataFrame,
     threshold: float = THRESHOLD,
     n_words: int = WORDS,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """Rows (doc_id, class_id, copy_id, n_copies, n_links), one per row of ``docs``.
+    """Rows (doc_id, row_key, root, class_id, copy_id, n_copies, n_links), one per row of ``docs``.
 
-    class_id is the smallest doc_id of the component of linked documents, copy_id that of the
-    documents with the same set of shingles, n_copies their number, and n_links the number of
-    other shingle sets with a similarity of at least ``threshold``. A text with fewer than
-    ``n_words`` words is a single shingle. A text without words, or null, has no shingles and
-    links with nothing: it is its own class under its own doc_id with one copy. A null doc_id
-    counts among copies and links but names no class unless all are null. Rows that repeat a
-    doc_id are documents of their own. Other columns are not read. Empty tables give no rows.
+    ``row_key`` is a digest of doc_id and text and ``root`` names the component, null for texts
+    without words. The rest: see ``jaccard_join``.
     """
-    texts = docs.select("doc_id", "text")
-    signed = texts.mapInArrow(lambda it: _signed(it, n_words), SIGNED)
-    signed = written(signed.withColumnRenamed("row_id", "doc_id"), "signatures")
+    texts = docs.select("doc_id", row_key().alias("row_key"), "text")
+    signed = written(texts.mapInArrow(lambda it: _signed(it, n_words), SIGNED), "signatures")
     classes = written(
         signed.filter(F.col("class").isNotNull())
         .groupBy("class")
         .agg(
             F.min("doc_id").alias("copy_id"),
+            F.min("row_key").alias("row_key"),
             F.count(F.lit(1)).alias("n_copies"),
             F.first("signature").alias("signature"),
         ),
         "classes",
     )
     needed = needed_matches(threshold, tolerance)
-    members = _members(classes)
     signatures = classes.select("class", "signature")
     alive = written(
-        _by_bucket(members.join(signatures, "class")).mapInArrow(
-            lambda it: _surviving(it, needed), _MEMBER + ", signature binary"
-        ).drop("signature"),
+        _by_bucket(_members(classes).join(signatures, "class"))
+        .mapInArrow(lambda it: _surviving(it, needed), _MEMBER + ", signature binary")
+        .drop("signature"),
         "candidates",
     )
     # One text for each class that has a candidate; its shingles are those of the whole class.
-    wanted = alive.select("class").distinct().join(classes.select("class", "copy_id"), "class")
-    one_of = (
-        signed.join(wanted, "class").filter(F.col("doc_id").eqNullSafe(F.col("copy_id")))
-        .select("doc_id", "class")
-    )
+    wanted = alive.select("class").distinct().join(classes.select("class", "row_key"), "class")
     sets = written(
-        texts.join(one_of, texts["doc_id"].eqNullSafe(one_of["doc_id"]))
+        texts.join(wanted, "row_key")
         .select("class", "text")
         .mapInArrow(lambda it: _shingled(it, n_words), "class binary, shingles binary")
         .groupBy("class").agg(F.first("shingles").alias("shingles")),
@@ -328,18 +317,64 @@ def jaccard_join(
         .withColumn("root", F.coalesce("root", "class"))
     )
     named = placed.groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    placed = placed.join(named, "root").select(
-        "class", "class_id", "copy_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
-    return signed.join(placed, "class", "left").select(
+    placed = placed.join(named, "root")
+    alone = F.col("root").isNull()
+    return signed.select("doc_id", "row_key", "class").join(placed, "class", "left").select(
         "doc_id",
-        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
+        "row_key",
+        "root",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.coalesce("n_copies", F.lit(1).cast("long")).alias("n_copies"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
 
 
+def row_key() -> Column:
+    """A digest of doc_id and text that tells rows apart; null and empty texts are alike."""
+    known = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "text")]
+    return F.md5(F.concat(known[0], F.lit(":"), known[1]))
+
+
+def jaccard_join(
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    n_words: int = WORDS,
+    tolerance: float = TOLERANCE,
+) -> DataFrame:
+    """Rows (doc_id, class_id, copy_id, n_copies, n_links), one per row of ``docs``.
+
+    class_id is the smallest doc_id of the component of linked documents, copy_id that of the
+    documents with the same set of shingles, n_copies their number, and n_links the number of
+    other shingle sets with a similarity of at least ``threshold``. A text with fewer than
+    ``n_words`` words is a single shingle. A text without words, or null, has no shingles and
+    links with nothing: it is its own class under its own doc_id with one copy. A null doc_id
+    counts among copies and links but names no class unless all are null. Rows that repeat a
+    doc_id are documents of their own. Other columns are not read. Empty tables give no rows.
+    """
+    return grouped(docs, threshold, n_words, tolerance).drop("row_key", "root")
+
+
+def deduplicated(docs: DataFrame, threshold: float = THRESHOLD, n_words: int = WORDS) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id, with all its columns.
+
+    Texts without words are no copies of each other; of rows that repeat doc_id and text, one
+    stays.
+    """
+    rows = grouped(docs, threshold, n_words)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+    kept = (
+        rows.groupBy(F.coalesce(F.hex("root"), F.col("row_key")).alias("group"))
+        .agg(first["row_key"].alias("_row_key"))
+    )
+    keyed = docs.withColumn("_row_key", row_key())
+    return (
+        keyed.join(kept.select("_row_key"), "_row_key", "left_semi")
+        .dropDuplicates(["_row_key"])
+        .select(docs.columns)
+    )
+
+
 _MEMBER = "bucket long, left int, right int, band int, block int, class binary"
 
 
