@@ -13,6 +13,8 @@ has and its commit survives lost executors. Packed bits do not compress, so page
 from __future__ import annotations
 
 import os
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -77,7 +79,8 @@ class Encoder:
     between characters other than white space. So a text is the sequence of its space-separated
     chunks, each is encoded once, and a dictionary has it afterwards. New chunks are encoded
     together as one text, which comes apart again at the tokens that begin with a space, as a
-    chunk has none inside. Texts with spaces beside other white space go through whole.
+    chunk has none inside. Texts with spaces beside other white space go through whole. The
+    dictionary has two generations of a bounded size; what is used moves to the younger one.
     """
 
     def __init__(self, name: str) -> None:
@@ -93,14 +96,29 @@ class Encoder:
             spaced[number] = token.startswith("\u0120")  # how byte-level vocabularies show a space
         self._spaced = spaced
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    @classmethod
+    def of_process(cls, name: str) -> Encoder:
+        """The encoder of this Python worker, which outlives the tasks that share the worker."""
+        kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders"))
+        if not hasattr(kept, name):
+            setattr(kept, name, cls(name))
+        return getattr(kept, name)
+
     def _learn(self, chunks: list[str]) -> None:
+        """Gets to know new chunks, from the older generation or by encoding them."""
         if len(self._known) + len(chunks) > CACHED_CHUNKS:
+            self._older = dict(self._known)
             self._known.clear()
+        if self._older:
+            held = {x: y for x in chunks if (y := self._older.get(x)) is not None}
+            self._known.update(held)
+            chunks = [x for x in chunks if x not in held]
         for at in range(0, len(chunks), 4096):
             part = chunks[at : at + 4096]
             ids = np.frombuffer(self.whole([" " + " ".join(part)])[0], dtype="<u4")
@@ -140,7 +158,7 @@ def _blocks_of(
 ) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    encode = Encoder(tokenizer)
+    encode = Encoder.of_process(tokenizer)
     bits, file = width(encode.vocabulary), TaskContext.get().partitionId()
     block, first, held, count = 0, 0, [], 0
 

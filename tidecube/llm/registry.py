@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import chat, decontamination, jaccard, language, mixing, packing, quality
+from . import ann, chat, decontamination, jaccard, language, mixing, packing, personal, quality
 
 QUERIES = {
+    "op1_nearest": ann.op1_nearest,
     "op2_chat_format": chat.op2_chat_format,
     "op3_quality": quality.op3_quality,
     "op4_jaccard_join": jaccard.op4_jaccard_join,
     "op5_language": language.op5_language,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_packed_ids": packing.op7_packed_ids,
+    "op9_personal_data": personal.op9_personal_data,
     "op10_fair_mix": mixing.op10_fair_mix,
 }
 SQL = {"op2_chat_format": chat.SQL, "op10_fair_mix": mixing.SQL}
