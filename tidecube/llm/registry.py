@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, chat, decontamination, jaccard, language, mixing, packing, personal, quality
+from . import ann, chat, decontamination, fuzzy_lines, jaccard, language, mixing, packing, personal, quality
 
 QUERIES = {
     "op1_nearest": ann.op1_nearest,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_language": language.op5_language,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_packed_ids": packing.op7_packed_ids,
+    "op8_fuzzy_lines": fuzzy_lines.op8_fuzzy_lines,
     "op9_personal_data": personal.op9_personal_data,
     "op10_fair_mix": mixing.op10_fair_mix,
 }
