@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
 
@@ -60,6 +60,7 @@ EDGE_BASE_DAYS = {
 BACKFILL = (date(2000, 12, 28), date(2001, 1, 3))
 FIXED = Options(dth_average="day", retained_2ytd="fixed")
 TWO_MONTH = Options(two_month=True)
+HOUR_SHIFT = Options(hour_offset=3)
 BY_PRODUCT = Options(dimensions=(PAYMENT_TYPE, COMPANY, PRODUCT))
 BY_CUSTOMER_TYPE = Options(dimensions=(PAYMENT_TYPE, COMPANY, CUSTOMER_TYPE))
 KEYS = ["DateHour", "PaymentType", "CompanyId"]
@@ -80,12 +81,15 @@ def _pairs(column: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _target_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for a written target, in the cluster's shared folder if it has one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        token = spark.sql("SELECT uuid()").first()[0]
-        return f"{shared.rstrip('/')}/{name}-{token}"
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    """A new folder for a written target, in a folder that all executors share.
+
+    That is ``spark.checkpoint.dir``, or else the warehouse. Folders stay until the cluster
+    clears them.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def period_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,8 +158,16 @@ def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def day_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes three days, then one of them again, and reads all of them back."""
+    return _overwritten(spark, sf_dir, _target_folder(spark, "day_overwrite"))
+
+
+def day_overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a new table of the catalog."""
+    return _overwritten(spark, sf_dir, f"day_overwrite_{uuid.uuid4().hex}")
+
+
+def _overwritten(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
     inputs = orders_inputs(spark, sf_dir)
-    target = _target_folder(spark, "day_overwrite")
     last = BASE_DAY - timedelta(days=1)
     run_range(inputs, last - timedelta(days=2), last, target, ORDERS_LAUNCH)
     run_day(inputs, BASE_DAY, target, ORDERS_LAUNCH)
@@ -206,11 +218,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "todate_cube_events": todate_cube_events,
         "todate_cube_fixed_formulas": _day(BASE_DAY, FIXED),
         "todate_cube_two_month": _day(BASE_DAY, TWO_MONTH),
+        "todate_cube_hour_shift": _day(BASE_DAY, HOUR_SHIFT),
         "todate_cube_by_product": _day(BASE_DAY, BY_PRODUCT),
         "todate_cube_by_customer_type": _day(BASE_DAY, BY_CUSTOMER_TYPE),
         "customer_type_asof": customer_type_asof,
         "backfill_range": backfill_range,
         "day_overwrite": day_overwrite,
+        "day_overwrite_table": day_overwrite_table,
         "dashboard_slice": dashboard_slice,
     }
 
@@ -284,15 +298,18 @@ def oracle_sql() -> dict[str, str]:
             EVENTS_BASE_DAY.isoformat(), EVENTS_LAUNCH.isoformat(), oracles.EVENTS).whole(),
         "todate_cube_fixed_formulas": day(dth_average="day", retained_2ytd="fixed").whole(),
         "todate_cube_two_month": day(two_month=True).whole(),
+        "todate_cube_hour_shift": day(hour_offset=3).whole(),
         "todate_cube_by_product": day(**by_product).whole(),
         "todate_cube_by_customer_type": day(**by_type).whole(),
         "customer_type_asof": day(**by_type).enriched() + """,
-            typed AS (SELECT t.Id, t.CustomerKey, t.CreatedAt, h.CustomerType,
-              rank() OVER (PARTITION BY t.Id ORDER BY h.CreatedAt DESC, h.CustomerType DESC) AS r
+            typed AS (SELECT t.Id, t.CustomerKey, t.CreatedAt,
+              coalesce(h.CustomerType, -80) AS CustomerType, rank() OVER (PARTITION BY t.Id
+                ORDER BY h.CreatedAt DESC, h.CustomerType DESC NULLS LAST) AS r
               FROM eligible t JOIN customer_types h
                 ON h.CustomerKey = t.CustomerKey AND t.CreatedAt >= h.CreatedAt)
             SELECT DISTINCT Id, CustomerKey, CreatedAt, CustomerType FROM typed WHERE r = 1""",
         "backfill_range": days(span),
         "day_overwrite": days(three),
+        "day_overwrite_table": days(three),
         "dashboard_slice": one.whole("WHERE PaymentType = 10000 AND CompanyId = 7"),
     }

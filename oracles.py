@@ -1,7 +1,7 @@
 """DuckDB SQL for the registered queries.
 
-The SQL follows the published procedure step by step (ranks, seeds, prior maxima),
-while the package computes closed forms, so the two are independent readings.
+The SQL goes step by step (running distinct counts, seeds, prior maxima), while the package
+computes closed forms, so the two are independent readings.
 """
 
 from __future__ import annotations
@@ -10,13 +10,15 @@ from datetime import date
 
 ORDERS = """
 transactions AS (
-  SELECT o_orderkey AS Id, o_custkey AS CustomerKey,
+  SELECT o_orderkey AS Id,
+    CASE WHEN o_orderkey % 29 = 0 THEN -o_custkey ELSE o_custkey END AS CustomerKey,
     CAST(CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END
          AS DECIMAL(18,2)) AS Amount,
     o_orderdate + to_hours(CAST(o_orderkey * 7 % 24 AS INT))
                 + to_minutes(CAST(o_orderkey * 13 % 60 AS INT)) AS CreatedAt,
     CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
-         THEN CAST(floor(o_totalprice / 25000) AS INT) END AS CompanyId,
+         THEN CAST(CASE WHEN floor(o_totalprice / 25000) = 5 THEN 105
+                        ELSE floor(o_totalprice / 25000) END AS INT) END AS CompanyId,
     CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN 18 ELSE 17 END AS EntryType,
     CASE WHEN o_totalprice < 8000 THEN 1 ELSE 0 END AS IsCancellation,
     CASE WHEN o_totalprice > 492000 THEN o_custkey END AS OperatorCustomerKey,
@@ -26,8 +28,8 @@ transactions AS (
   FROM orders),
 customer_types AS (
   SELECT o_custkey AS CustomerKey, o_orderdate + to_hours(12) AS CreatedAt,
-    CAST(o_orderkey % 3 AS INT) AS CustomerType
-  FROM orders WHERE o_orderstatus = 'P')"""
+    CAST(NULLIF(o_orderkey % 4, 3) AS INT) AS CustomerType
+  FROM orders)"""
 
 EVENTS = """
 transactions AS (
@@ -40,7 +42,7 @@ transactions AS (
 DIMENSIONS = """
 companies AS (
   SELECT n_nationkey AS Id, NULLIF(n_regionkey, 4) AS PaymentType
-  FROM nation WHERE n_name <> 'NATION_5'),
+  FROM nation),
 customers AS (
   SELECT c_custkey AS Customer_Key,
     TIMESTAMP '1994-06-01' + to_days(CAST(c_custkey * 97 % 900 AS INT))
@@ -50,7 +52,7 @@ customers AS (
          WHEN c_acctbal > 8000 THEN DATE '2020-03-01'
          ELSE CAST(DATE '1950-01-01' + to_days(CAST(c_custkey * 37 % 18000 AS INT)) AS DATE)
     END AS DateOfBirth
-  FROM customer WHERE c_acctbal >= -700)"""
+  FROM customer)"""
 
 AGE_YEARS = "CAST({} AS DOUBLE) / 365.25::DOUBLE"
 TENURE_YEARS = "CAST({} AS DOUBLE) / 525960.0::DOUBLE"
@@ -93,10 +95,15 @@ class Day:
 
     def __init__(self, base_day: str, launch: str, source: str = ORDERS,
                  dims: tuple[str, ...] = ("PaymentType", "CompanyId"), two_month: bool = False,
-                 dth_average: str = "as_written", retained_2ytd: str = "as_written"):
+                 dth_average: str = "as_written", retained_2ytd: str = "as_written",
+                 hour_offset: int = 0):
         self.base, self.launch, self.source = base_day, launch, source
         self.dims, self.dth_average, self.retained_2ytd = dims, dth_average, retained_2ytd
         self.calendar = CALENDAR + ["2MTD"] if two_month else CALENDAR
+        self.hour = "date_trunc('hour', CreatedAt)"
+        if hour_offset:
+            self.hour = "CAST(CAST(CreatedAt AS DATE) AS TIMESTAMP) + " \
+                f"to_hours(CAST((hour(CreatedAt) + {hour_offset}) % 24 AS INT))"
         base = date.fromisoformat(base_day)
         day = date.fromordinal(base.toordinal() - 1)
         self.day = day.isoformat()
@@ -120,10 +127,11 @@ class Day:
                 'ödemesi', 'Payment'), 'payment', 'Payment'), 'NULL') AS VARCHAR), 'N/A')
                 AS StandardizedProductName"""
         if "CustomerType" in self.dims:
-            type_column = ", (SELECT max(h.CustomerType) FROM customer_types h WHERE " \
-                "h.CustomerKey = t.CustomerKey AND h.CreatedAt = (SELECT max(g.CreatedAt) " \
+            # The latest row counts whatever its type; no row at all drops the transaction.
+            type_column = ", (SELECT coalesce(max(h.CustomerType), -80) FROM customer_types h " \
+                "WHERE h.CustomerKey = t.CustomerKey AND h.CreatedAt = (SELECT max(g.CreatedAt) " \
                 "FROM customer_types g WHERE g.CustomerKey = t.CustomerKey " \
-                "AND g.CreatedAt <= t.CreatedAt)) AS CustomerType"
+                "AND g.CreatedAt <= t.CreatedAt) HAVING count(*) > 0) AS CustomerType"
             type_join = " WHERE CustomerType IS NOT NULL"
         return f"""WITH {self.source}, {DIMENSIONS},
 eligible AS (
@@ -152,12 +160,12 @@ levels AS (
   SELECT CustomerKey, DateHour, Date, {', '.join(f'{d}_ AS {d}' for d in self.dims)},
     TxCount, TotalVolume, AgeDays, TenureMinutes
   FROM (
-    SELECT CustomerKey, date_trunc('hour', CreatedAt) AS DateHour,
+    SELECT CustomerKey, {self.hour} AS DateHour,
       CAST(CreatedAt AS DATE) AS Date, {', '.join(f'{d} AS {d}_' for d in self.dims)},
       count(Id) AS TxCount, sum(Amount) AS TotalVolume, max(AgeDays) AS AgeDays,
       max(TenureMinutes) AS TenureMinutes
     FROM enriched
-    GROUP BY CustomerKey, date_trunc('hour', CreatedAt), CAST(CreatedAt AS DATE),
+    GROUP BY CustomerKey, {self.hour}, CAST(CreatedAt AS DATE),
       CUBE({self.key}))),
 customer_cube AS (
   SELECT CustomerKey, DateHour, Date, {labels}, TxCount, TotalVolume, AgeDays, TenureMinutes
@@ -202,17 +210,21 @@ hourly AS (
 totals AS (SELECT *, {', '.join(columns)} FROM hourly)"""
 
     def users(self) -> str:
-        """Running distinct users of each period by rank of first appearance."""
+        """Running distinct users of each period: all customers counted up to each hour.
+
+        Hours without a new customer are left out, as a carried value fills them later.
+        """
         ctes = []
         for p in self.calendar + LONG:
             ctes.append(f"""
 uu_{p} AS (
-  SELECT DateHour, {self.key}, max(ranker) AS UU{p} FROM (
-    SELECT *, rank() OVER (PARTITION BY {self.key} ORDER BY DateHour, CustomerKey) AS ranker
-    FROM (SELECT min(DateHour) AS DateHour, CustomerKey, {self.key} FROM customer_cube
-          WHERE Date >= DATE '{self.start[p]}' AND Date < DATE '{self.base}'
-          GROUP BY CustomerKey, {self.key}))
-  GROUP BY DateHour, {self.key})""")
+  SELECT DateHour, {self.key}, CAST(seen AS BIGINT) AS UU{p} FROM (
+    SELECT *, lag(seen, 1, 0) OVER (PARTITION BY {self.key} ORDER BY DateHour) AS before FROM (
+      SELECT DISTINCT DateHour, {self.key}, count(DISTINCT CustomerKey) OVER (
+        PARTITION BY {self.key} ORDER BY DateHour) AS seen
+      FROM customer_cube
+      WHERE Date >= DATE '{self.start[p]}' AND Date < DATE '{self.base}'))
+  WHERE seen > before)""")
         names = [f"uu_{p}" for p in self.calendar + LONG]
         points = " UNION ".join(f"SELECT DateHour, {self.key} FROM {n}" for n in names)
         joins = " ".join(f"LEFT JOIN {n} USING (DateHour, {self.key})" for n in names)
@@ -322,22 +334,20 @@ compared AS (SELECT * FROM filled LEFT JOIN priors USING ({self.key}))"""
 
 
 def period_starts(launch: str) -> str:
-    """Period starts by the procedure's own offset arithmetic, for every order date."""
-    half = "make_date(year(d2), (month(d2) - 1) // {0} * {0} + 1, 1)"
+    """Period starts by truncating the reported day, for every order date."""
+    def first(months: int) -> str:
+        into = f"CAST((month(day) - 1) % {months} AS INT)"
+        return f"CAST(date_trunc('month', day) - to_months({into}) AS DATE)"
+
     return f"""
-WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS BaseDay FROM orders),
-offsets AS (
-  SELECT BaseDay, CASE WHEN day(BaseDay) = 1 THEN 2 ELSE 1 END AS m,
-    CASE WHEN year(BaseDay) <> year(BaseDay - 1) THEN 1 ELSE 0 END AS y FROM days),
-moved AS (
-  SELECT BaseDay, CAST(BaseDay - m AS DATE) AS d2, year(BaseDay - CAST(y AS INT)) AS yy,
-    CAST(BaseDay - to_months(CAST(m AS INT)) AS DATE) AS month_back FROM offsets)
-SELECT BaseDay, CAST(BaseDay - 1 AS DATE) AS StartDTH,
-  CAST(last_day(month_back) + 1 AS DATE) AS StartMTD, {half.format(2)} AS Start2MTD,
-  {half.format(3)} AS StartQTD, {half.format(6)} AS StartSemiYTD,
-  make_date(yy, 1, 1) AS StartYTD, make_date(yy - 1, 1, 1) AS Start2YTD,
-  make_date(yy - 2, 1, 1) AS Start3YTD, DATE '{launch}' AS StartFeatureLaunchedTD
-FROM moved"""
+WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS BaseDay,
+  CAST(CAST(o_orderdate AS DATE) - 1 AS DATE) AS day FROM orders)
+SELECT BaseDay, day AS StartDTH, {first(1)} AS StartMTD, {first(2)} AS Start2MTD,
+  {first(3)} AS StartQTD, {first(6)} AS StartSemiYTD, {first(12)} AS StartYTD,
+  CAST({first(12)} - INTERVAL 1 YEAR AS DATE) AS Start2YTD,
+  CAST({first(12)} - INTERVAL 2 YEAR AS DATE) AS Start3YTD,
+  DATE '{launch}' AS StartFeatureLaunchedTD
+FROM days"""
 
 
 def hour_spine() -> str:

@@ -6,9 +6,11 @@ import re
 from datetime import date, timedelta
 
 import pytest
-from conftest import SF, rows_of
+from conftest import SF, at, rows_of
 
-from tidecube import backfill_cube, daily_cube, read_inputs
+from tidecube import Options, backfill_cube, daily_cube, read_inputs
+from tidecube.operators.dimensions import COMPANY, CUSTOMER_TYPE, PAYMENT_TYPE
+from tidecube.operators.enrich import payments
 from tidecube.sources.testdata import ORDERS_LAUNCH, orders_inputs
 
 BASE = date(2000, 11, 16)
@@ -101,19 +103,50 @@ def test_results_do_not_depend_on_the_join_strategy(spark, files, no_broadcast):
         assert rows_of(cube) == shuffled[name]
 
 
-def test_skewed_keys_are_split(spark, files, no_broadcast):
-    """Adaptive execution may split the joins; results stay the same."""
-    wanted = rows_of(daily_cube(files, BASE, ORDERS_LAUNCH))
+@pytest.fixture
+def hot(spark, tmp_path, make_inputs):
+    """Facts in files of which one customer, in one month, has most, and how joins see that."""
+    from conftest import customer, tx
+
+    facts = [tx(i, i % 40 if i % 4 == 0 else 7, 10, f"2021-03-{1 + i % 28:02d} {i % 24:02d}:00:00",
+                i % 900) for i in range(6000)]
+    types = [(k, at(f"2021-03-{d:02d} 09:00:00"), d) for k in range(40) for d in (1, 9, 20)]
+    made = make_inputs(facts, [(i, i % 3) for i in range(900)],
+                       [customer(k) for k in range(40)], types)
+    paths = {n: str(tmp_path / n) for n in ("transactions", "companies", "customers", "customer_types")}
+    for name, path in paths.items():
+        getattr(made, name).repartition(8).write.parquet(path)
     settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
     }
-    before = {k: spark.conf.get(k) for k in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        assert rows_of(daily_cube(files, BASE, ORDERS_LAUNCH)) == wanted
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield read_inputs(spark, **paths)
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_skewed_joins_are_split(hot):
+    """The final plan splits joins of a hot customer; the users path has one row per company."""
+    cube = daily_cube(hot, date(2021, 3, 29), date(2020, 1, 1))
+    cube.collect()
+    assert "skew=true" in cube._jdf.queryExecution().executedPlan().toString()
+
+
+def test_customer_type_join_is_split_and_reads_facts_once(hot, capsys):
+    options = Options(dimensions=(PAYMENT_TYPE, COMPANY, CUSTOMER_TYPE))
+    rows = payments(hot, date(2020, 1, 1), date(2021, 3, 29), options, "Id")
+    plan = plan_of(rows, capsys)
+    assert len(re.findall(r"ReadSchema: .*EntryType", plan)) == 1
+    rows.collect()
+    final = rows._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in final
+    # The window over the history is below the join, none is over the facts.
+    assert "Window" not in final.split("SortMergeJoin")[0]

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import date
+from dataclasses import replace
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
 from conftest import at, customer, tx
 from pyspark.sql import functions as F
 
-from tidecube import Options, daily_cube
-from tidecube.operators.dimensions import COMPANY, CUSTOMER_TYPE, PAYMENT_TYPE
+from tidecube import Options, backfill_cube, daily_cube
+from tidecube.operators.dimensions import COMPANY, CUSTOMER_TYPE, PAYMENT_TYPE, PRODUCT
 from tidecube.operators.enrich import base_transactions, payments
 from tidecube.plans.staged import Stages
 
@@ -75,6 +76,41 @@ def test_reserved_ids_fail_the_job(make_inputs, company, payment_type):
         daily_cube(inputs, BASE, LAUNCH).collect()
 
 
+@pytest.mark.parametrize("dimension", ["type", "product", "missing product"])
+def test_reserved_members_of_extra_dimensions_fail_the_job(spark, make_inputs, dimension):
+    by_type = dimension == "type"
+    label = {"product": "(Overall)", "missing product": "NULL"}.get(dimension, "Top-up")
+    inputs = make_inputs(
+        [tx(1, 1, 7, f"{DAY} 05:00:00", 1)], [], [customer(1)],
+        [(1, at("2021-01-01 00:00:00"), 10000 if by_type else 1)],
+    )
+    inputs = replace(
+        inputs,
+        transactions=inputs.transactions.withColumn("StandardizedProductName", F.lit(label)),
+    )
+    options = Options(dimensions=(PAYMENT_TYPE, COMPANY, CUSTOMER_TYPE if by_type else PRODUCT))
+    day = BASE - timedelta(days=1)
+    for cube in (
+        daily_cube(inputs, BASE, LAUNCH, options),
+        Stages(inputs, BASE, LAUNCH, options).published,
+        backfill_cube(inputs, day, day, LAUNCH, options),
+    ):
+        with pytest.raises(Exception, match="reserved id"):
+            cube.collect()
+
+
+def test_a_null_customer_type_ends_the_one_before(make_inputs):
+    types = [(1, at("2021-11-01 00:00:00"), 5), (1, at("2021-11-03 00:00:00"), None),
+             (1, at("2021-11-05 00:00:00"), None), (1, at("2021-11-05 00:00:00"), 6)]
+    inputs = make_inputs(
+        [tx(d, 1, 1, f"2021-11-{d:02d} 10:00:00", 1) for d in (2, 3, 4, 5)], [], [customer(1)],
+        types,
+    )
+    options = Options(dimensions=(PAYMENT_TYPE, COMPANY, CUSTOMER_TYPE))
+    rows = payments(inputs, LAUNCH, BASE, options, "Id").collect()
+    assert {r.Id: r.CustomerType for r in rows} == {2: 5, 3: -80, 4: -80, 5: 6}
+
+
 def test_age_and_tenure(make_inputs):
     born = ["1899-12-31", "1900-01-01", "2019-12-31", "2020-01-01", None]
     inputs = make_inputs(

@@ -7,7 +7,8 @@ from datetime import date, timedelta
 import pytest
 from conftest import COMPANIES, CUSTOMERS, TRANSACTIONS, customer, rows_of, tx
 
-from tidecube import daily_cube, read_inputs, read_slice, run_day, run_range
+from tidecube import Options, daily_cube, read_inputs, read_slice, run_day, run_range
+from tidecube.operators.dimensions import COMPANY, CUSTOMER_TYPE, PAYMENT_TYPE, PRODUCT
 
 LAUNCH = date(2020, 1, 20)
 
@@ -44,6 +45,40 @@ def test_day_that_became_empty_is_emptied(spark, inputs, make_inputs, tmp_path):
     assert read_slice(spark, target, last, last).count() > 0
 
 
+def test_a_table_as_target(spark, inputs, make_inputs):
+    first, last = date(2021, 3, 4), date(2021, 3, 6)
+    written = run_range(inputs, first, last, "cube_target", LAUNCH)
+    assert set(written) == {first + timedelta(days=i) for i in range(3)} and min(written.values())
+    before = rows_of(read_slice(spark, "cube_target", first, last))
+    assert run_day(inputs, date(2021, 3, 6), "cube_target", LAUNCH) == {
+        date(2021, 3, 5): written[date(2021, 3, 5)]
+    }
+    assert rows_of(read_slice(spark, "cube_target", first, last)) == before
+    nobody = make_inputs([], [], [])
+    empty = run_range(nobody, first, date(2021, 3, 5), "cube_target", LAUNCH)
+    assert set(empty.values()) == {0}
+    days = {r.day for r in spark.read.table("cube_target").select("day").distinct().collect()}
+    assert days == {last}
+    spark.sql("DROP TABLE cube_target")
+
+
+def test_command_line_options():
+    from tidecube.__main__ import options_of, parser
+
+    needed = ["--transactions", "t", "--companies", "c", "--customers", "u", "--target", "x"]
+    assert options_of(parser().parse_args(needed)) == Options()
+    args = parser().parse_args(
+        [*needed, "--customer-types", "h", "--by-customer-type", "--by-product", "--two-month",
+         "--dth-average", "day", "--retained-2ytd", "fixed", "--hour-offset", "3",
+         "--day-column", "d", "--launch", "2020-01-20", "--base-day", "2021-03-06",
+         "--first", "2021-03-04", "--last", "2021-03-05"]
+    )
+    assert args.customer_types == "h" and args.first == date(2021, 3, 4)
+    assert options_of(args) == Options(
+        "day", "fixed", True, 3, (PAYMENT_TYPE, COMPANY, PRODUCT, CUSTOMER_TYPE)
+    )
+
+
 def test_slice_prunes_days_and_pushes_members(spark, inputs, tmp_path, capsys):
     target = str(tmp_path / "target")
     day = date(2021, 3, 5)

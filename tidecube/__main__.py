@@ -7,25 +7,53 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
+from tidecube.operators.dimensions import COMPANY, CUSTOMER_TYPE, PAYMENT_TYPE, PRODUCT
 from tidecube.plans.job import DEFAULT_LAUNCH, run_day, run_range
+from tidecube.plans.options import Options
 from tidecube.sources.inputs import read_inputs
 
 
-def main() -> None:
+def parser() -> argparse.ArgumentParser:
     day = date.fromisoformat
-    parser = argparse.ArgumentParser(prog="tidecube", description=__doc__)
-    parser.add_argument("--transactions", required=True)
-    parser.add_argument("--companies", required=True)
-    parser.add_argument("--customers", required=True)
-    parser.add_argument("--day-column", help="date partition column of the transactions")
-    parser.add_argument("--target", required=True)
-    parser.add_argument("--launch", type=day, default=DEFAULT_LAUNCH)
-    parser.add_argument("--base-day", type=day, default=date.today(), help="reports the day before")
-    parser.add_argument("--first", type=day, help="first reported day of a backfill")
-    parser.add_argument("--last", type=day, help="last reported day of a backfill")
-    args = parser.parse_args()
+    out = argparse.ArgumentParser(prog="tidecube", description=__doc__)
+    out.add_argument("--transactions", required=True)
+    out.add_argument("--companies", required=True)
+    out.add_argument("--customers", required=True)
+    out.add_argument("--day-column", help="date partition column of the transactions")
+    out.add_argument("--target", required=True, help="a path or the name of a table")
+    out.add_argument("--customer-types", help="history of customer types")
+    out.add_argument("--launch", type=day, default=DEFAULT_LAUNCH)
+    out.add_argument("--base-day", type=day, default=date.today(), help="reports the day before")
+    out.add_argument("--first", type=day, help="first reported day of a backfill")
+    out.add_argument("--last", type=day, help="last reported day of a backfill")
+    out.add_argument("--by-customer-type", action="store_true", help="adds the dimension")
+    out.add_argument("--by-product", action="store_true", help="adds the dimension")
+    out.add_argument("--two-month", action="store_true", help="adds the two-month period")
+    out.add_argument("--dth-average", choices=("as_written", "day"), default="as_written")
+    out.add_argument("--retained-2ytd", choices=("as_written", "fixed"), default="as_written")
+    out.add_argument("--hour-offset", type=int, default=0, help="shifts the hour of day")
+    return out
+
+
+def options_of(args: argparse.Namespace) -> Options:
+    dimensions = (PAYMENT_TYPE, COMPANY)
+    dimensions += (PRODUCT,) * args.by_product + (CUSTOMER_TYPE,) * args.by_customer_type
+    return Options(
+        dth_average=args.dth_average,
+        retained_2ytd=args.retained_2ytd,
+        two_month=args.two_month,
+        hour_offset=args.hour_offset,
+        dimensions=dimensions,
+    )
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = parser().parse_args(argv)
     if (args.first is None) != (args.last is None):
-        parser.error("--first and --last go together")
+        parser().error("--first and --last go together")
+    if args.by_customer_type and not args.customer_types:
+        parser().error("--by-customer-type needs --customer-types")
+    options = options_of(args)
 
     # The cube is about a hundred columns wide. Generated methods beyond this size would
     # run uncompiled in the JVM; with the limit Spark splits the expressions instead.
@@ -35,12 +63,17 @@ def main() -> None:
         .getOrCreate()
     )
     inputs = read_inputs(
-        spark, args.transactions, args.companies, args.customers, day_column=args.day_column
+        spark,
+        args.transactions,
+        args.companies,
+        args.customers,
+        customer_types=args.customer_types,
+        day_column=args.day_column,
     )
     if args.first:
-        rows = run_range(inputs, args.first, args.last, args.target, args.launch)
+        rows = run_range(inputs, args.first, args.last, args.target, args.launch, options)
     else:
-        rows = run_day(inputs, args.base_day, args.target, args.launch)
+        rows = run_day(inputs, args.base_day, args.target, args.launch, options)
     for reported, count in rows.items():
         print(f"{reported}: {count} rows")
 

@@ -2,68 +2,55 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecube.functions.dates import day_of
+from tidecube.functions.dates import midnight
+from tidecube.operators.dimensions import MISSING, reject_reserved
 
 
-def latest_customer_type(rows: DataFrame, history: DataFrame) -> DataFrame:
-    """Adds the customer's latest type at or before CreatedAt; drops rows without one.
+def type_intervals(history: DataFrame, start: date, end: date) -> DataFrame:
+    """Rows (CustomerKey, month, from, to, type) of what held when, cut at month boundaries.
 
-    Works in two steps so that no task has to hold one customer's whole history.
-    Inside each (customer, day), types and transactions are put in time order and the
-    last type is carried forward. What a day inherits from earlier days is carried
-    over one row per customer and day, and joined back on that key. Of several types
-    with the same time, the greatest wins.
+    The history is small against the transactions: one row per change. Of several types with
+    the same time the greatest wins, and NULL only if there is no other. A NULL type is a value
+    like any other: it ends the type before it, and is labelled as missing (-80).
     """
-    types = history.select(
-        "CustomerKey",
-        F.col("CreatedAt").alias("_at"),
-        day_of(F.col("CreatedAt")).alias("_day"),
-        F.col("CustomerType").alias("_type"),
-    )
-    dated = rows.withColumn("_day", day_of(F.col("CreatedAt"))).withColumn(
-        "_at", F.col("CreatedAt")
+    changes = history.groupBy("CustomerKey", F.col("CreatedAt").alias("_from")).agg(
+        F.max(reject_reserved(F.col("CustomerType"), "CustomerType")).alias("_type")
+    )
+    following = Window.partitionBy("CustomerKey").orderBy("_from")
+    held = changes.withColumn(
+        "_to", F.coalesce(F.lead("_from").over(following), midnight(end))
+    ).filter((F.col("_to") > midnight(start)) & (F.col("_from") < midnight(end)))
+    first = F.trunc(F.greatest(F.col("_from"), midnight(start)), "MM")
+    last = F.trunc(F.least(F.col("_to"), midnight(end)), "MM")
+    return held.select(
+        F.col("CustomerKey").alias("_customer"),
+        "_from",
+        "_to",
+        F.coalesce("_type", F.lit(MISSING)).alias("CustomerType"),
+        F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))).alias("_month"),
     )
 
-    # A transaction sorts after a type of the same moment, so it sees that type.
-    timeline = dated.withColumn("_is_row", F.lit(1)).unionByName(
-        types.withColumn("_is_row", F.lit(0)), allowMissingColumns=True
-    )
-    within_day = Window.partitionBy("CustomerKey", "_day").orderBy(
-        "_at", "_is_row", F.col("_type").asc_nulls_first()
-    )
-    same_day = (
-        timeline.withColumn(
-            "_same_day",
-            F.last("_type", ignorenulls=True).over(
-                within_day.rowsBetween(Window.unboundedPreceding, 0)
-            ),
-        )
-        .filter(F.col("_is_row") == 1)
-        .drop("_at", "_is_row", "_type")
-    )
 
-    last_of_day = types.groupBy("CustomerKey", "_day").agg(
-        F.max(F.struct("_at", "_type")).getField("_type").alias("_last")
-    )
-    days = dated.select("CustomerKey", "_day").unionByName(
-        last_of_day, allowMissingColumns=True
-    ).groupBy("CustomerKey", "_day").agg(F.max("_last").alias("_last"))
-    by_day = Window.partitionBy("CustomerKey").orderBy("_day")
-    inherited = days.select(
-        F.col("CustomerKey").alias("_customer"),
-        F.col("_day").alias("_on"),
-        F.last("_last", ignorenulls=True)
-        .over(by_day.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_inherited"),
-    )
+def latest_customer_type(
+    rows: DataFrame, history: DataFrame, start: date, end: date
+) -> DataFrame:
+    """Adds the customer's latest type at or before CreatedAt; drops rows without one.
 
-    joined = same_day.join(
-        inherited,
-        (F.col("CustomerKey") == F.col("_customer")) & (F.col("_day") == F.col("_on")),
-    )
-    return joined.select(
-        *rows.columns, F.coalesce("_same_day", "_inherited").alias("CustomerType")
-    ).filter(F.col("CustomerType").isNotNull())
+    ``rows`` lie in ``start`` <= CreatedAt < ``end``. They are read once and equi-joined with
+    the intervals on customer and month, so a customer with many transactions is an ordinary
+    skewed join, which adaptive execution can split.
+    """
+    intervals = type_intervals(history, start, end)
+    joined = rows.withColumn("_in", F.trunc("CreatedAt", "MM")).join(
+        intervals,
+        (F.col("CustomerKey") == F.col("_customer"))
+        & (F.col("_in") == F.col("_month"))
+        & (F.col("CreatedAt") >= F.col("_from"))
+        & (F.col("CreatedAt") < F.col("_to")),
+    )
+    return joined.select(*rows.columns, "CustomerType")

@@ -35,14 +35,16 @@ def fill_missing(value: Column) -> Column:
     return F.coalesce(F.coalesce(value, F.lit(MISSING)).cast("int"), F.lit(MISSING_AFTER_CAST))
 
 
-def reject_reserved(value: Column, name: str) -> Column:
-    """Fail the job on a real id that equals a reserved one.
+def reject_reserved(
+    value: Column, name: str, reserved: tuple[int | str, ...] = (OVERALL, MISSING)
+) -> Column:
+    """Fail the job on a real member that equals a reserved one.
 
-    Such an id would silently merge with "overall" or "missing". The test rides
+    Such a member would silently merge with "overall" or "missing". The test rides
     along in the projection, so it costs no extra pass.
     """
     message = F.concat(F.lit(f"{name} uses a reserved id: "), value.cast("string"))
-    return F.when(value.isin(OVERALL, MISSING), F.raise_error(message)).otherwise(value)
+    return F.when(value.isin(*reserved), F.raise_error(message)).otherwise(value)
 
 
 def standardize_product(name: Column) -> Column:
@@ -50,8 +52,9 @@ def standardize_product(name: Column) -> Column:
     # The two spellings replaced and their replacement.
     cleaned = F.replace(F.replace(name, F.lit("ödemesi"), F.lit("Payment")),
                         F.lit("payment"), F.lit("Payment"))
+    real = reject_reserved(cleaned, PRODUCT.name, (OVERALL_PRODUCT, MISSING_PRODUCT))
     return F.coalesce(
-        F.coalesce(cleaned, F.lit(MISSING_PRODUCT)).cast("string"),
+        F.coalesce(real, F.lit(MISSING_PRODUCT)).cast("string"),
         F.lit(MISSING_PRODUCT_AFTER_CAST),
     )
 

@@ -1,8 +1,11 @@
 """Joining transactions with their company and customer.
 
-Both joins are plain equi-joins without hints. Spark broadcasts a side only when its
-size is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise, where
-adaptive execution splits keys that hold too many rows.
+The joins are plain equi-joins without hints. Spark broadcasts a side only when its size
+is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise. There adaptive
+execution splits the joins with a company and with a customer's attributes. It does not
+split the semi-join of the users path, because the aggregate by customer above it uses its
+partitioning; a customer brings at most one row per company there, as rows are summed up
+before, so no task gets more than the number of companies for one customer.
 """
 
 from __future__ import annotations
@@ -44,7 +47,7 @@ def payments(
     if CUSTOMER_TYPE in extra:
         if inputs.customer_types is None:
             raise ValueError("the CustomerType dimension needs customer_types")
-        rows = latest_customer_type(rows, inputs.customer_types)
+        rows = latest_customer_type(rows, inputs.customer_types, start, end)
     return rows
 
 

@@ -32,7 +32,6 @@ from tidecube.sources.inputs import Inputs
 REACH = {"2YTD": 1, "3YTD": 2}
 # Months from one start of a period to the next start that leaves it behind.
 MONTHS = {"MTD": 1, "2MTD": 2, "QTD": 3, "SemiYTD": 6, "YTD": 12, "2YTD": 24, "3YTD": 36}
-ENDLESS = 12000
 
 PATTERN = -1
 
@@ -184,16 +183,16 @@ class Range:
         the length of the scope.
         """
 
-        def metric(name: str, months: int | None, length: int) -> Column:
+        def metric(name: str, months: int | None, length: int | None) -> Column:
             return F.struct(
                 F.lit(self.metrics.index(name)).alias("Metric"),
                 F.lit(months).cast("int").alias("Months"),
-                F.lit(length).alias("Length"),
+                F.lit(length).cast("int").alias("Length"),
             )
 
         value = F.lit(None)
         for i, name in enumerate(self.names):
-            length = ENDLESS if name == LAUNCH else MONTHS.get(name, 0)
+            length = None if name == LAUNCH else MONTHS.get(name, 0)  # NULL: it never ends
             if name in REACH:
                 length = 12
             entries = [metric(f"UU{name}", None, length)]
@@ -214,7 +213,7 @@ class Range:
             f"""CASE WHEN Period IN ({yearly}) AND Months IS NULL
                      THEN greatest(FirstHour, CAST(Scope AS TIMESTAMP_NTZ))
                      WHEN Months IS NULL THEN FirstHour
-                     WHEN {restart} < add_months(Scope, Length)
+                     WHEN Length IS NULL OR {restart} < add_months(Scope, Length)
                      THEN CAST(CASE WHEN Period IN ({yearly}) THEN greatest({restart}, Scope)
                                     ELSE {restart} END AS TIMESTAMP_NTZ) END"""
         )

@@ -3,8 +3,8 @@
 ``daily_cube`` gives the same result with less work. This form is for looking at a
 stage on its own: totals and users at every hour of history, the dense frame before
 and after filling, and the prior-period counts. Later stages use the totals and the
-users several times, so these two are persisted, which computes them from the facts
-once; ``release`` gives their storage back.
+users several times. With ``keep`` these two are persisted, which computes them from the
+facts once for all stages looked at; ``release`` gives their storage back.
 """
 
 from __future__ import annotations
@@ -33,6 +33,10 @@ class Stages:
     base_day: date
     launch: date
     options: Options = Options()
+    keep: bool = False
+
+    def _kept(self, stage: DataFrame) -> DataFrame:
+        return stage.persist() if self.keep else stage
 
     @cached_property
     def periods(self) -> Periods:
@@ -76,18 +80,20 @@ class Stages:
         """Hourly metrics with running counts, volumes and averages."""
         keys = ["DateHour", *self.options.dimension_names]
         running, periods = self._running, self.periods.calendar
-        return running.selectExpr(
-            *keys,
-            *totals.HOURLY_METRICS,
-            *totals.running_count_columns(periods),
-            *totals.running_average_columns(periods, self.options),
-        ).persist()
+        return self._kept(
+            running.selectExpr(
+                *keys,
+                *totals.HOURLY_METRICS,
+                *totals.running_count_columns(periods),
+                *totals.running_average_columns(periods, self.options),
+            )
+        )
 
     @cached_property
     def running_users(self) -> DataFrame:
         rows = payments(self.inputs, self.launch, self.base_day, self.options)
         firsts = users.first_hours(rows, self.inputs, self.periods, self.options)
-        return users.running_users(firsts, self.periods, self.options).persist()
+        return self._kept(users.running_users(firsts, self.periods, self.options))
 
     def release(self) -> None:
         """Unpersists the stages that were persisted."""

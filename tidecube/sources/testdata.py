@@ -18,13 +18,14 @@ EVENTS_LAUNCH = date(2024, 1, 5)
 
 _ORDERS = """
     o_orderkey AS Id,
-    o_custkey AS CustomerKey,
+    CASE WHEN o_orderkey % 29 = 0 THEN -o_custkey ELSE o_custkey END AS CustomerKey,
     CAST(CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END
          AS DECIMAL(18,2)) AS Amount,
     o_orderdate + make_dt_interval(0, CAST(o_orderkey * 7 % 24 AS INT),
                                    CAST(o_orderkey * 13 % 60 AS INT)) AS CreatedAt,
     CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
-         THEN CAST(floor(o_totalprice / 25000) AS INT) END AS CompanyId,
+         THEN CAST(CASE WHEN floor(o_totalprice / 25000) = 5 THEN 105
+                        ELSE floor(o_totalprice / 25000) END AS INT) END AS CompanyId,
     CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN 18 ELSE 17 END AS EntryType,
     CASE WHEN o_totalprice < 8000 THEN 1 ELSE 0 END AS IsCancellation,
     CASE WHEN o_totalprice > 492000 THEN o_custkey END AS OperatorCustomerKey,
@@ -61,7 +62,7 @@ _CUSTOMERS = """
 _CUSTOMER_TYPES = """
     o_custkey AS CustomerKey,
     o_orderdate + make_dt_interval(0, 12) AS CreatedAt,
-    CAST(o_orderkey % 3 AS INT) AS CustomerType
+    CAST(NULLIF(o_orderkey % 4, 3) AS INT) AS CustomerType
 """
 
 
@@ -74,20 +75,18 @@ def _select(df: DataFrame, columns: str) -> DataFrame:
 
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations; one is left out so that its facts match no company."""
-    nation = _table(spark, sf_dir, "nation").filter("n_name <> 'NATION_5'")
-    return _select(nation, _COMPANIES)
+    """Nations. The facts of one price band have an id that is none."""
+    return _select(_table(spark, sf_dir, "nation"), _COMPANIES)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers; deep debtors are left out so that their facts match no customer."""
-    return _select(_table(spark, sf_dir, "customer").filter("c_acctbal >= -700"), _CUSTOMERS)
+    """Customers. One order in 29 has a customer key that is none."""
+    return _select(_table(spark, sf_dir, "customer"), _CUSTOMERS)
 
 
 def customer_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A customer's type changes at noon of a day with a pending order."""
-    orders = _table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
-    return _select(orders, _CUSTOMER_TYPES)
+    """A customer's type changes at noon of each day with an order; some types are NULL."""
+    return _select(_table(spark, sf_dir, "orders"), _CUSTOMER_TYPES)
 
 
 def orders_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
