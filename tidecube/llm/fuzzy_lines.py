@@ -53,14 +53,14 @@ def _buckets(distinct: DataFrame) -> DataFrame:
     """Rows (bucket, node) for each band of each line that has a shingle."""
     width = _UNITS * SHINGLE
     coded = distinct.select("node", F.encode("line", "UTF-16BE").alias("data"))
+    starts = F.sequence(F.lit(1), F.octet_length("data") - (width - 1), F.lit(_UNITS))
+    # The test for length stays above the shuffle, whose rows the texts need as well.
     each = (
-        coded.filter(F.octet_length("data") >= width)
-        .select(
+        coded.select(
             "node", "data",
-            F.explode(
-                F.sequence(F.lit(1), F.octet_length("data") - (width - 1), F.lit(_UNITS))
-            ).alias("at"),
+            F.explode_outer(F.when(F.octet_length("data") >= width, starts)).alias("at"),
         )
+        .filter(F.col("at").isNotNull())
         .select("node", F.xxhash64(F.substring("data", F.col("at"), F.lit(width))).alias("hash"))
     )
     # The value nearest to a fixed number, by exclusive or, is the least under a permutation.
@@ -85,11 +85,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     """Of rows (a, b), those whose shingle sets have at least this Jaccard similarity."""
     one = texts.select(F.col("node").alias("a"), F.col("line").alias("_x"))
     two = texts.select(F.col("node").alias("b"), F.col("line").alias("_y"))
-    sets = pairs.distinct().join(one, "a").join(two, "b").select(
-        "a", "b", _shingle_hashes(F.col("_x")).alias("_x"), _shingle_hashes(F.col("_y")).alias("_y")
+    told = pairs.distinct().join(one, "a").join(two, "b")
+    # Bound to variables, the sets and their intersection are computed once for each pair.
+    sets = F.array(F.struct(_shingle_hashes(F.col("_x")).alias("x"), _shingle_hashes(F.col("_y")).alias("y")))
+    sizes = F.transform(
+        sets,
+        lambda s: F.struct(
+            F.size(F.array_intersect(s["x"], s["y"])).alias("both"),
+            (F.size(s["x"]) + F.size(s["y"])).alias("all"),
+        ),
     )
-    common = F.size(F.array_intersect("_x", "_y"))
-    return sets.filter(common >= threshold * (F.size("_x") + F.size("_y") - common)).select("a", "b")
+    similar = F.exists(sizes, lambda s: s["both"] >= threshold * (s["all"] - s["both"]))
+    return told.filter(similar).select("a", "b")
 
 
 def linked_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

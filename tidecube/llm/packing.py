@@ -13,6 +13,7 @@ has and its commit survives lost executors. Packed bits do not compress, so page
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
 import uuid
@@ -29,8 +30,12 @@ from .tables import shared_folder, table
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 BLOCK_IDS = 1 << 16
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 300_000
 TEXTS_AT_ONCE = 64
+#: Letters that all Unicode versions know as such, then an ASCII character that is no letter.
+_WORD_AND_TAIL = re.compile(
+    r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([\x00-@\[-`{-\x7f].*)", re.S
+).fullmatch
 BLOCKS = (
     "file int, block long, bits int, first long, n_ids long, data binary, "
     "doc_ids array<long>, doc_first array<long>"
@@ -97,6 +102,7 @@ class Encoder:
         self._spaced = spaced
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        self._tails: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -111,14 +117,35 @@ class Encoder:
         return getattr(kept, name)
 
     def _learn(self, chunks: list[str]) -> None:
-        """Gets to know new chunks, from the older generation or by encoding them."""
+        """Gets to know new chunks, from the older generation or by encoding them.
+
+        A word with something behind it, such as a full stop, is the word and that: the
+        tokenizer always splits where letters end.
+        """
         if len(self._known) + len(chunks) > CACHED_CHUNKS:
-            self._older = dict(self._known)
-            self._known.clear()
-        if self._older:
-            held = {x: y for x in chunks if (y := self._older.get(x)) is not None}
-            self._known.update(held)
-            chunks = [x for x in chunks if x not in held]
+            self._older, self._known = self._known, {}
+            self._tails.clear()
+        known, older, tails = self._known, self._older, self._tails
+        split, plain, ends = [], {}, {}
+        for x in chunks:
+            if (y := older.get(x)) is not None:
+                known[x] = y
+            elif (m := _WORD_AND_TAIL(x)) is not None:
+                head, tail = m.groups()
+                split.append((x, head, tail))
+                if head not in known:
+                    plain[head] = None
+                if tail not in tails:
+                    ends[tail] = None
+            elif x and not x[0].isspace() and not x[-1].isspace():
+                plain[x] = None
+        known.update(self._spaced_ids(list(plain)))
+        tails.update(zip(ends, self.whole(list(ends)), strict=True))
+        for x, head, tail in split:
+            known[x] = known[head] + tails[tail]
+
+    def _spaced_ids(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Chunks with their ids after a space, encoded many at once."""
         for at in range(0, len(chunks), 4096):
             part = chunks[at : at + 4096]
             ids = np.frombuffer(self.whole([" " + " ".join(part)])[0], dtype="<u4")
@@ -128,7 +155,7 @@ class Encoder:
                 pieces = map(data.__getitem__, map(slice, places, places[1:]))
             else:
                 pieces = self.whole([" " + x for x in part])
-            self._known.update(zip(part, pieces, strict=True))
+            yield from zip(part, pieces, strict=True)
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         known = self._known
@@ -140,13 +167,15 @@ class Encoder:
         for k in lacking:
             missed = [x for x, y in zip(split[k][1:], found[k], strict=True) if y is None]
             new.update(dict.fromkeys(missed))
-        # A chunk that has white space at an end, or is empty, makes its text go through whole.
-        self._learn([x for x in new if x and not x[0].isspace() and not x[-1].isspace()])
+        # A chunk that has white space at an end, or is empty, stays unknown: its text goes whole.
+        self._learn(list(new))
         for k in lacking:
-            found[k] = list(map(known.get, split[k][1:]))
+            found[k] = list(map(self._known.get, split[k][1:]))
         out = []
         for text, parts, first, rest in zip(texts, split, firsts, found, strict=True):
             spaced = len(parts) > 1 and (not parts[0] or parts[0][-1].isspace())
+            if not spaced and None in rest:  # or known before a generation ended
+                rest = [y or self._older.get(x) for x, y in zip(parts[1:], rest, strict=True)]
             whole = spaced or None in rest
             joined = self.whole([text])[0] if whole else first + b"".join(rest)
             out.append(np.frombuffer(joined, dtype="<u4"))
