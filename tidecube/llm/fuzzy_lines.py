@@ -49,8 +49,8 @@ def _shingle_hashes(line: Column) -> Column:
     )
 
 
-def _buckets(distinct: DataFrame) -> DataFrame:
-    """Rows (bucket, node) for each band of each line that has a shingle."""
+def _banded(distinct: DataFrame) -> DataFrame:
+    """Rows (node, keys) of the lines that have a shingle, with a key for each band."""
     width = _UNITS * SHINGLE
     coded = distinct.select("node", F.encode("line", "UTF-16BE").alias("data"))
     starts = F.sequence(F.lit(1), F.octet_length("data") - (width - 1), F.lit(_UNITS))
@@ -73,7 +73,7 @@ def _buckets(distinct: DataFrame) -> DataFrame:
     bands = [
         F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)
     ]
-    return least.select("node", F.explode(F.array(*bands)).alias("bucket"))
+    return least.select("node", F.array(*bands).alias("keys"))
 
 
 def _fixed(k: int) -> int:
@@ -95,7 +95,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
             (F.size(s["x"]) + F.size(s["y"])).alias("all"),
         ),
     )
-    similar = F.exists(sizes, lambda s: s["both"] >= threshold * (s["all"] - s["both"]))
+    similar = F.exists(sizes, lambda s: s["both"] >= threshold / (1 + threshold) * s["all"])
     return told.filter(similar).select("a", "b")
 
 
@@ -106,7 +106,8 @@ def linked_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     distinct = nodes.repartition("node").distinct()
     within = Window.partitionBy("bucket")
     members = (
-        _buckets(distinct)
+        _banded(distinct)
+        .select("node", F.explode("keys").alias("bucket"))
         .withColumn("first", F.min("node").over(within))
         .withColumn("last", F.max("node").over(within))
         .filter(F.col("first") < F.col("last"))
@@ -118,23 +119,44 @@ def linked_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.col("node").alias("a"), F.col("first").alias("b")
     )
     links = written(_verified(stars, texts, threshold), "links")
-    roots = components(links)
-    placed = (
-        told.select("bucket", "node", "first").join(roots, "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
+    more = written(_across(told, texts, components(links), threshold), "links")
+    return components(links.union(more))
+
+
+def _across(
+    members: DataFrame, texts: DataFrame, roots: DataFrame, threshold: float
+) -> DataFrame:
+    """Links (a, b) between lines of a bucket that are still in different components.
+
+    The test is part of the join's condition, so that only links become rows. It first asks
+    whether an earlier bucket holds both lines, and only then compares their shingle sets.
+    """
+    placed = members.select("bucket", "node", "first").join(roots, "node", "left").withColumn(
+        "root", F.coalesce("root", "node")
     )
-    # Every pair with the first line of a bucket has been compared.
+    # Every line has been compared with the first one of its buckets.
     rest = placed.filter(F.col("node") != F.col("first")).select("bucket", "node", "root")
     several = (
         rest.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
         .filter(F.col("x") < F.col("y")).select("bucket")
     )
     rest = written(rest.join(several, "bucket"), "open")
-    across = rest.alias("x").join(
-        rest.alias("y"), F.expr("x.bucket = y.bucket AND x.root < y.root")
+    shared = rest.groupBy("node").agg(F.sort_array(F.collect_set("bucket")).alias("keys"))
+    sets = written(
+        texts.join(shared, "node").select("node", "keys", _shingle_hashes(F.col("line")).alias("set")),
+        "sets",
+    )
+    every = rest.join(sets, "node")
+    common = F.size(F.array_intersect("x.set", "y.set"))
+    first_shared = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.bucket")
+    alike = common >= threshold / (1 + threshold) * (F.size("x.set") + F.size("y.set"))
+    return every.alias("x").join(
+        every.alias("y"),
+        (F.col("x.bucket") == F.col("y.bucket"))
+        & (F.col("x.root") < F.col("y.root"))
+        & first_shared
+        & alike,
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    more = written(_verified(across, texts, threshold), "links")
-    return components(links.union(more))
 
 
 def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -34,7 +34,7 @@ ROWS = 4
 TOLERANCE = 1e-6
 STEP = 16
 BLOCK = 512
-PAIRS_AT_ONCE = 1 << 18
+PAIRS_AT_ONCE = 1 << 16
 HASHES = BANDS * ROWS
 _ids = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
 _FACTORS = (_ids[:HASHES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -144,12 +144,15 @@ def _pairs(blocks: np.ndarray, begins: np.ndarray, crossing: np.ndarray) -> Iter
         else:
             a, b = np.triu_indices(end - begin, 1)
             a, b = a + begin, b + begin
-        lefts.append(a)
-        rights.append(b)
-        size += len(a)
-        if size >= PAIRS_AT_ONCE:
-            yield np.concatenate(lefts), np.concatenate(rights)
-            lefts, rights, size = [], [], 0
+        while len(a):
+            room = PAIRS_AT_ONCE - size
+            lefts.append(a[:room])
+            rights.append(b[:room])
+            size += len(lefts[-1])
+            a, b = a[room:], b[room:]
+            if size == PAIRS_AT_ONCE:
+                yield np.concatenate(lefts), np.concatenate(rights)
+                lefts, rights, size = [], [], 0
     if size:
         yield np.concatenate(lefts), np.concatenate(rights)
 

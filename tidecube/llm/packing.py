@@ -30,7 +30,7 @@ from .tables import shared_folder, table
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 BLOCK_IDS = 1 << 16
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 200_000
 TEXTS_AT_ONCE = 64
 #: Letters that all Unicode versions know as such, then an ASCII character that is no letter.
 _WORD_AND_TAIL = re.compile(

@@ -225,10 +225,14 @@ def fitted(measured: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
         .agg(F.min("quality").alias("_quality")).filter("_quality = 1").select("doc_id")
     )
     learned = measured.filter(~F.col("held_out"))
-    order = [F.xxhash64("doc_id", F.lit(3)), "doc_id"]
+    draw = F.xxhash64("doc_id", F.lit(3))
 
     def drawn(rows: DataFrame) -> np.ndarray:
-        picked = rows.orderBy(*order).limit(sample).select("features").toPandas()["features"]
+        # Every task offers ``sample`` rows at most, and far fewer where there are many tasks.
+        share = min(1.0, 1.5 * sample / max(1, rows.count()))
+        near = rows.filter(F.pmod(draw, F.lit(1 << 20)) <= int(share * (1 << 20)))
+        picked = near.orderBy(F.pmod(draw, F.lit(1 << 20)), draw, "doc_id").limit(sample)
+        picked = picked.select("features").toPandas()["features"]
         return np.array(picked.tolist(), dtype=np.float32).reshape(-1, N_FEATURES)
 
     return fit(drawn(learned.join(trusted, "doc_id", "left_semi")), drawn(learned))
