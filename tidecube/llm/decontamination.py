@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import table
+from .tables import bounded, table
 from .words import lowered, ngrams, words
 
 SEED_WORDS = 3
@@ -180,7 +180,7 @@ def _clean(batches: Iterator[pa.RecordBatch], items, column: int) -> Iterator[pa
 
 def item_blocks(docs: DataFrame, benchmark: DataFrame) -> list:
     """Broadcast blocks of items with the seeds that the documents' n-gram counts leave them."""
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     listed = benchmark.select("item_id", "text").filter(F.col("text").isNotNull())
     size = listed.agg(F.sum(F.length("text"))).first()[0] or 0
     # An n-gram takes two characters at least, so this many blocks keep to the bound.

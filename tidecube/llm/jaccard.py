@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import table, written
+from .tables import bounded, table, written
 from .words import lowered, mix, shingles, words
 
 WORDS = 5
@@ -226,7 +226,7 @@ def _common(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
     Few pairs are intersected one by one. Where the sets occur in many pairs, as in a group of
     near copies, they become the rows of a 0/1 matrix over the shingles that two of them share,
-    and all intersections are one matrix product, taken over a few thousand shingles at a time.
+    and all intersections are one matrix product, taken over a thousand shingles at a time.
     """
     members = np.unique(np.concatenate([a, b]))
     if len(a) < 8 * len(members):
@@ -255,7 +255,7 @@ def _products(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     order = np.argsort(columns, kind="stable")
     rows, columns = rows[order], columns[order]
     total = np.zeros((len(one), len(two)), dtype=np.float32)
-    width = 4096
+    width = 1024
     for at in range(0, int(columns[-1]) + 1 if len(columns) else 0, width):
         begin, end = np.searchsorted(columns, [at, at + width])
         dense = np.zeros((len(one) + len(two), width), dtype=np.float32)
@@ -275,7 +275,7 @@ def grouped(
     ``row_key`` is a digest of doc_id and text and ``root`` names the component, null for texts
     without words. The rest: see ``jaccard_join``.
     """
-    texts = docs.select("doc_id", row_key().alias("row_key"), "text")
+    texts = bounded(docs).select("doc_id", row_key().alias("row_key"), "text")
     signed = written(texts.mapInArrow(lambda it: _signed(it, n_words), SIGNED), "signatures")
     classes = written(
         signed.filter(F.col("class").isNotNull())

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import table
+from .tables import bounded, table
 
 LENGTHS = (1, 2, 3)
 SAMPLE = 3000
@@ -169,7 +169,7 @@ def languages(docs: DataFrame, model: Model | None = None) -> DataFrame:
     Ties go to the language that sorts first. Columns other than doc_id, lang and text are not
     read. An empty table gives no rows.
     """
-    model = model or fitted(docs)
+    model = model or fitted(bounded(docs))
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(lambda it: _predicted(it, model), PREDICTED)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import shared_folder, table
+from .tables import bounded, shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
@@ -231,7 +231,7 @@ def write_packed(
     columns are not read.
     """
     ordered = (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        bounded(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
     )

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import table, written
+from .tables import bounded, table, written
 from .words import mix
 
 KINDS = ("email", "ip", "card", "phone")
@@ -240,7 +240,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     and the digest of an empty list. Spans of different kinds may overlap. Rows that repeat are
     treated alike. Columns other than doc_id and text are not read; an empty table gives no rows.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text")
+    rows = bounded(docs).select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text")
     extracted = written(rows.mapInArrow(_extracted, ENTITIES), "entities")
     found = extracted.filter(F.size("found") > 0).select("row_id", F.explode("found").alias("x"))
     placed = found.select(
@@ -257,10 +257,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
     every = extracted.select("row_id", "doc_id", "spans").join(added, "row_id", "left")
     no_spans = F.array().cast("array<struct<start: int, kind: int, end: int>>")
     whole = F.array_sort(F.concat("spans", F.coalesce("added", no_spans)))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(KINDS)
-    ]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return every.select(
         "doc_id", *counts, F.sha2(_listed(F.col("spans")), 256).alias("base_sha256"),
         _listed(whole).alias("spans"),

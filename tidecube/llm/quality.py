@@ -24,16 +24,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import table, written
+from .tables import bounded, table, written
 from .words import words
 
 SAMPLE = 20_000
 FOLDS, HELD_OUT = 4, 2
 ACCEPTED = 0.7
-BINS = 12
+BINS = 4
 STEPS = 400
 RATE = 0.05
-DECAY = 1e-4
+DECAY = 1e-3
 _SYMBOLS = "#$%&*!|.,;:?()[]{}<>=+/\\_~^@\"'-"
 _BYTES = np.arange(256)
 _UPPER = (_BYTES >= 65) & (_BYTES <= 90)
@@ -142,23 +142,28 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray, edges: np.ndarray)
 
     The classifier is fitted on one half of both samples. On the other half, the shares of both
     that score at least some value have a ratio that is at least the prior, and near it where few
-    negatives score so high. The value is the one with the least upper bound of that ratio.
+    negatives score so high. The value is the one with the least upper bound of that ratio. The
+    halves then change places, and as both estimates err upwards the smaller one is taken.
     """
     p, u = _binned(edges, positive), _binned(edges, unlabelled)
+    if len(p) < 2 or len(u) < 2:
+        return 0.5
+    halves = [(p[::2], u[::2], p[1::2], u[1::2]), (p[1::2], u[1::2], p[::2], u[::2])]
+    return float(np.clip(min(_best_bin(edges, *x) for x in halves), 0.01, 0.99))
+
 
+def _best_bin(edges: np.ndarray, p, u, other_p, other_u) -> float:
     def gradient(w: np.ndarray) -> np.ndarray:
-        up, uu = _sigmoid(_margin(w, p[::2])), _sigmoid(_margin(w, u[::2]))
-        return 0.5 * (_spread(p[::2], up - 1, len(w)) + _spread(u[::2], uu, len(w)))
+        up, uu = _sigmoid(_margin(w, p)), _sigmoid(_margin(w, u))
+        return 0.5 * (_spread(p, up - 1, len(w)) + _spread(u, uu, len(w)))
 
     w = _descend(edges, gradient)
-    held_p, held_u = np.sort(_margin(w, p[1::2])), np.sort(_margin(w, u[1::2]))
-    if not len(held_p) or not len(held_u):
-        return 0.5
+    held_p, held_u = np.sort(_margin(w, other_p)), np.sort(_margin(w, other_u))
     above_p = 1 - np.searchsorted(held_p, held_p) / len(held_p)
     above_u = 1 - np.searchsorted(held_u, held_p) / len(held_u)
     slack = np.sqrt(np.log(40) / (2 * len(held_p))) + np.sqrt(np.log(40) / (2 * len(held_u)))
     best = int(np.argmin((above_u + slack) / above_p))
-    return float(np.clip(above_u[best] / above_p[best], 0.01, 0.99))
+    return above_u[best] / above_p[best]
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model | None:
@@ -209,7 +214,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def featured(docs: DataFrame) -> DataFrame:
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    rows = bounded(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     kinds = "doc_id long, held_out boolean, features array<float>"
     return written(rows.mapInArrow(_featured, kinds), "features")
 

@@ -25,6 +25,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """The frame, after seeing to it that its session sends texts to Python in small batches.
+
+    Spark's default of 10,000 rows a batch makes tens of megabytes of ordinary documents. A
+    session that has set another number keeps it.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(ARROW_ROWS, "10000") == "10000":
+        conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    return df
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Writes a frame as a Parquet table in the shared folder and reads it back.
 
