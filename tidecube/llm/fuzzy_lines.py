@@ -38,9 +38,11 @@ def _lines(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(*more, split).select(*more, normalised(F.col("line")).alias("line"))
 
 
-def _shingle_hashes(line: Column) -> Column:
-    """The set of shingle hashes of a line of at least one shingle, as an array."""
-    data = F.encode(line, "UTF-16BE")
+def _shingle_hashes(data: Column) -> Column:
+    """The set of shingle hashes of a coded line of at least one shingle, as an array.
+
+    ``data`` must be a stored column, or the lambda would code the line anew for each shingle.
+    """
     starts = F.sequence(
         F.lit(1), F.octet_length(data) - (_UNITS * SHINGLE - 1), F.lit(_UNITS)
     )
@@ -81,10 +83,15 @@ def _fixed(k: int) -> int:
     return int(math.modf((k + 1) * 0.6180339887498949)[0] * 2**52) * 2039 + k
 
 
+def _reached(common: Column, sizes: Column, threshold: float) -> Column:
+    """Whether sets with these sizes in all and this intersection are similar; exact at a tie."""
+    return common * (1 + threshold) >= threshold * sizes - 1e-9
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Of rows (a, b), those whose shingle sets have at least this Jaccard similarity."""
-    one = texts.select(F.col("node").alias("a"), F.col("line").alias("_x"))
-    two = texts.select(F.col("node").alias("b"), F.col("line").alias("_y"))
+    one = texts.select(F.col("node").alias("a"), F.col("data").alias("_x"))
+    two = texts.select(F.col("node").alias("b"), F.col("data").alias("_y"))
     told = pairs.distinct().join(one, "a").join(two, "b")
     # Bound to variables, the sets and their intersection are computed once for each pair.
     sets = F.array(F.struct(_shingle_hashes(F.col("_x")).alias("x"), _shingle_hashes(F.col("_y")).alias("y")))
@@ -95,7 +102,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
             (F.size(s["x"]) + F.size(s["y"])).alias("all"),
         ),
     )
-    similar = F.exists(sizes, lambda s: s["both"] >= threshold / (1 + threshold) * s["all"])
+    similar = F.exists(sizes, lambda s: _reached(s["both"], s["all"], threshold))
     return told.filter(similar).select("a", "b")
 
 
@@ -113,8 +120,10 @@ def linked_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .filter(F.col("first") < F.col("last"))
         .select("bucket", "node", "first")
     )
-    told = written(members.join(distinct, "node"), "members")
-    texts = written(told.select("node", "line").distinct(), "lines")
+    coded = distinct.select("node", F.encode("line", "UTF-16BE").alias("data"))
+    told = written(members.join(coded, "node"), "members")
+    texts = written(told.select("node", "data").distinct(), "lines")
+    told = told.drop("data")
     stars = told.filter(F.col("node") != F.col("first")).select(
         F.col("node").alias("a"), F.col("first").alias("b")
     )
@@ -143,13 +152,13 @@ def _across(
     rest = written(rest.join(several, "bucket"), "open")
     shared = rest.groupBy("node").agg(F.sort_array(F.collect_set("bucket")).alias("keys"))
     sets = written(
-        texts.join(shared, "node").select("node", "keys", _shingle_hashes(F.col("line")).alias("set")),
+        texts.join(shared, "node").select("node", "keys", _shingle_hashes(F.col("data")).alias("set")),
         "sets",
     )
     every = rest.join(sets, "node")
     common = F.size(F.array_intersect("x.set", "y.set"))
     first_shared = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.bucket")
-    alike = common >= threshold / (1 + threshold) * (F.size("x.set") + F.size("y.set"))
+    alike = _reached(common, F.size("x.set") + F.size("y.set"), threshold)
     return every.alias("x").join(
         every.alias("y"),
         (F.col("x.bucket") == F.col("y.bucket"))
