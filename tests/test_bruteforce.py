@@ -7,11 +7,13 @@ from collections import defaultdict
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import customer, tx
+from conftest import SF, customer, rows_of, tx
+from pyspark.sql import functions as F
 
 from tidecube import Options, backfill_cube, daily_cube
 from tidecube.plans.periods import PAIRS, Periods
 from tidecube.plans.staged import Stages
+from tidecube.sources.testdata import orders_inputs
 
 LAUNCH = date(2018, 5, 10)
 COMPANIES = [(1, 1), (2, 1), (3, 2), (4, None)]
@@ -169,3 +171,17 @@ def test_range_with_more_dimensions_equals_single_days(spark):
     assert rows_of(got) == sorted(single, key=str)
     products = {r[0] for r in got.select("StandardizedProductName").distinct().collect()}
     assert products == {"Fatura Payment", "bill Payment", "Top-up", "NULL", "(Overall)"}
+
+
+def test_a_range_over_three_years_equals_single_days(spark):
+    """With the launch inside its first month and days at the edges of periods."""
+    inputs = orders_inputs(spark, SF)
+    launch, last = date(1997, 12, 10), date(2001, 1, 31)
+    cube = backfill_cube(inputs, date(1997, 12, 1), last, launch).persist()
+    days = [date(1998, 1, 1), date(1998, 7, 1), date(1999, 12, 31), date(2000, 1, 1), date(2000, 3, 15), last]
+    for day in days:
+        own = cube.filter(F.to_date("DateHour") == F.lit(day))
+        single = daily_cube(inputs, day + timedelta(days=1), launch)
+        got = rows_of(own)
+        assert got and got == rows_of(single), day
+    cube.unpersist()

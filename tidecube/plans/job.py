@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from datetime import date, timedelta
 
+from pyspark.sql import SparkSession
+
 from tidecube.plans.backfill import backfill_cube
 from tidecube.plans.daily import daily_cube
 from tidecube.plans.options import Options
@@ -14,6 +17,17 @@ from tidecube.sources.target import write_days
 DEFAULT_LAUNCH = date(2020, 1, 20)
 
 
+# Fixed value: bytes of a generated method beyond which the JVM does not compile it.
+COMPILED_METHOD = 8000
+
+
+def warn_of_uncompiled_methods(spark: SparkSession) -> None:
+    """The published projections are wide; with Spark's default limit they may run uncompiled."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(key)) > COMPILED_METHOD:
+        warnings.warn(f"set {key} to {COMPILED_METHOD} for wide cubes", stacklevel=3)
+
+
 def run_day(
     inputs: Inputs,
     base_day: date,
@@ -22,6 +36,7 @@ def run_day(
     options: Options = Options(),
 ) -> dict[date, int]:
     """Computes the day before ``base_day`` and replaces it in the target."""
+    warn_of_uncompiled_methods(inputs.transactions.sparkSession)
     day = base_day - timedelta(days=1)
     return write_days(daily_cube(inputs, base_day, launch, options), target, day, day)
 
@@ -35,5 +50,6 @@ def run_range(
     options: Options = Options(),
 ) -> dict[date, int]:
     """Computes the days ``first`` to ``last`` in one job and replaces them."""
+    warn_of_uncompiled_methods(inputs.transactions.sparkSession)
     cube = backfill_cube(inputs, first, last, launch, options)
     return write_days(cube, target, first, last)

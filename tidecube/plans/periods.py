@@ -63,19 +63,31 @@ class Pair:
         )
 
 
-CALENDAR_PAIRS = tuple(
-    Pair(long, short)
-    for short, longs in (
-        ("MTD", ("QTD", "SemiYTD", "YTD")),
-        ("QTD", ("SemiYTD", "YTD")),
-        ("SemiYTD", ("YTD",)),
-    )
-    for long in longs
+# The compared periods, long and short, in the order of the published columns.
+CALENDAR_PAIRS = (
+    Pair("QTD", "MTD"),
+    Pair("SemiYTD", "MTD"),
+    Pair("YTD", "MTD"),
+    Pair("SemiYTD", "QTD"),
+    Pair("YTD", "QTD"),
+    Pair("YTD", "SemiYTD"),
 )
-LONG_PAIRS = tuple(
-    Pair(long, short)
-    for long in LONG_PERIODS
-    for short in tuple(SHORT_LABELS)[: 4 + LONG_PERIODS.index(long)]
+LONG_PAIRS = (
+    Pair("2YTD", "MTD"),
+    Pair("2YTD", "QTD"),
+    Pair("2YTD", "SemiYTD"),
+    Pair("2YTD", "YTD"),
+    Pair("3YTD", "MTD"),
+    Pair("3YTD", "QTD"),
+    Pair("3YTD", "SemiYTD"),
+    Pair("3YTD", "YTD"),
+    Pair("3YTD", "2YTD"),
+    Pair("FeatureLaunchedTD", "MTD"),
+    Pair("FeatureLaunchedTD", "QTD"),
+    Pair("FeatureLaunchedTD", "SemiYTD"),
+    Pair("FeatureLaunchedTD", "YTD"),
+    Pair("FeatureLaunchedTD", "2YTD"),
+    Pair("FeatureLaunchedTD", "3YTD"),
 )
 PAIRS = CALENDAR_PAIRS + LONG_PAIRS
 
