@@ -178,10 +178,14 @@ def test_a_range_over_three_years_equals_single_days(spark):
     inputs = orders_inputs(spark, SF)
     launch, last = date(1997, 12, 10), date(2001, 1, 31)
     cube = backfill_cube(inputs, date(1997, 12, 1), last, launch).persist()
-    days = [date(1998, 1, 1), date(1998, 7, 1), date(1999, 12, 31), date(2000, 1, 1), date(2000, 3, 15), last]
+    days = [date(1998, 1, 1), date(1998, 7, 1), date(1999, 12, 31), date(2000, 1, 1),
+            date(2000, 3, 15), last]
+    filled = 0
     for day in days:
         own = cube.filter(F.to_date("DateHour") == F.lit(day))
         single = daily_cube(inputs, day + timedelta(days=1), launch)
         got = rows_of(own)
-        assert got and got == rows_of(single), day
+        assert got == rows_of(single), day
+        filled += bool(got)
+    assert filled >= 4  # nobody has been active on the first of January
     cube.unpersist()
