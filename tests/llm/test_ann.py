@@ -94,3 +94,8 @@ def test_query(spark):
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     want = {q: v for q, v in exact(vectors, ids).items() if q % 100 == 0}
     assert recall(got, want) >= 0.9
+
+
+def test_query_equals_sql(spark, duck):
+    rows = sorted(map(tuple, op1_nearest(spark, SF).collect()))
+    assert rows == sorted(duck.execute(ann.SQL).fetchall())

@@ -143,3 +143,7 @@ def test_components(spark, shape):
             root[y] = x
     df = spark.createDataFrame(links, "a long, b long")
     assert {x.node: x.root for x in components(df).collect()} == {x: find(x) for x in root}
+
+
+def test_query_equals_sql(spark, duck):
+    assert rows(op4_jaccard_join(spark, SF)) == sorted(duck.execute(jaccard.SQL).fetchall(), key=str)

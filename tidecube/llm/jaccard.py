@@ -417,3 +417,31 @@ def _by_bucket(members: DataFrame) -> DataFrame:
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per row of ``documents``: doc_id, class_id, copy_id, n_copies, n_links."""
     return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) BETWEEN 1 AND 4 THEN [array_to_string(words, ' ')]
+    WHEN len(words) > 4 THEN list_sort(list_distinct(list_transform(
+      range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))) END AS shingles
+  FROM split),
+classes AS (
+  SELECT shingles, min(doc_id) AS copy_id, count(*) AS n_copies FROM sets
+  WHERE shingles IS NOT NULL GROUP BY shingles),
+each AS (SELECT copy_id, len(shingles) AS n, unnest(shingles) AS shingle FROM classes),
+links AS (
+  SELECT a.copy_id AS a, b.copy_id AS b FROM each a JOIN each b
+    ON a.shingle = b.shingle AND a.copy_id <> b.copy_id
+  GROUP BY a.copy_id, b.copy_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT copy_id AS a, copy_id AS b FROM classes
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+roots AS (SELECT a AS copy_id, min(b) AS class_id FROM reached GROUP BY a),
+counts AS (SELECT a AS copy_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT s.doc_id, coalesce(r.class_id, s.doc_id) AS class_id, coalesce(c.copy_id, s.doc_id) AS copy_id,
+  coalesce(c.n_copies, 1) AS n_copies, coalesce(n.n_links, 0) AS n_links
+FROM sets s LEFT JOIN classes c ON c.shingles = s.shingles
+LEFT JOIN roots r ON r.copy_id = c.copy_id LEFT JOIN counts n ON n.copy_id = c.copy_id"""

@@ -16,4 +16,9 @@ QUERIES = {
     "op9_personal_data": personal.op9_personal_data,
     "op10_fair_mix": mixing.op10_fair_mix,
 }
-SQL = {"op2_chat_format": chat.SQL, "op10_fair_mix": mixing.SQL}
+SQL = {
+    "op1_nearest": ann.SQL,
+    "op2_chat_format": chat.SQL,
+    "op4_jaccard_join": jaccard.SQL,
+    "op10_fair_mix": mixing.SQL,
+}

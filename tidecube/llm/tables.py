@@ -16,9 +16,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``. Where it is unset, as in tests, one is made and set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or (
-            spark.sparkContext.master.startswith("local-cluster")
-        ):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='llm-shared-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
