@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -72,7 +73,7 @@ def test_documents_come_back_from_the_blocks(spark, encoder):
 
 
 def test_random_access_to_blocks(spark, encoder):
-    path = f"{shared_folder(spark)}/access"
+    path = f"{shared_folder(spark)}/access-{uuid.uuid4().hex}"
     docs = spark.createDataFrame([(i, f"text number {i} of some") for i in range(200)], "doc_id long, text string")
     write_packed(docs, path, block_ids=100)
     blocks = [r.asDict() for r in spark.read.parquet(path).collect()]

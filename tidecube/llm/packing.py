@@ -84,7 +84,7 @@ class Encoder:
     between characters other than white space. So a text is the sequence of its space-separated
     chunks, each is encoded once, and a dictionary has it afterwards. New chunks are encoded
     together as one text, which comes apart again at the tokens that begin with a space, as a
-    chunk has none inside. Texts with spaces beside other white space go through whole. The
+    chunk has none inside. Texts with spaces before other white space go through whole. The
     dictionary has two generations of a bounded size; what is used moves to the younger one.
     """
 
@@ -158,26 +158,31 @@ class Encoder:
             yield from zip(part, pieces, strict=True)
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        known = self._known
         split = [(x or "").split(" ") for x in texts]
         firsts = self.whole([parts[0] for parts in split])
-        found = [list(map(known.get, parts[1:])) for parts in split]
-        lacking = [k for k, rest in enumerate(found) if None in rest]
-        new: dict[str, None] = {}
-        for k in lacking:
-            missed = [x for x, y in zip(split[k][1:], found[k], strict=True) if y is None]
-            new.update(dict.fromkeys(missed))
-        # A chunk that has white space at an end, or is empty, stays unknown: its text goes whole.
-        self._learn(list(new))
-        for k in lacking:
-            found[k] = list(map(self._known.get, split[k][1:]))
+        get = self._known.get
+        found = [list(map(get, parts)) for parts in split]
+        for rest in found:
+            rest[0] = b""
+        lacking = [
+            (k, [i for i, y in enumerate(rest) if y is None])
+            for k, rest in enumerate(found)
+            if None in rest
+        ]
+        self._learn(list(dict.fromkeys(split[k][i] for k, places in lacking for i in places)))
+        get, older = self._known.get, self._older.get
+        odd = set()
+        for k, places in lacking:
+            parts, rest = split[k], found[k]
+            for i in places:
+                if (ids := get(parts[i]) or older(parts[i])) is None:
+                    odd.add(k)  # an empty chunk or one with white space at an end
+                    break
+                rest[i] = ids
         out = []
-        for text, parts, first, rest in zip(texts, split, firsts, found, strict=True):
+        for k, (text, parts, first, rest) in enumerate(zip(texts, split, firsts, found, strict=True)):
             spaced = len(parts) > 1 and (not parts[0] or parts[0][-1].isspace())
-            if not spaced and None in rest:  # or known before a generation ended
-                rest = [y or self._older.get(x) for x, y in zip(parts[1:], rest, strict=True)]
-            whole = spaced or None in rest
-            joined = self.whole([text])[0] if whole else first + b"".join(rest)
+            joined = self.whole([text])[0] if spaced or k in odd else first + b"".join(rest)
             out.append(np.frombuffer(joined, dtype="<u4"))
         return out
 
