@@ -73,6 +73,16 @@ def test_equals_brute_force(spark):
         assert cleaned[i] == "\n".join(kept)
 
 
+def test_one_changed_character_in_an_ordinary_line(spark):
+    """A line of 64 characters with one replaced, one lost or one added is a copy; short lines stay."""
+    line = "the quick brown fox jumps over a lazy dog near seven wet bridges"
+    copies = [line, line[:30] + "#" + line[31:], line[:20] + line[21:], line[:40] + "#" + line[40:]]
+    docs = [*enumerate(copies), (10, "fin."), (11, "fin!"), (12, "Fin."), (13, "a brown dog"), (14, "a brawn dig")]
+    rows = line_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in rows if r.dropped} == {1, 2, 3, 12}
+    assert {i for i, d in brute_force(docs).items() if d} == {1, 2, 3, 12}
+
+
 def test_no_python_in_the_plan(spark, capsys):
     df = spark.createDataFrame(fixture()[:5], "doc_id long, text string")
     for result in (line_classes(df), linked_lines(df)):

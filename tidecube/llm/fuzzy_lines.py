@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .tables import table, written
 
-SHINGLE = 12
+SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 8
 ROWS = 4
@@ -174,7 +174,7 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ``dropped`` lists the numbers (from 0) of the lines that go, ascending. Of equal or linked
     lines the one with the smallest doc_id (null last), then the earliest row and line, stays.
     Lines without a character other than white space always stay. A line shorter than a shingle
-    is a copy of equal lines only. A null text has no lines, an empty one has one. Rows that
+    is one shingle as a whole, so a copy of equal lines only. A null text has no lines, an empty one has one. Rows that
     repeat are documents of their own, so the lines of the second go. Columns other than doc_id
     and text are not read; an empty table gives no rows.
     """
