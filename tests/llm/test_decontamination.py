@@ -72,6 +72,21 @@ def test_an_item_that_most_documents_hold_is_still_found(spark):
     assert {x.doc_id for x in contaminated(df, bench).collect()} == {k for k in range(300) if k % 3}
 
 
+def test_a_large_group_of_one_edited_copy_is_found_beside_a_verbatim_one(spark):
+    item = prose(1, 24)
+    edited = list(item)
+    for at in (4, 9, 14, 19):
+        edited[at] = "other"
+    assert smith_waterman(item, edited) == 0.75 * 48
+    docs = [(0, " ".join(prose(9, 20) + item))]
+    docs += [(k, " ".join(prose(k + 10, 20) + edited)) for k in range(1, 1001)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {x.doc_id: x.score for x in contaminated(df, bench).collect()}
+    assert found == {0: 1.0, **dict.fromkeys(range(1, 1001), 0.75)}
+    assert decontaminated(df, bench).count() == 0
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     whole = sorted(map(tuple, op6_decontamination(spark, SF).collect()))
     monkeypatch.setattr(d, "BLOCK_SEEDS", 700)

@@ -1,10 +1,11 @@
-"""Finding benchmark items in training documents: rare n-gram seeds, then local alignment.
+"""Finding benchmark items in training documents: n-gram seeds, then local alignment.
 
-A first scan counts in how many documents each word n-gram of the items occurs. An n-gram that
-is common against the others of its item says nothing about it and is no seed for it. A second
-scan looks up the seeds, takes the stretch of the document around the hits of each item, and
-scores it by Smith-Waterman alignment over words, which tolerates replaced, lost and added
-words. The score is a share of what the whole item would score.
+Every word n-gram of an item is a seed for it, however many documents hold it, so what is found
+in a document does not depend on the other documents. One scan looks the seeds up, takes the
+stretch of the document around the hits of each item, leaves out those with too few of the item's
+words for any alignment to reach the threshold, and scores the others by Smith-Waterman alignment
+over words, which tolerates replaced, lost and added words. The score is a share of what the whole
+item would score.
 
 Items travel to the executors in blocks of a bounded number of n-grams; more items mean more
 scans, not larger blocks. Documents are never shuffled.
@@ -26,11 +27,10 @@ from .words import lowered, ngrams, words
 
 SEED_WORDS = 3
 THRESHOLD = 0.5
-COMMON = 16
 BLOCK_SEEDS = 1 << 20
 MATCH, MISMATCH, GAP = 2, -1, 1
 FOUND = "doc_id long, item_id long, score double, first_word long, last_word long"
-ALIGNED_AT_ONCE = 256
+ALIGNED_AT_ONCE, ALIGNED_CELLS = 256, 1 << 21
 
 
 class Items(NamedTuple):
@@ -43,16 +43,12 @@ class Items(NamedTuple):
     owners: np.ndarray
 
 
-def _items(rows: list[tuple[int | None, str | None]], kept=None) -> Items:
-    """``kept``: for n-gram hashes and their items, whether they are seeds."""
+def _items(rows: list[tuple[int | None, str | None]]) -> Items:
     ids = [i for i, _ in rows]
     texts = [words(lowered(t)).hashes for _, t in rows]
     grams = [np.unique(ngrams(x, SEED_WORDS)) for x in texts]
     owners = np.repeat(np.arange(len(rows)), [len(x) for x in grams])
     flat = np.concatenate([*grams, np.empty(0, dtype=np.uint64)])
-    if kept is not None:
-        chosen = kept(flat, owners)
-        flat, owners = flat[chosen], owners[chosen]
     order = np.lexsort((owners, flat))
     seeds, begins = np.unique(flat[order], return_index=True)
     return Items(ids, texts, seeds, np.append(begins, len(flat)), owners[order])
@@ -68,17 +64,6 @@ def _lookup(seeds: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return places, at[places]
 
 
-def _document_counts(batches: Iterator[pa.RecordBatch], seeds) -> Iterator[pa.RecordBatch]:
-    known = seeds.value
-    counts = np.zeros(len(known), dtype=np.int64)
-    for batch in batches:
-        for text in batch.column(0):
-            _, found = _lookup(known, ngrams(words(lowered(text.as_py())).hashes, SEED_WORDS))
-            counts[np.unique(found)] += 1
-    seen = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["seed", "n"])
-
-
 def align(items: list[np.ndarray], stretches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Best local alignment scores of pairs of word sequences, and where they end (exclusive)."""
     if not items:
@@ -135,8 +120,15 @@ def _matches(items: Items, texts: list[str | None]) -> list[tuple[int, int, floa
     todo = [(k, *x) for k, s in enumerate(sequences) for x in _stretches(items, s)]
     todo.sort(key=lambda x: (x[3] - x[2], len(items.words[x[1]])))
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for at in range(0, len(todo), ALIGNED_AT_ONCE):
-        part = todo[at : at + ALIGNED_AT_ONCE]
+    at = 0
+    while at < len(todo):
+        stop = at + 1
+        # Sorted by length, so the next stretch sets the width of all.
+        while stop < min(len(todo), at + ALIGNED_AT_ONCE) and (
+            (stop + 1 - at) * (todo[stop][3] - todo[stop][2]) <= ALIGNED_CELLS
+        ):
+            stop += 1
+        part, at = todo[at:stop], stop
         own = [items.words[i] for _, i, _, _ in part]
         where = [sequences[k][b:e] for k, _, b, e in part]
         scores, ends = align(own, where)
@@ -178,9 +170,9 @@ def _clean(batches: Iterator[pa.RecordBatch], items, column: int) -> Iterator[pa
         yield batch.filter(pa.array(keep))
 
 
-def item_blocks(docs: DataFrame, benchmark: DataFrame) -> list:
-    """Broadcast blocks of items with the seeds that the documents' n-gram counts leave them."""
-    spark = bounded(docs).sparkSession
+def item_blocks(benchmark: DataFrame) -> list:
+    """Broadcast blocks of items with all their n-grams as seeds."""
+    spark = benchmark.sparkSession
     listed = benchmark.select("item_id", "text").filter(F.col("text").isNotNull())
     size = listed.agg(F.sum(F.length("text"))).first()[0] or 0
     # An n-gram takes two characters at least, so this many blocks keep to the bound.
@@ -191,27 +183,7 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame) -> list:
             F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block
         ).distinct()
         rows = sorted(map(tuple, part.collect()), key=str)
-        every = _items(rows)
-        sent = spark.sparkContext.broadcast(every.seeds)
-        counts = np.zeros(len(every.seeds), dtype=np.int64)
-        found = (
-            docs.select("text")
-            .mapInArrow(lambda it, s=sent: _document_counts(it, s), "seed long, n long")
-            .groupBy("seed").agg(F.sum("n").alias("n"))
-        )
-        for seed, n in found.collect():  # a row for each n-gram of the block at most
-            counts[seed] = n
-
-        def kept(flat: np.ndarray, owners: np.ndarray, every=every, counts=counts) -> np.ndarray:
-            n = counts[np.searchsorted(every.seeds, flat)]
-            keep = np.zeros(len(flat), dtype=bool)
-            for own in np.split(np.arange(len(flat)), np.flatnonzero(np.diff(owners)) + 1):
-                if (n[own] > 0).any():
-                    typical = np.median(n[own][n[own] > 0])
-                    keep[own] = (n[own] > 0) & (n[own] <= COMMON * typical)
-            return keep
-
-        out.append(spark.sparkContext.broadcast(tuple(_items(rows, kept))))
+        out.append(spark.sparkContext.broadcast(tuple(_items(rows))))
     return out
 
 
@@ -224,10 +196,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found together, repeated rows of the benchmark count once, and repeated documents give a
     row each. A null doc_id or item_id stays null. Other columns are not read.
     """
-    texts = docs.select("doc_id", "text")
+    texts = bounded(docs).select("doc_id", "text")
     parts = [
         texts.mapInArrow(lambda it, b=block: _found(it, b), FOUND)
-        for block in item_blocks(docs, benchmark)
+        for block in item_blocks(benchmark)
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -237,9 +209,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item, with all their columns. See ``contaminated``."""
-    column = docs.columns.index("text")
+    column = bounded(docs).columns.index("text")
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema])
-    for block in item_blocks(docs, benchmark):
+    for block in item_blocks(benchmark):
         docs = docs.mapInArrow(lambda it, b=block: _clean(it, b, column), schema)
     return docs
 
