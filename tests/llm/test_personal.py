@@ -9,7 +9,7 @@ from edge_rows import edge_documents, no_documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidecube.llm.personal import KINDS, base_spans, luhn, op9_personal_data, personal_data
+from tidecube.llm.personal import KINDS, _unseen, base_spans, luhn, op9_personal_data, personal_data
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -87,6 +87,55 @@ def test_contexts_discover_what_the_patterns_miss(spark):
     assert all(rows[200 + k].spans == "" for k in range(30))
 
 
+def test_contexts_discover_numbers_over_blanks(spark):
+    r = random.Random(3)
+    docs, want = [], {}
+
+    def put(begin, found, end, kind):
+        want[len(docs)] = f"{kind}:{len(begin)}:{len(begin) + len(found)}"
+        docs.append((len(docs), begin + found + end))
+
+    def card():
+        digits = "4" + "".join(r.choice("0123456789") for _ in range(14))
+        last = next(c for c in "0123456789" if luhn(digits + c))
+        return " ".join((digits + last)[i : i + 4] for i in range(0, 16, 4))
+
+    phones = ("555 867 5309", "(020) 7946 0958", "(555) 867-5309", "06 12 34 56 78", "555 - 867 - 5309")
+    for k in range(60):
+        put(f"noise{k} words please call me at ", f"+1 ({r.randrange(200, 999)}) 555-{r.randrange(1000, 9999)}",
+            f" before noon today {k}x", "phone")
+        put(f"noise{k} words it goes to card number ", card(), f" valid from now {k}x", "card")
+        put(f"noise{k} words and write to ", f"name{k}@host{k}.org", " with all questions", "email")
+    for number in phones:
+        put("other words please call me at ", number, " before noon", "phone")
+        put("other words (please call me at ", number, ") before noon", "phone")
+    put("other words it goes to card number ", "4111 1111 1111 1112", ", valid from now", "card")
+    put("other words and write to ", "jane.doe at example.org", " with all questions", "email")
+    put("other words and write to ", "jane (at) example dot org", " with all questions", "email")
+    seen = len(docs)
+    docs += [(seen + k, f"the total of it was {x} pieces in the end") for k, x in enumerate(phones)]
+    docs.append((seen + 50, "they all met at example.org in the end"))
+    docs.append((seen + 51, "please call me at 12 34 before noon"))
+    rows = personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = {x.doc_id: x.spans for x in rows if x.spans}
+    assert got == want
+    assert all(x.n_phone + x.n_card + x.n_email == (x.doc_id < 180) for x in rows)
+
+
+def test_spans_over_blanks_keep_to_forms():
+    def found(text):
+        return [(text[a:b], kinds) for a, b, kinds in _unseen(text, base_spans(text))]
+
+    assert found("x (020) 7946 0958.") == [("(020) 7946 0958", [3])]
+    assert found("x (555) 867-5309, y") == [("(555) 867-5309", [3]), ("867-5309", [3])]
+    assert found("555  867 5309 1")[0] != ("555  867 5309 1", [3])
+    assert found("v555 867 530 x") == [("v555", []), ("867", []), ("530", [])]
+    assert found("1 2 3") == [("1", []), ("2", []), ("3", [])]
+    assert found("+1 (234) 555-1234 555 867 5309") != []
+    text = "1 2 " * 50_000
+    assert len(list(_unseen(text, []))) > 1000
+
+
 def test_edges(spark):
     nothing = hashlib.sha256(b"").hexdigest()
     rows = personal_data(edge_documents(spark)).collect()

@@ -6,7 +6,8 @@ identifiers that occur in them form a graph. Spark scores it in rounds: a patter
 the share of its distinct identifiers that are trusted to be of one kind, and an unseen
 identifier is as good as the patterns that support it make it. Patterns that end with a high
 confidence, drawn from enough distinct seeds, add the unseen identifiers they surround and that
-have their kind's loose form, such as a telephone number without a country code.
+have their kind's loose form, such as a telephone number without a country code. Loose forms run
+over single blanks between groups of digits, and between a name, "at" and a host.
 """
 
 from __future__ import annotations
@@ -42,6 +43,17 @@ _LOOSE = (
     re.compile(r"[0-9](?:[./_-]?[0-9]){11,18}"),
     re.compile(r"\(?[0-9](?:[()./_-]{0,2}[0-9]){6,14}"),
 )
+_SPACED = (
+    (2, re.compile(r"[0-9](?:(?:[./_-]|\x20(?:[./-]\x20)?)?[0-9]){11,18}")),
+    (3, re.compile(r"\(?[0-9](?:(?:[()./_-]{1,2}|[()]?\x20(?:[./-]\x20)?[()]?)?[0-9]){6,14}\)?")),
+)
+_GROUP = r"\(?[0-9](?:[()./_-]{0,2}[0-9])*\)?"
+_RUN = re.compile(rf"{_GROUP}(?:\x20(?:[./-]\x20)?{_GROUP})+")
+_PART = re.compile(_GROUP)
+_AT = re.compile(
+    r"\x20(?:at|\(at\)|\[at\])\x20[a-z0-9-]+(?:(?:\.|\x20(?:dot|\(dot\)|\[dot\])\x20)[a-z0-9-]+)+", re.I
+)
+MOST_DIGITS = 19
 _TOKEN = re.compile(r"\S*[0-9@]\S*")
 _EDGES = "\"'.,;:!?<>|*#$%&=[]{}"
 _WORD = re.compile(r"\w+")
@@ -112,10 +124,81 @@ def _contexts(text: str, begin: int, end: int) -> list[int]:
     return out
 
 
+def _alone(text: str, begin: int, end: int) -> bool:
+    """Whether only marks stand between a span and the white space around it."""
+    while begin > 0 and text[begin - 1] in _EDGES + "(":
+        begin -= 1
+    while end < len(text) and text[end] in _EDGES + ")":
+        end += 1
+    return (begin == 0 or text[begin - 1].isspace()) and (end == len(text) or text[end].isspace())
+
+
+def _in_run(text: str, begin: int, end: int) -> list[tuple[int, int, list[int]]]:
+    """The spans of loose form over blanks in a run of digit groups, longest first, disjoint."""
+    groups = [m.span() for m in _PART.finditer(text, begin, end)]
+    digits = [sum(c.isdigit() for c in text[a:b]) for a, b in groups]
+    whole = []
+    for i, (a, _) in enumerate(groups):
+        n = digits[i]
+        for j in range(i + 1, len(groups)):
+            n += digits[j]
+            if n > MOST_DIGITS:
+                break
+            x, y = a, groups[j][1]
+            more = text.count("(", x, y) - text.count(")", x, y)
+            x += more > 0 and text[x] == "("  # a bracket around more than this
+            y -= more < 0 and text[y - 1] == ")"
+            kinds = [k for k, form in _SPACED if form.fullmatch(text, x, y)]
+            if kinds and _alone(text, x, y):
+                whole.append((x - y, x, y, i, j, kinds))
+    out, used = [], bytearray(len(groups))
+    for _, x, y, i, j, kinds in sorted(whole):
+        if not any(used[i : j + 1]):
+            used[i : j + 1] = b"\x01" * (j + 1 - i)
+            out.append((x, y, kinds))
+    return out
+
+
+def _spaced(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, list[int]]]:
+    """(start, end, kinds) of identifiers over single blanks, outside the sorted spans ``taken``.
+
+    They are sorted and do not overlap.
+    """
+    out = []
+    # Base spans part the text, so that no run goes over one.
+    at = 0
+    for begin, end in [*taken, (len(text), len(text))]:
+        for m in _RUN.finditer(text, at, max(at, begin)):
+            out += _in_run(text, *m.span())
+        at = max(at, end)
+    done = 0
+    for m in _AT.finditer(text):
+        begin = m.start()
+        while begin > done and not text[begin - 1].isspace() and text[begin - 1] not in "@<>\"'()[]{},;:":
+            begin -= 1
+        if begin < m.start():
+            out.append((begin, m.end(), [0]))
+            done = m.end()
+    out.sort()
+    free, last, k = [], 0, 0
+    for begin, end, kinds in out:
+        while k < len(taken) and taken[k][1] <= begin:
+            k += 1
+        if begin >= last and not (k < len(taken) and taken[k][0] < end):
+            free.append((begin, end, kinds))
+            last = end
+    return free
+
+
 def _unseen(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, list[int]]]:
-    """(start, end, kinds whose loose form it has) of identifiers outside all base spans."""
+    """(start, end, kinds whose loose form it has) of identifiers outside all base spans.
+
+    Within one that runs over blanks, only tokens that have a loose form themselves are listed.
+    """
     taken = sorted((a, b) for a, _, b in taken)
-    k = 0
+    wide = _spaced(text, taken)
+    yield from wide
+    k = w = 0
     for m in _TOKEN.finditer(text):
         begin, end = m.span()
         while begin < end and text[begin] in _EDGES:
@@ -126,7 +209,11 @@ def _unseen(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int,
             k += 1
         if begin == end or k < len(taken) and taken[k][0] < end:
             continue
-        yield begin, end, [j for j, form in enumerate(_LOOSE) if form.fullmatch(text, begin, end)]
+        while w < len(wide) and wide[w][1] <= begin:
+            w += 1
+        kinds = [j for j, form in enumerate(_LOOSE) if form.fullmatch(text, begin, end)]
+        if kinds or not (w < len(wide) and wide[w][0] < end):
+            yield begin, end, kinds
 
 
 ENTITIES = (
@@ -148,7 +235,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for value in batch.column(2):
             text = value.as_py() or ""
             own, entities = [], []
-            if _MARKED.search(text):
+            if _MARKED.search(text) or _AT.search(text):
                 own = base_spans(text)
                 for a, kind, b in own:
                     entities.append((a, b, kind, True))
@@ -254,7 +341,18 @@ def personal_data(docs: DataFrame) -> DataFrame:
         .groupBy("row_id")
         .agg(F.collect_set(F.struct("start", "kind", "end")).alias("added"))  # those of one text
     )
-    every = extracted.select("row_id", "doc_id", "spans").join(added, "row_id", "left")
+    # Of a span over blanks and one inside it, of one kind, the longer one stays.
+    longest = F.filter(
+        "added",
+        lambda x: ~F.exists(
+            "added",
+            lambda y: (y["kind"] == x["kind"]) & (y["start"] <= x["start"]) & (y["end"] >= x["end"])
+            & (y["end"] - y["start"] > x["end"] - x["start"]),
+        ),
+    )
+    every = extracted.select("row_id", "doc_id", "spans").join(
+        added.select("row_id", longest.alias("added")), "row_id", "left"
+    )
     no_spans = F.array().cast("array<struct<start: int, kind: int, end: int>>")
     whole = F.array_sort(F.concat("spans", F.coalesce("added", no_spans)))
 
