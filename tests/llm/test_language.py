@@ -23,6 +23,16 @@ def test_presence_is_that_of_all_n_grams():
     assert present("中文", table) is not None and present("𐐀", table) is not None
 
 
+def test_symbols_beyond_the_first_65536_code_points_are_no_letters(spark):
+    table = letters()
+    assert present("😀 🚀🎉", table) is None and present("𝟙𝟚 🜁", table) is None
+    assert (present("ab 😀c", table) == present("ab 1c", table)).all()
+    docs = [(k, "the words of a text", "en") for k in range(20)] + [(90, "😀🚀 🎉", "en"), (91, "𐐀𐐁", "en")]
+    rows = languages(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()
+    got = {r.doc_id: (r.lang_pred, r.score) for r in rows}
+    assert got[90] == ("und", 0.0) and got[91][0] == "en" and got[1][0] == "en"
+
+
 def test_kernel_ridge_regression_against_the_full_kernel():
     """With every text a landmark, margins are those of the exact kernel matrix."""
     r = np.random.default_rng(1)

@@ -12,7 +12,9 @@ their coefficients once; a batch of texts is then scored by one matrix product.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -34,16 +36,17 @@ PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 _FACTOR = np.uint32(0x9E3779B1)
 
 
+@cache
 def letters() -> np.ndarray:
-    """Which code points below 65536 are letters; those beyond count as letters."""
-    return np.array([chr(i).isalpha() for i in range(1 << 16)])
+    """Which code points are letters; a table of 1.1 MB, made once for each Python process."""
+    return np.array([chr(i).isalpha() for i in range(sys.maxunicode + 1)])
 
 
 def present(text: str | None, is_letter: np.ndarray) -> np.ndarray | None:
     """Presence of each n-gram slot in a text; none if it has no letter."""
     raw = (text or "").lower().encode("utf-32-le", "surrogatepass")
     points = np.frombuffer(raw, dtype="<u4")
-    letter = is_letter[np.minimum(points, 0xFFFF)] | (points > 0xFFFF)
+    letter = is_letter[points]
     if not letter.any():
         return None
     points = points * letter + np.uint32(1)
