@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from . import ann, chat, decontamination, fuzzy_lines, jaccard, language, mixing, packing, personal, quality
+from . import (
+    ann,
+    chat,
+    decontamination,
+    fuzzy_lines,
+    jaccard,
+    language,
+    lexical,
+    mixing,
+    packing,
+    personal,
+    quality,
+)
 
 QUERIES = {
     "op1_nearest": ann.op1_nearest,
@@ -15,10 +27,12 @@ QUERIES = {
     "op8_fuzzy_lines": fuzzy_lines.op8_fuzzy_lines,
     "op9_personal_data": personal.op9_personal_data,
     "op10_fair_mix": mixing.op10_fair_mix,
+    "op13_lexical_search": lexical.op13_lexical_search,
 }
 SQL = {
     "op1_nearest": ann.SQL,
     "op2_chat_format": chat.SQL,
     "op4_jaccard_join": jaccard.SQL,
     "op10_fair_mix": mixing.SQL,
+    "op13_lexical_search": lexical.SQL,
 }
