@@ -14,6 +14,7 @@ from . import (
     packing,
     personal,
     quality,
+    trie,
 )
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_fuzzy_lines": fuzzy_lines.op8_fuzzy_lines,
     "op9_personal_data": personal.op9_personal_data,
     "op10_fair_mix": mixing.op10_fair_mix,
+    "op12_prefix_trie": trie.op12_prefix_trie,
     "op13_lexical_search": lexical.op13_lexical_search,
 }
 SQL = {
@@ -34,5 +36,6 @@ SQL = {
     "op2_chat_format": chat.SQL,
     "op4_jaccard_join": jaccard.SQL,
     "op10_fair_mix": mixing.SQL,
+    "op12_prefix_trie": trie.SQL,
     "op13_lexical_search": lexical.SQL,
 }
