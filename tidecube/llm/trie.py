@@ -9,7 +9,8 @@ members of the next one below. Nothing is kept on a stack and no candidate waits
 
 What a node reports is a sum over its rows, given the true common-prefix lengths at the borders of
 a part, so that a node whose members lie in several parts is put together by adding its pieces.
-Only prefixes of a part's first and last sequence can be such nodes.
+Only prefixes of a part's first and last sequence can be such nodes. The digest of a group's ids
+has to be taken in one go; of a group that crosses parts, the ids come to it as a stream of runs.
 """
 
 from __future__ import annotations
@@ -202,7 +203,7 @@ def _part_nodes(
         return first_names[k] if first == 0 and k <= max(before, 0) else last_names[k]
 
     ends = [NO_ENDS] * len(left)
-    open_ends: list[tuple[bytes, int]] = []
+    open_ends: list[tuple[bytes, int, str]] = []
     full = np.flatnonzero(lengths[left] == depth)
     equal = np.append(shared[1:], -1) == lengths  # the next row shares all of this one
     equal[:-1] &= lengths[1:] == lengths[:-1]
@@ -212,7 +213,9 @@ def _part_nodes(
         if (a == 0 and same_before) or (b == n - 1 and same_after):
             k = int(depth[node])
             named = (first_names if a == 0 and same_before else last_names)[k]
-            open_ends += [(named, int(i)) for i in ids[a : b + 1]]
+            for low in range(a, b + 1, BATCH):
+                run = ids[low : min(low + BATCH, b + 1)].tolist()
+                open_ends.append((named, run[0], ",".join(map(str, run))))
             ends[node] = ""
         else:
             ends[node] = hashlib.sha256(",".join(map(str, ids[a : b + 1].tolist())).encode()).hexdigest()
@@ -255,13 +258,9 @@ def _part_nodes(
                            zip(up_piece.tolist(), up_a.tolist(), bottoms, strict=True)],
             }
         begin = stop
-    for at in range(0, len(open_ends), BATCH):
-        some = open_ends[at : at + BATCH]
-        blank = [None] * len(some)
-        yield {c: blank for c in ("depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
-                                  "ends_sha256", "parent")} | {
-            "kind": np.full(len(some), END, dtype=np.int32), "conv_id": [i for _, i in some], "node": [x for x, _ in some]
-        }
+    # At most two groups, in runs of ids; written out as what they add to the group's list.
+    for named, first, run in open_ends:
+        yield {c: [None] for c in _COLUMNS} | {"kind": [END], "conv_id": [first], "node": [named], "ends_sha256": [run]}
 
 
 _TYPES = {"kind": pa.int32(), "ends_sha256": pa.string(), "node": pa.binary(), "parent": pa.binary()}
@@ -299,17 +298,18 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest of each node's ids, from rows (node, conv_id) sorted by both; ids pass as a stream."""
+    """Digest of each node's ids, from rows (node, run) in the order of ids; runs pass as a stream."""
     now, state = None, None
     for batch in batches:
         out = []
-        for node, conv in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for node, run in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if node != now:
                 if state is not None:
                     out.append((now, state.hexdigest()))
-                now, state = node, hashlib.sha256(str(conv).encode())
+                now, state = node, hashlib.sha256()
             else:
-                state.update(b",%d" % conv)
+                state.update(b",")
+            state.update(run.encode())
         yield _digest_rows(out)
     if state is not None:
         yield _digest_rows([(now, state.hexdigest())])
@@ -380,8 +380,8 @@ def prefix_trie(sequences: DataFrame, parts: int | None = None) -> DataFrame:
         "nodes",
     )
     digests = (
-        found.filter(F.col("kind") == END).select("node", "conv_id").repartition(parts, "node")
-        .sortWithinPartitions("node", "conv_id").mapInArrow(_digests, "node binary, digest string")
+        found.filter(F.col("kind") == END).repartition(parts, "node").sortWithinPartitions("node", "conv_id")
+        .select("node", "ends_sha256").mapInArrow(_digests, "node binary, digest string")
     )
     measures = ("n_convs", "n_children", "n_leaves", "saved_tokens")
 
