@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import (
     ann,
     chat,
+    credentials,
     decontamination,
     fuzzy_lines,
     jaccard,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_fuzzy_lines": fuzzy_lines.op8_fuzzy_lines,
     "op9_personal_data": personal.op9_personal_data,
     "op10_fair_mix": mixing.op10_fair_mix,
+    "op11_owned_secrets": credentials.op11_owned_secrets,
     "op12_prefix_trie": trie.op12_prefix_trie,
     "op13_lexical_search": lexical.op13_lexical_search,
 }
