@@ -1,0 +1,141 @@
+"""Ranges of days replaced in one step."""
+
+from __future__ import annotations
+
+from datetime import date, timedelta
+
+import pytest
+from conftest import customer, rows_of, tx
+
+from tidecube import Options, daily_cube, read_days, replace_days, run_day, run_range
+from tidecube.sources import commits
+
+LAUNCH = date(2020, 1, 20)
+FIRST, LAST = date(2021, 3, 4), date(2021, 3, 6)
+
+
+@pytest.fixture
+def inputs(make_inputs):
+    facts = [tx(i, i % 5, 10 + i, f"2021-03-{1 + i % 9:02d} {i % 24:02d}:00:00", i % 3)
+             for i in range(60)]
+    return make_inputs(facts, [(0, 1), (1, 1), (2, 2)], [customer(k) for k in range(5)])
+
+
+def run(inputs, store, first=FIRST, last=LAST, **kw):
+    return run_range(inputs, first, last, store, LAUNCH, write=replace_days, **kw)
+
+
+def test_a_rerun_replaces_its_days_only(spark, inputs, tmp_path):
+    store = str(tmp_path / "store")
+    written = run(inputs, store)
+    before = rows_of(read_days(spark, store, FIRST, LAST))
+    assert set(written) == {FIRST + timedelta(days=i) for i in range(3)} and len(before) == sum(written.values())
+    again = run_day(inputs, date(2021, 3, 6), store, LAUNCH, write=replace_days)
+    assert again == {date(2021, 3, 5): written[date(2021, 3, 5)]}
+    assert rows_of(read_days(spark, store, FIRST, LAST)) == before
+    day = read_days(spark, store, LAST, LAST).drop("day")
+    assert rows_of(day) == rows_of(daily_cube(inputs, date(2021, 3, 7), LAUNCH))
+    assert commits.latest_version(spark, store) == 2
+
+
+def test_a_job_killed_between_write_and_commit_changes_nothing(
+    spark, inputs, make_inputs, tmp_path, monkeypatch
+):
+    store = str(tmp_path / "store")
+    run(inputs, store)
+    before = rows_of(read_days(spark, store, FIRST, LAST))
+
+    def killed(*args, **kw):
+        raise KeyboardInterrupt
+
+    fewer = make_inputs([tx(1, 1, 5, "2021-03-05 10:00:00", 1)], [(1, 1)], [customer(1)])
+    for step in ("publish", "stage"):
+        with monkeypatch.context() as patch:
+            patch.setattr(commits, step, killed)
+            with pytest.raises(KeyboardInterrupt):
+                run(fewer, store)
+        assert rows_of(read_days(spark, store, FIRST, LAST)) == before
+    run(fewer, store)
+    after = read_days(spark, store, FIRST, LAST)
+    assert {r.day for r in after.select("day").collect()} == {date(2021, 3, 5), date(2021, 3, 6)}
+    # One commit emptied one day and replaced two; the old range can still be read.
+    assert rows_of(read_days(spark, store, FIRST, LAST, version=1)) == before
+
+
+def test_a_failing_task_of_the_write_changes_nothing(spark, inputs, make_inputs, tmp_path):
+    store = str(tmp_path / "store")
+    run(inputs, store)
+    before = rows_of(read_days(spark, store, FIRST, LAST))
+    reserved = make_inputs([tx(1, 1, 5, "2021-03-05 10:00:00", 10000)], [(10000, 1)], [customer(1)])
+    with pytest.raises(Exception, match="reserved"):
+        run(reserved, store)
+    assert rows_of(read_days(spark, store, FIRST, LAST)) == before
+
+
+def test_a_reader_keeps_the_version_it_has_planned_on(spark, inputs, make_inputs, tmp_path):
+    store = str(tmp_path / "store")
+    run(inputs, store)
+    planned = read_days(spark, store, FIRST, LAST)
+    before = rows_of(planned)
+    run(make_inputs([], [], []), store)
+    assert read_days(spark, store, FIRST, LAST).count() == 0
+    assert rows_of(planned) == before
+
+
+def test_days_without_rows(spark, inputs, make_inputs, tmp_path):
+    store = str(tmp_path / "store")
+    nobody = make_inputs([], [], [])
+    with pytest.raises(ValueError, match="nothing is committed"):
+        read_days(spark, store, FIRST, LAST)
+    assert set(run(nobody, store).values()) == {0}
+    empty = read_days(spark, store, FIRST, LAST)
+    assert empty.count() == 0 and "day" in empty.columns and "UUHourly" in empty.columns
+    run(inputs, store, LAST, LAST)
+    assert read_days(spark, store, FIRST, FIRST).count() == 0
+    assert read_days(spark, store, FIRST - timedelta(days=9), FIRST - timedelta(days=8)).count() == 0
+    assert {r.day for r in read_days(spark, store, FIRST, LAST).select("day").collect()} == {LAST}
+
+
+def test_columns_added_later_are_null_before(spark, inputs, tmp_path):
+    store = str(tmp_path / "store")
+    run(inputs, store, FIRST, FIRST)
+    run(inputs, store, LAST, LAST, options=Options(two_month=True))
+    rows = read_days(spark, store, FIRST, LAST)
+    assert rows.filter("UU2MTD IS NULL").select("day").distinct().collect() == [(FIRST,)]
+    assert rows.filter("UU2MTD IS NOT NULL").select("day").distinct().collect() == [(LAST,)]
+
+
+def test_rows_outside_the_range_are_refused(spark, inputs, tmp_path):
+    cube = daily_cube(inputs, date(2021, 3, 6), LAUNCH)
+    with pytest.raises(ValueError, match="not replaced"):
+        replace_days(cube, str(tmp_path / "store"), LAST, LAST)
+    assert commits.latest_version(spark, str(tmp_path / "store")) == 0
+
+
+def test_slices_read_their_folders_and_push_members(spark, inputs, tmp_path, capsys):
+    store = str(tmp_path / "store")
+    run(inputs, store)
+    one = read_days(spark, store, LAST, LAST, PaymentType=10000, CompanyId=2)
+    assert one.count() == 24
+    one.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "EqualTo(PaymentType,10000)" in plan and "EqualTo(CompanyId,2)" in plan
+    assert f"part={LAST}" in plan and f"part={FIRST}" not in plan
+
+
+def test_folders_that_no_version_reads(spark, inputs, tmp_path):
+    store = str(tmp_path / "store")
+    run(inputs, store)
+    assert commits.unused_folders(spark, store) == []
+    first = [e.folder for e in commits.entries(spark, store)]
+    run(inputs, store, FIRST, FIRST)
+    assert commits.unused_folders(spark, store) == [first[0]]
+    assert commits.unused_folders(spark, store, keep_from=1) == []
+
+
+def test_command_line_option():
+    from tidecube.__main__ import parser
+
+    needed = ["--transactions", "t", "--companies", "c", "--customers", "u", "--target", "x"]
+    assert not parser().parse_args(needed).one_step
+    assert parser().parse_args([*needed, "--one-step"]).one_step

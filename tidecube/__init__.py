@@ -5,6 +5,7 @@ from tidecube.plans.daily import daily_cube
 from tidecube.plans.job import run_day, run_range
 from tidecube.plans.options import Options
 from tidecube.plans.periods import Periods
+from tidecube.sources.commits import read_days, replace_days
 from tidecube.sources.inputs import Inputs, read_inputs
 from tidecube.sources.target import read_slice, write_days
 
@@ -14,8 +15,10 @@ __all__ = [
     "Periods",
     "backfill_cube",
     "daily_cube",
+    "read_days",
     "read_inputs",
     "read_slice",
+    "replace_days",
     "run_day",
     "run_range",
     "write_days",

@@ -10,7 +10,9 @@ from pyspark.sql import SparkSession
 from tidecube.operators.dimensions import COMPANY, CUSTOMER_TYPE, PAYMENT_TYPE, PRODUCT
 from tidecube.plans.job import DEFAULT_LAUNCH, run_day, run_range
 from tidecube.plans.options import Options
+from tidecube.sources.commits import replace_days
 from tidecube.sources.inputs import read_inputs
+from tidecube.sources.target import write_days
 
 
 def parser() -> argparse.ArgumentParser:
@@ -21,6 +23,8 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--customers", required=True)
     out.add_argument("--day-column", help="date partition column of the transactions")
     out.add_argument("--target", required=True, help="a path or the name of a table")
+    out.add_argument("--one-step", action="store_true",
+                     help="the target is a folder of commits, which show a whole run at once")
     out.add_argument("--customer-types", help="history of customer types")
     out.add_argument("--launch", type=day, default=DEFAULT_LAUNCH)
     out.add_argument("--base-day", type=day, default=date.today(), help="reports the day before")
@@ -70,10 +74,11 @@ def main(argv: list[str] | None = None) -> None:
         customer_types=args.customer_types,
         day_column=args.day_column,
     )
+    write = replace_days if args.one_step else write_days
     if args.first:
-        rows = run_range(inputs, args.first, args.last, args.target, args.launch, options)
+        rows = run_range(inputs, args.first, args.last, args.target, args.launch, options, write)
     else:
-        rows = run_day(inputs, args.base_day, args.target, args.launch, options)
+        rows = run_day(inputs, args.base_day, args.target, args.launch, options, write)
     for reported, count in rows.items():
         print(f"{reported}: {count} rows")
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tidecube.plans.backfill import backfill_cube
 from tidecube.plans.daily import daily_cube
@@ -13,6 +14,9 @@ from tidecube.plans.options import Options
 from tidecube.sources.inputs import Inputs
 from tidecube.sources.target import write_days
 
+#: Puts a cube of some days into a target: ``write_days``, or ``replace_days`` for one step.
+Writer = Callable[[DataFrame, str, date, date], dict[date, int]]
+
 # Fixed value: first day with transactions, unless another is given.
 DEFAULT_LAUNCH = date(2020, 1, 20)
 
@@ -34,11 +38,12 @@ def run_day(
     target: str,
     launch: date = DEFAULT_LAUNCH,
     options: Options = Options(),
+    write: Writer = write_days,
 ) -> dict[date, int]:
     """Computes the day before ``base_day`` and replaces it in the target."""
     warn_of_uncompiled_methods(inputs.transactions.sparkSession)
     day = base_day - timedelta(days=1)
-    return write_days(daily_cube(inputs, base_day, launch, options), target, day, day)
+    return write(daily_cube(inputs, base_day, launch, options), target, day, day)
 
 
 def run_range(
@@ -48,8 +53,9 @@ def run_range(
     target: str,
     launch: date = DEFAULT_LAUNCH,
     options: Options = Options(),
+    write: Writer = write_days,
 ) -> dict[date, int]:
     """Computes the days ``first`` to ``last`` in one job and replaces them."""
     warn_of_uncompiled_methods(inputs.transactions.sparkSession)
     cube = backfill_cube(inputs, first, last, launch, options)
-    return write_days(cube, target, first, last)
+    return write(cube, target, first, last)
