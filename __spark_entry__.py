@@ -14,7 +14,17 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracles  # noqa: E402
-from tidecube import Options, backfill_cube, daily_cube, read_slice, run_day, run_range  # noqa: E402
+from tidecube import (  # noqa: E402
+    Options,
+    backfill_cube,
+    daily_cube,
+    keep_activity,
+    read_days,
+    read_slice,
+    replace_days,
+    run_day,
+    run_range,
+)
 from tidecube.functions.dates import NTZ, half_year_start  # noqa: E402
 from tidecube.operators.dimensions import (  # noqa: E402
     COMPANY,
@@ -174,6 +184,38 @@ def _overwritten(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
     return read_slice(spark, target, last - timedelta(days=2), last).drop("day")
 
 
+def day_overwrite_one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with one commit per run, read through the commits."""
+    inputs, store = orders_inputs(spark, sf_dir), _target_folder(spark, "day_overwrite_one_step")
+    last = BASE_DAY - timedelta(days=1)
+    first = last - timedelta(days=2)
+    run_range(inputs, first, last, store, ORDERS_LAUNCH, write=replace_days)
+    run_day(inputs, BASE_DAY, store, ORDERS_LAUNCH, write=replace_days)
+    return read_days(spark, store, first, last).drop("day")
+
+
+def _activity(spark: SparkSession, sf_dir: str, base_day: date):
+    """Kept activity, built up to a year and a half before and then brought up to the day."""
+    inputs, store = orders_inputs(spark, sf_dir), _target_folder(spark, "activity")
+    keep_activity(inputs, base_day - timedelta(days=550), store, ORDERS_LAUNCH)
+    return inputs, keep_activity(inputs, base_day, store, ORDERS_LAUNCH)
+
+
+def kept_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity bits by customer, company and month."""
+    return _activity(spark, sf_dir, BASE_DAY)[1].rows
+
+
+def _kept_day(base_day: date) -> Callable[[SparkSession, str], DataFrame]:
+    """The cube of a day with users of closed months from the kept activity."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        inputs, activity = _activity(spark, sf_dir, base_day)
+        return daily_cube(inputs, base_day, ORDERS_LAUNCH, activity=activity)
+
+    return query
+
+
 def dashboard_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One company over all payment types, read from a written target."""
     target = _target_folder(spark, "dashboard_slice")
@@ -225,7 +267,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "backfill_range": backfill_range,
         "day_overwrite": day_overwrite,
         "day_overwrite_table": day_overwrite_table,
+        "day_overwrite_one_step": day_overwrite_one_step,
         "dashboard_slice": dashboard_slice,
+        "kept_activity": kept_activity,
+        "todate_cube_kept": _kept_day(BASE_DAY),
+        "todate_cube_kept_second_month": _kept_day(EDGE_BASE_DAYS["second_month"]),
     }
 
 
@@ -311,5 +357,9 @@ def oracle_sql() -> dict[str, str]:
         "backfill_range": days(span),
         "day_overwrite": days(three),
         "day_overwrite_table": days(three),
+        "day_overwrite_one_step": days(three),
+        "kept_activity": one.activity(),
+        "todate_cube_kept": one.whole(),
+        "todate_cube_kept_second_month": day(EDGE_BASE_DAYS["second_month"]).whole(),
         "dashboard_slice": one.whole("WHERE PaymentType = 10000 AND CompanyId = 7"),
     }

@@ -150,6 +150,15 @@ enriched AS (
   FROM eligible t LEFT JOIN companies c ON c.Id = t.CompanyId
   JOIN customers u ON u.Customer_Key = t.CustomerKey){type_join})"""
 
+    def activity(self) -> str:
+        """A bit for each month before the reported one, sixty of them, and one for all older."""
+        return self.enriched() + f"""
+            SELECT CustomerKey, CompanyId, CAST(sum(DISTINCT CASE WHEN back < 60
+              THEN pow(2, back)::HUGEINT ELSE pow(2, 60)::HUGEINT END) AS BIGINT) AS Months
+            FROM (SELECT CustomerKey, CompanyId, date_diff('month', CreatedAt,
+                TIMESTAMP '{self.start["MTD"]}') - 1 AS back FROM eligible
+              WHERE CreatedAt < TIMESTAMP '{self.start["MTD"]}') GROUP BY CustomerKey, CompanyId"""
+
     def cube(self) -> str:
         labels = ", ".join(
             f"COALESCE({d}, {chr(39) + '(Overall)' + chr(39) if 'Product' in d else 10000}) AS {d}"

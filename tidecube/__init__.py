@@ -3,6 +3,7 @@
 from tidecube.plans.backfill import backfill_cube
 from tidecube.plans.daily import daily_cube
 from tidecube.plans.job import run_day, run_range
+from tidecube.plans.kept import keep_activity, run_kept_day
 from tidecube.plans.options import Options
 from tidecube.plans.periods import Periods
 from tidecube.sources.commits import read_days, replace_days
@@ -15,11 +16,13 @@ __all__ = [
     "Periods",
     "backfill_cube",
     "daily_cube",
+    "keep_activity",
     "read_days",
     "read_inputs",
     "read_slice",
     "replace_days",
     "run_day",
+    "run_kept_day",
     "run_range",
     "write_days",
 ]

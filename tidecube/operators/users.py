@@ -25,16 +25,20 @@ def customer_cells(
     options: Options,
     states: dict[str, tuple[Column, object]],
     keys: tuple[str, ...] = (),
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Per customer and cell (and ``keys``), the given combinable aggregates.
 
     ``states`` maps a column to an expression over transactions and the aggregate,
-    such as ``F.min``, that both reduces it and merges two results.
+    such as ``F.min``, that both reduces it and merges two results. ``earlier`` has rows per
+    customer and company that were reduced before; columns it lacks are NULL.
     """
     extra = [d.name for d in options.extra_dimensions]
     finest = payments.groupBy("CustomerKey", "CompanyId", *extra, *keys).agg(
         *[merge(value).alias(name) for name, (value, merge) in states.items()]
     )
+    if earlier is not None:
+        finest = finest.unionByName(earlier, allowMissingColumns=True)
     known = of_known_customers(with_company(finest, inputs.companies), inputs.customers)
     return (
         explode_levels(known, options.dimensions)
@@ -101,14 +105,19 @@ def pair_bits(periods: Periods, long: str, short: str) -> int:
 
 
 def activity_patterns(
-    payments: DataFrame, inputs: Inputs, periods: Periods, options: Options
+    payments: DataFrame,
+    inputs: Inputs,
+    periods: Periods,
+    options: Options,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Customers per cell, grouped by when they were active.
 
     For one reported day, all running user counts and all prior-period counts follow
     from two facts about each customer and cell: which segments of history had any
     activity (a bit each) and the first active hour of the day. Bits and the hour
-    merge by OR and minimum, so no period needs a pass of its own.
+    merge by OR and minimum, so no period needs a pass of its own. ``earlier`` has the segments
+    of customers and companies before ``payments`` begin, where these are kept.
     """
     created = F.col("CreatedAt")
     in_day = created >= midnight(periods.day)
@@ -119,7 +128,7 @@ def activity_patterns(
         "Segments": (segment, F.bit_or),
         "FirstHour": (F.when(in_day, hour_of(created, options.hour_offset)), F.min),
     }
-    cells = customer_cells(payments, inputs, options, states)
+    cells = customer_cells(payments, inputs, options, states, earlier=earlier)
     return cells.groupBy(*options.dimension_names, "Segments", "FirstHour").agg(
         F.count(F.lit(1)).alias("Customers")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecube.functions.dates import midnight
+from tidecube.operators.activity import Activity
 from tidecube.operators.cube import customer_hour_cube
 from tidecube.operators.enrich import payments
 from tidecube.operators.totals import ADDITIVE, hourly_totals
@@ -46,10 +47,18 @@ def day_totals(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
     return hourly_totals(placed, options, "Segment", "Slot")
 
 
-def day_users(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
-    """Activity patterns, listed before the day and at the hour of first activity."""
-    rows = payments(inputs, periods.launch, periods.base_day, options)
-    patterns = activity_patterns(rows, inputs, periods, options)
+def day_users(
+    inputs: Inputs, periods: Periods, options: Options, activity: Activity | None = None
+) -> DataFrame:
+    """Activity patterns, listed before the day and at the hour of first activity.
+
+    With kept activity only the facts of the reported month are read.
+    """
+    earlier, start = None, periods.launch
+    if activity is not None:
+        earlier, start = activity.segments(periods, options), periods.first_day("MTD")
+    rows = payments(inputs, start, periods.base_day, options)
+    patterns = activity_patterns(rows, inputs, periods, options, earlier)
     slots = F.explode(F.array(F.lit(BEFORE_DAY), F.col("FirstHour")))
     return patterns.withColumn("Slot", slots).filter(F.col("Slot").isNotNull())
 
@@ -91,7 +100,9 @@ def _combined(totals: DataFrame, users: DataFrame, periods: Periods, options: Op
     )
 
 
-def day_slots(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
+def day_slots(
+    inputs: Inputs, periods: Periods, options: Options, activity: Activity | None = None
+) -> DataFrame:
     """Every running metric and prior count for each cell and slot with activity.
 
     Totals and users are gathered by cell and slot, where slot -1 stands for all that
@@ -100,7 +111,7 @@ def day_slots(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
     cell = ", ".join(options.dimension_names)
     rows = _combined(
         day_totals(inputs, periods, options),
-        day_users(inputs, periods, options),
+        day_users(inputs, periods, options, activity),
         periods,
         options,
     )
@@ -121,17 +132,23 @@ def day_slots(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
 
 
 def daily_cube(
-    inputs: Inputs, base_day: date, launch: date, options: Options = Options()
+    inputs: Inputs,
+    base_day: date,
+    launch: date,
+    options: Options = Options(),
+    activity: Activity | None = None,
 ) -> DataFrame:
     """The published columns for every hour and cell of the day before ``base_day``.
 
+    With kept ``activity`` the users of closed months come from it and not from facts.
+
     Each slot is repeated for the hours up to the cell's next slot, which fills the
     hours without activity, with no grid to join against.
     """
     periods = Periods(base_day, launch, options.two_month)
     day = f"timestamp_ntz'{periods.day} 00:00:00'"
     hours = (
-        day_slots(inputs, periods, options)
+        day_slots(inputs, periods, options, activity)
         .selectExpr(
             *options.dimension_names,
             *slot_metrics(periods, options),

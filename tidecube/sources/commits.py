@@ -104,7 +104,7 @@ def publish(
         raise ValueError(f"rows of days that are not replaced: {outside}")
     version, commit = latest_version(spark, store) + 1, uuid.uuid4().hex
     log = [
-        (version, commit, d, f"{folder}/{_PART}={d}" if d in counts else None, counts.get(d, 0),
+        (version, commit, d, f"{folder}/{_PART}={d}" if counts.get(d) else None, counts.get(d, 0),
          schema.json(), note)
         for d in days
     ]
