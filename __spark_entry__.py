@@ -26,6 +26,7 @@ from tidecube import (  # noqa: E402
     run_range,
 )
 from tidecube.functions.dates import NTZ, half_year_start  # noqa: E402
+from tidecube.operators import bitmaps  # noqa: E402
 from tidecube.operators.dimensions import (  # noqa: E402
     COMPANY,
     CUSTOMER_TYPE,
@@ -39,9 +40,10 @@ from tidecube.operators.enrich import (  # noqa: E402
     payments,
 )
 from tidecube.operators.frame import hour_spine as spine_between  # noqa: E402
-from tidecube.plans.periods import PAIRS  # noqa: E402
+from tidecube.plans.periods import PAIRS, Periods  # noqa: E402
 from tidecube.plans.staged import Stages  # noqa: E402
 from tidecube.plans.staged import period_starts as starts_of  # noqa: E402
+from tidecube.plans.user_sets import keep_user_sets, user_sets  # noqa: E402
 from tidecube.sources.testdata import (  # noqa: E402
     EVENTS_LAUNCH,
     ORDERS_LAUNCH,
@@ -67,6 +69,7 @@ EDGE_BASE_DAYS = {
     "day_opens_year": date(2001, 1, 2),
     "second_month": date(2001, 2, 10),
 }
+WINDOWS = ((date(1998, 3, 15), date(1999, 9, 10)), (date(1999, 6, 2), date(2000, 11, 5)))
 BACKFILL = (date(2000, 12, 28), date(2001, 1, 3))
 FIXED = Options(dth_average="day", retained_2ytd="fixed")
 TWO_MONTH = Options(two_month=True)
@@ -216,6 +219,30 @@ def _kept_day(base_day: date) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def _user_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of all days since the launch, kept in two steps and read back."""
+    inputs, store = orders_inputs(spark, sf_dir), _target_folder(spark, "user_sets")
+    last = BASE_DAY - timedelta(days=1)
+    keep_user_sets(inputs, store, ORDERS_LAUNCH, last - timedelta(days=30), ORDERS_LAUNCH)
+    keep_user_sets(inputs, store, last - timedelta(days=29), last, ORDERS_LAUNCH)
+    return user_sets(spark, store, ORDERS_LAUNCH, BASE_DAY)
+
+
+def running_users_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    periods = Periods(BASE_DAY, ORDERS_LAUNCH)
+    return bitmaps.running_users(_user_sets(spark, sf_dir), periods, Options())
+
+
+def prior_users_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    periods = Periods(BASE_DAY, ORDERS_LAUNCH)
+    return bitmaps.prior_users(_user_sets(spark, sf_dir), periods, Options())
+
+
+def window_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two windows that are no period: who came in each, and who came again."""
+    return bitmaps.compared_users(_user_sets(spark, sf_dir), *WINDOWS, Options())
+
+
 def dashboard_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One company over all payment types, read from a written target."""
     target = _target_folder(spark, "dashboard_slice")
@@ -270,6 +297,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_overwrite_one_step": day_overwrite_one_step,
         "dashboard_slice": dashboard_slice,
         "kept_activity": kept_activity,
+        "running_users_bitmaps": running_users_bitmaps,
+        "prior_users_bitmaps": prior_users_bitmaps,
+        "window_users": window_users,
         "todate_cube_kept": _kept_day(BASE_DAY),
         "todate_cube_kept_second_month": _kept_day(EDGE_BASE_DAYS["second_month"]),
     }
@@ -303,6 +333,11 @@ def oracle_sql() -> dict[str, str]:
     def days(base_days: list[date]) -> str:
         return " UNION ALL ".join(f"SELECT * FROM ({day(d).whole()})" for d in base_days)
 
+    running_users_sql = one.select(
+        one.cube() + one.users(), "users", [f"UU{p}" for p in one.calendar + oracles.LONG])
+    prior_users_sql = f"""{one.compared()} SELECT {one.key},
+        {', '.join(oracles.prior(*p[:2]) for p in oracles.PAIRS)}
+        FROM priors SEMI JOIN keys USING ({one.key})"""
     by_product = dict(dims=("PaymentType", "CompanyId", "StandardizedProductName"))
     by_type = dict(dims=("PaymentType", "CompanyId", "CustomerType"))
     training_data = dict(llm.SQL) if llm else {}
@@ -327,13 +362,10 @@ def oracle_sql() -> dict[str, str]:
         "running_tx": one.select(one.totals(), "totals", running("TxCount", "TxVolume")),
         "running_averages": one.select(
             one.totals(), "totals", running("AvgAge", "AvgTenureByYear")),
-        "running_users": one.select(
-            one.cube() + one.users(), "users", [f"UU{p}" for p in one.calendar + oracles.LONG]),
+        "running_users": running_users_sql,
         "dense_frame": one.select(one.frame(), "frame", one.metrics(), in_day),
         "carry_forward": one.select(one.filled(), "filled", one.metrics()),
-        "prior_users": f"""{one.compared()} SELECT {one.key},
-            {', '.join(oracles.prior(*p[:2]) for p in oracles.PAIRS)}
-            FROM priors SEMI JOIN keys USING ({one.key})""",
+        "prior_users": prior_users_sql,
         "contribution": one.select(one.compared(), "compared", one.contributions()),
         "retained": one.select(one.compared(), "compared", one.retained()),
         "retention_rate": one.select(one.compared(), "compared", one.rates()),
@@ -359,6 +391,9 @@ def oracle_sql() -> dict[str, str]:
         "day_overwrite_table": days(three),
         "day_overwrite_one_step": days(three),
         "kept_activity": one.activity(),
+        "running_users_bitmaps": running_users_sql,
+        "prior_users_bitmaps": prior_users_sql,
+        "window_users": one.windows(*WINDOWS),
         "todate_cube_kept": one.whole(),
         "todate_cube_kept_second_month": day(EDGE_BASE_DAYS["second_month"]).whole(),
         "dashboard_slice": one.whole("WHERE PaymentType = 10000 AND CompanyId = 7"),

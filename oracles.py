@@ -159,6 +159,17 @@ enriched AS (
                 TIMESTAMP '{self.start["MTD"]}') - 1 AS back FROM eligible
               WHERE CreatedAt < TIMESTAMP '{self.start["MTD"]}') GROUP BY CustomerKey, CompanyId"""
 
+    def windows(self, one: tuple[date, date], other: tuple[date, date]) -> str:
+        """Distinct customers of two windows of days per cell."""
+        first, second = (f"Date >= DATE '{a}' AND Date < DATE '{b}'" for a, b in (one, other))
+        return self.cube() + f"""
+            SELECT {self.key}, count(*) FILTER (a) AS UsersFirst, count(*) FILTER (b) AS UsersSecond,
+              count(*) AS UsersEither, count(*) FILTER (a AND b) AS UsersBoth,
+              CAST(count(*) FILTER (a AND b) AS DOUBLE) / nullif(count(*) FILTER (a), 0) AS ShareOfFirst
+            FROM (SELECT {self.key}, CustomerKey, bool_or({first}) AS a, bool_or({second}) AS b
+              FROM customer_cube WHERE ({first}) OR ({second}) GROUP BY {self.key}, CustomerKey)
+            GROUP BY {self.key}"""
+
     def cube(self) -> str:
         labels = ", ".join(
             f"COALESCE({d}, {chr(39) + '(Overall)' + chr(39) if 'Product' in d else 10000}) AS {d}"

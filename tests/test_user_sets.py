@@ -1,0 +1,147 @@
+"""User bitmaps by cell and hour."""
+
+from __future__ import annotations
+
+import random
+from datetime import date, datetime, timedelta
+
+import pytest
+from conftest import customer, rows_of, tx
+from pyspark.sql import functions as F
+
+from tidecube import Options, Periods
+from tidecube.operators import bitmaps
+from tidecube.operators.dimensions import COMPANY, CUSTOMER_TYPE, PAYMENT_TYPE
+from tidecube.plans.staged import Stages
+from tidecube.plans.user_sets import customer_numbers, keep_user_sets, number_customers, user_sets
+from tidecube.sources import commits
+
+LAUNCH, BASE = date(2018, 1, 20), date(2021, 3, 6)
+LAST = BASE - timedelta(days=1)
+
+
+@pytest.fixture(scope="module")
+def facts():
+    r = random.Random(11)
+    out = []
+    for i in range(500):
+        day = LAUNCH + timedelta(days=r.randrange((BASE - LAUNCH).days))
+        out.append(tx(i, r.choice([1, r.randrange(60)]), 10, f"{day} {r.randrange(24):02d}:20:00", r.choice([0, 1, 2, None, 9])))
+    return out
+
+
+@pytest.fixture(scope="module")
+def inputs(make_inputs, facts):
+    types = [(k, datetime(2017, 1, 1), k % 3) for k in range(60)]
+    return make_inputs(facts, [(0, 1), (1, 1), (2, None)], [customer(k) for k in range(50)], types)
+
+
+@pytest.fixture(scope="module")
+def store(inputs, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("sets"))
+    keep_user_sets(inputs, folder, LAUNCH, LAST, LAUNCH)
+    return folder
+
+
+def test_numbers_are_dense_and_never_change(spark, make_inputs, tmp_path):
+    store = str(tmp_path)
+    assert number_customers(make_inputs([], [], []), store).count() == 0
+    some = make_inputs([], [], [customer(k * 7) for k in range(300)])
+    first = {r.CustomerKey: r.Number for r in number_customers(some, store).collect()}
+    assert sorted(first.values()) == list(range(1, 301))
+    repeated = make_inputs([], [], [customer(k * 7) for k in range(300)] * 2 + [customer(None)])
+    number_customers(repeated, store)
+    more = make_inputs([], [], [customer(k) for k in range(500)])
+    second = {r.CustomerKey: r.Number for r in number_customers(more, store).collect()}
+    assert first.items() <= second.items()
+    assert sorted(second.values()) == list(range(1, len(second) + 1))
+    assert rows_of(customer_numbers(spark, store)) == rows_of(customer_numbers(spark, store))
+
+
+def test_users_of_all_periods(spark, inputs, store):
+    sets, periods = user_sets(spark, store, LAUNCH, BASE), Periods(BASE, LAUNCH)
+    stages = Stages(inputs, BASE, LAUNCH)
+    assert rows_of(bitmaps.running_users(sets, periods, Options())) == rows_of(stages.running_users)
+    got = rows_of(bitmaps.prior_users(sets, periods, Options()))
+    assert got == rows_of(stages.prior_users) and got
+
+
+def test_any_windows_against_sets(spark, facts, store):
+    known = {0: 1, 1: 1, 2: None}
+    one = (date(2018, 5, 3), date(2019, 9, 17))
+    other = (date(2019, 2, 1), date(2021, 3, 6))
+
+    def sets_of(days):
+        cells = {}
+        for f in facts:
+            if f[1] < 50 and days[0] <= f[3].date() < days[1]:
+                kind = known.get(f[4])
+                kind, company = -80 if kind is None else kind, -80 if f[4] is None else f[4]
+                for cell in {(a, b) for a in (kind, 10000) for b in (company, 10000)}:
+                    cells.setdefault(cell, set()).add(f[1])
+        return cells
+
+    a, b = sets_of(one), sets_of(other)
+    got = {(r.PaymentType, r.CompanyId): r for r in bitmaps.compared_users(
+        user_sets(spark, store, LAUNCH, BASE), one, other, Options()).collect()}
+    assert got.keys() == a.keys() | b.keys()
+    for cell, r in got.items():
+        x, y = a.get(cell, set()), b.get(cell, set())
+        assert (r.UsersFirst, r.UsersSecond, r.UsersEither, r.UsersBoth) == (len(x), len(y), len(x | y), len(x & y))
+        assert r.ShareOfFirst == (len(x & y) / len(x) if x else None)
+    counted = bitmaps.window_users(user_sets(spark, store, LAUNCH, BASE), {"A": one, "B": other}, Options())
+    assert {(r.PaymentType, r.CompanyId): (r.A, r.B) for r in counted.collect()} == {
+        c: (len(a.get(c, ())), len(b.get(c, ()))) for c in a.keys() | b.keys()}
+
+
+def test_customers_of_many_buckets(spark, make_inputs, tmp_path):
+    """Numbers beyond one bitmap: every second one of 70,000 customers was active."""
+    people = spark.range(70_000).select(
+        F.col("id").alias("Customer_Key"), F.lit(datetime(2017, 1, 1)).cast("timestamp_ntz").alias("CreatedAt"),
+        F.lit(date(1980, 1, 1)).alias("DateOfBirth"))
+    made = make_inputs([], [(1, 5)], [])
+    rows = spark.range(70_000).filter("id % 2 = 0").select(
+        F.col("id").alias("Id"), F.col("id").alias("CustomerKey"), F.lit(1).cast("decimal(18,2)").alias("Amount"),
+        F.lit(datetime(2021, 3, 4, 5)).cast("timestamp_ntz").alias("CreatedAt"), F.lit(1).alias("CompanyId"),
+        F.lit(17).alias("EntryType"), F.lit(0).alias("IsCancellation"), F.lit(None).cast("long").alias("OperatorCustomerKey"))
+    from tidecube import Inputs
+
+    inputs = Inputs(rows, made.companies, people)
+    day = date(2021, 3, 4)
+    kept = keep_user_sets(inputs, str(tmp_path), day, day, LAUNCH)
+    assert kept[day] == 3 * 4  # buckets by levels of one cell
+    counted = bitmaps.window_users(user_sets(spark, str(tmp_path), day, BASE), {"N": (day, BASE)}, Options()).collect()
+    assert {r.N for r in counted} == {35_000} and len(counted) == 4
+
+
+def test_days_are_kept_again_after_late_facts(spark, make_inputs, facts, inputs, tmp_path):
+    store = str(tmp_path)
+    late = [f for f in facts if f[3].date() >= date(2020, 12, 20) and f[0] % 2]
+    early = make_inputs([f for f in facts if f not in late], [(0, 1), (1, 1), (2, None)], [customer(k) for k in range(50)])
+    keep_user_sets(early, store, LAUNCH, LAST, LAUNCH)
+    kept = keep_user_sets(inputs, store, date(2020, 12, 20), LAST, LAUNCH)
+    assert set(kept) == {date(2020, 12, 20) + timedelta(days=i) for i in range(76)}
+    stages = Stages(inputs, BASE, LAUNCH)
+    sets = user_sets(spark, store, LAUNCH, BASE)
+    assert rows_of(bitmaps.prior_users(sets, Periods(BASE, LAUNCH), Options())) == rows_of(stages.prior_users)
+    assert commits.latest_version(spark, f"{store}/sets") == 2
+    with pytest.raises(ValueError, match="are kept"):
+        user_sets(spark, store, date(2030, 1, 1), date(2030, 2, 1))
+
+
+def test_further_dimensions(spark, inputs, tmp_path):
+    options = Options(dimensions=(PAYMENT_TYPE, COMPANY, CUSTOMER_TYPE))
+    keep_user_sets(inputs, str(tmp_path), LAUNCH, LAST, LAUNCH, options)
+    sets = user_sets(spark, str(tmp_path), LAUNCH, BASE)
+    stages = Stages(inputs, BASE, LAUNCH, options)
+    assert rows_of(bitmaps.prior_users(sets, Periods(BASE, LAUNCH), options)) == rows_of(stages.prior_users)
+
+
+def test_windows_read_bitmaps_only(spark, store, capsys):
+    sets = user_sets(spark, store, date(2020, 1, 1), BASE)
+    bitmaps.window_users(sets, {"N": (date(2020, 1, 5), BASE)}, Options()).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "EntryType" not in plan and "CustomerKey" not in plan
+    assert "GreaterThanOrEqual(day,2020-01-01)" in plan and "part=2019" not in plan
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "SinglePartition"):
+        assert word not in plan

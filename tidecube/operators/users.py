@@ -71,6 +71,12 @@ def running_users(firsts: DataFrame, periods: Periods, options: Options) -> Data
         .groupBy(*cell, "_period", "DateHour")
         .agg(F.count(F.lit(1)).alias("_new"))
     )
+    return running_arrivals(arrivals, periods, options)
+
+
+def running_arrivals(arrivals: DataFrame, periods: Periods, options: Options) -> DataFrame:
+    """Running sums of the new users of each cell, period and hour, a column per period."""
+    cell = options.dimension_names
     window = (
         Window.partitionBy(*cell, "_period")
         .orderBy("DateHour")

@@ -78,16 +78,20 @@ def latest_version(spark: SparkSession, store: str) -> int:
     return _log(spark, store).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
 
-def stage(rows: DataFrame, store: str) -> tuple[str, dict[date, int]]:
-    """Writes rows by their ``day``, seen by nobody yet. Returns the folder and rows per day."""
-    spark, folder = rows.sparkSession, f"{store}/data/{uuid.uuid4().hex}"
-    rows.withColumn(_PART, F.col(DAY)).write.partitionBy(_PART).parquet(folder)
-    written = spark.read.schema(StructType([*rows.schema, *_part_schema()])).parquet(folder)
-    return folder, {r[_PART]: r["count"] for r in written.groupBy(_PART).count().collect()}
+def month_of(day: date) -> date:
+    return day.replace(day=1)
+
 
+def stage(rows: DataFrame, store: str, monthly: bool = False) -> tuple[str, dict[date, int]]:
+    """Writes rows by their ``day``, or by its month, seen by nobody yet.
 
-def _part_schema() -> StructType:
-    return StructType.fromDDL(f"{_PART} date")
+    Returns the folder and the rows per day.
+    """
+    spark, folder = rows.sparkSession, f"{store}/data/{uuid.uuid4().hex}"
+    part = F.trunc(DAY, "month") if monthly else F.col(DAY)
+    rows.withColumn(_PART, part).write.partitionBy(_PART).parquet(folder)
+    written = spark.read.schema(rows.schema).parquet(folder)
+    return folder, {r[DAY]: r["count"] for r in written.groupBy(DAY).count().collect()}
 
 
 def publish(
@@ -98,15 +102,19 @@ def publish(
     counts: dict[date, int],
     schema: StructType,
     note: str = "",
+    monthly: bool = False,
 ) -> int:
-    """Makes staged rows the content of ``days``, in one step; returns the version."""
+    """Makes staged rows the content of ``days``, in one step; returns the version.
+
+    Of rows staged by month, a folder also holds days that other commits have replaced: readers
+    have to tell them by something in the rows.
+    """
     if outside := sorted(set(counts) - set(days)):
         raise ValueError(f"rows of days that are not replaced: {outside}")
     version, commit = latest_version(spark, store) + 1, uuid.uuid4().hex
+    parts = {d: f"{folder}/{_PART}={month_of(d) if monthly else d}" for d in days if counts.get(d)}
     log = [
-        (version, commit, d, f"{folder}/{_PART}={d}" if counts.get(d) else None, counts.get(d, 0),
-         schema.json(), note)
-        for d in days
+        (version, commit, d, parts.get(d), counts.get(d, 0), schema.json(), note) for d in days
     ]
     spark.createDataFrame(log, _LOG).coalesce(1).write.mode("append").parquet(f"{store}/commits")
     return version
@@ -115,7 +123,7 @@ def publish(
 def read_entries(spark: SparkSession, found: list[Entry]) -> DataFrame:
     """The rows of entries; columns are those of the newest, NULL where an older one lacks them."""
     newest = max(found, key=lambda e: e.version)
-    folders = [e.folder for e in found if e.folder]
+    folders = list(dict.fromkeys(e.folder for e in found if e.folder))
     if not folders:
         return spark.createDataFrame([], newest.schema)
     return spark.read.schema(newest.schema).parquet(*folders)
