@@ -6,6 +6,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from tidecube import (  # noqa: E402
     keep_activity,
     read_days,
     read_slice,
+    refresh,
     replace_days,
     run_day,
     run_range,
@@ -71,6 +73,7 @@ EDGE_BASE_DAYS = {
 }
 WINDOWS = ((date(1998, 3, 15), date(1999, 9, 10)), (date(1999, 6, 2), date(2000, 11, 5)))
 BACKFILL = (date(2000, 12, 28), date(2001, 1, 3))
+LATE_FROM = date(2000, 12, 31)
 FIXED = Options(dth_average="day", retained_2ytd="fixed")
 TWO_MONTH = Options(two_month=True)
 HOUR_SHIFT = Options(hour_offset=3)
@@ -197,6 +200,16 @@ def day_overwrite_one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_days(spark, store, first, last).drop("day")
 
 
+def late_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target whose refunds of the new year's days come in late, refreshed for them."""
+    inputs, target = orders_inputs(spark, sf_dir), _target_folder(spark, "late_facts")
+    late = (F.col("Amount") < 0) & (F.to_date("CreatedAt") >= F.lit(LATE_FROM))
+    early = replace(inputs, transactions=inputs.transactions.filter(~late))
+    refresh(early, target, *BACKFILL, ORDERS_LAUNCH)
+    refresh(inputs, target, *BACKFILL, ORDERS_LAUNCH)
+    return read_days(spark, target, *BACKFILL).drop("day")
+
+
 def _activity(spark: SparkSession, sf_dir: str, base_day: date):
     """Kept activity, built up to a year and a half before and then brought up to the day."""
     inputs, store = orders_inputs(spark, sf_dir), _target_folder(spark, "activity")
@@ -295,6 +308,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_overwrite": day_overwrite,
         "day_overwrite_table": day_overwrite_table,
         "day_overwrite_one_step": day_overwrite_one_step,
+        "late_facts": late_facts,
         "dashboard_slice": dashboard_slice,
         "kept_activity": kept_activity,
         "running_users_bitmaps": running_users_bitmaps,
@@ -390,6 +404,7 @@ def oracle_sql() -> dict[str, str]:
         "day_overwrite": days(three),
         "day_overwrite_table": days(three),
         "day_overwrite_one_step": days(three),
+        "late_facts": days(span),
         "kept_activity": one.activity(),
         "running_users_bitmaps": running_users_sql,
         "prior_users_bitmaps": prior_users_sql,

@@ -4,6 +4,7 @@ from tidecube.plans.backfill import backfill_cube
 from tidecube.plans.daily import daily_cube
 from tidecube.plans.job import run_day, run_range
 from tidecube.plans.kept import keep_activity, run_kept_day
+from tidecube.plans.late import refresh
 from tidecube.plans.options import Options
 from tidecube.plans.periods import Periods
 from tidecube.sources.commits import read_days, replace_days
@@ -20,6 +21,7 @@ __all__ = [
     "read_days",
     "read_inputs",
     "read_slice",
+    "refresh",
     "replace_days",
     "run_day",
     "run_kept_day",
