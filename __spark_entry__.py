@@ -20,10 +20,12 @@ from tidecube import (  # noqa: E402
     backfill_cube,
     daily_cube,
     keep_activity,
+    read_changes,
     read_days,
     read_slice,
     refresh,
     replace_days,
+    run_changes,
     run_day,
     run_range,
 )
@@ -73,6 +75,7 @@ EDGE_BASE_DAYS = {
 }
 WINDOWS = ((date(1998, 3, 15), date(1999, 9, 10)), (date(1999, 6, 2), date(2000, 11, 5)))
 BACKFILL = (date(2000, 12, 28), date(2001, 1, 3))
+CHANGES = (date(2000, 12, 31), date(2001, 1, 2))
 LATE_FROM = date(2000, 12, 31)
 FIXED = Options(dth_average="day", retained_2ytd="fixed")
 TWO_MONTH = Options(two_month=True)
@@ -232,6 +235,23 @@ def _kept_day(base_day: date) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def _changes(spark: SparkSession, sf_dir: str, first: date, last: date, **members: int) -> DataFrame:
+    """Days kept as change points and expanded on reading."""
+    store = _target_folder(spark, "changes")
+    run_changes(orders_inputs(spark, sf_dir), first, last, store, ORDERS_LAUNCH)
+    return read_changes(spark, store, first, last, **members)
+
+
+def todate_cube_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days over the turn of the year, from their change points."""
+    return _changes(spark, sf_dir, *CHANGES)
+
+
+def dashboard_slice_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = BASE_DAY - timedelta(days=1)
+    return _changes(spark, sf_dir, day, day, PaymentType=10000, CompanyId=7)
+
+
 def _user_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bitmaps of all days since the launch, kept in two steps and read back."""
     inputs, store = orders_inputs(spark, sf_dir), _target_folder(spark, "user_sets")
@@ -310,6 +330,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_overwrite_one_step": day_overwrite_one_step,
         "late_facts": late_facts,
         "dashboard_slice": dashboard_slice,
+        "todate_cube_changes": todate_cube_changes,
+        "dashboard_slice_changes": dashboard_slice_changes,
         "kept_activity": kept_activity,
         "running_users_bitmaps": running_users_bitmaps,
         "prior_users_bitmaps": prior_users_bitmaps,
@@ -405,6 +427,8 @@ def oracle_sql() -> dict[str, str]:
         "day_overwrite_table": days(three),
         "day_overwrite_one_step": days(three),
         "late_facts": days(span),
+        "todate_cube_changes": days([CHANGES[0] + timedelta(days=i + 1) for i in range(3)]),
+        "dashboard_slice_changes": one.whole("WHERE PaymentType = 10000 AND CompanyId = 7"),
         "kept_activity": one.activity(),
         "running_users_bitmaps": running_users_sql,
         "prior_users_bitmaps": prior_users_sql,

@@ -1,0 +1,54 @@
+"""The target as change points."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from conftest import customer, rows_of, tx
+
+from tidecube import Options, backfill_cube, daily_cube, read_changes, run_changes
+from tidecube.plans.changes import day_changes, expanded, keep_changes
+
+LAUNCH, FIRST, LAST = date(2020, 1, 20), date(2021, 3, 4), date(2021, 3, 7)
+
+
+@pytest.fixture
+def inputs(make_inputs):
+    facts = [tx(i, i % 5, 10 + i, f"2021-03-{1 + i % 9:02d} {i * 5 % 24:02d}:00:00", i % 3) for i in range(60)]
+    facts.append(tx(99, 1, 5, "2020-11-02 10:00:00", 2))
+    return make_inputs(facts, [(0, 1), (1, 1), (2, 2)], [customer(k) for k in range(5)])
+
+
+def test_days_and_slices_from_change_points(spark, inputs, tmp_path, capsys):
+    store = str(tmp_path / "store")
+    kept = run_changes(inputs, FIRST, LAST, store, LAUNCH)
+    want = backfill_cube(inputs, FIRST, LAST, LAUNCH)
+    cube = rows_of(want)
+    got = read_changes(spark, store, FIRST, LAST)
+    assert rows_of(got) == cube and got.columns == want.columns
+    # A row per cell and hour with activity, and one more per cell and day at most.
+    busy = want.filter("UUHourly > 0").count()
+    cells = want.selectExpr("PaymentType", "CompanyId", "to_date(DateHour)").distinct().count()
+    assert sum(kept.values()) <= busy + cells < len(cube) / 4
+    one = read_changes(spark, store, LAST, LAST, PaymentType=10000, CompanyId=2)
+    assert rows_of(one) == rows_of(
+        want.filter("PaymentType = 10000 AND CompanyId = 2 AND to_date(DateHour) = DATE '2021-03-07'"))
+    one.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "EqualTo(CompanyId,2)" in plan and f"part={FIRST}" not in plan
+    with pytest.raises(ValueError, match="kept with"):
+        read_changes(spark, store, FIRST, LAST, Options(dth_average="day"))
+
+
+def test_one_day_replaces_its_own(spark, inputs, make_inputs, tmp_path):
+    store, options = str(tmp_path / "store"), Options(dth_average="day", two_month=True)
+    day = date(2021, 3, 5)
+    changes = day_changes(inputs, date(2021, 3, 6), LAUNCH, options)
+    want = rows_of(daily_cube(inputs, date(2021, 3, 6), LAUNCH, options))
+    assert rows_of(expanded(changes, options)) == want
+    keep_changes(changes, store, day, day, options)
+    assert rows_of(read_changes(spark, store, day, day, options)) == want
+    nobody = make_inputs([], [], [])
+    assert keep_changes(day_changes(nobody, date(2021, 3, 6), LAUNCH, options), store, day, day, options) == {day: 0}
+    assert read_changes(spark, store, day, day, options).count() == 0

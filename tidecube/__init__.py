@@ -1,6 +1,7 @@
 """Hourly period-to-date KPI cubes on Spark DataFrames."""
 
 from tidecube.plans.backfill import backfill_cube
+from tidecube.plans.changes import read_changes, run_changes
 from tidecube.plans.daily import daily_cube
 from tidecube.plans.job import run_day, run_range
 from tidecube.plans.kept import keep_activity, run_kept_day
@@ -18,11 +19,13 @@ __all__ = [
     "backfill_cube",
     "daily_cube",
     "keep_activity",
+    "read_changes",
     "read_days",
     "read_inputs",
     "read_slice",
     "refresh",
     "replace_days",
+    "run_changes",
     "run_day",
     "run_kept_day",
     "run_range",

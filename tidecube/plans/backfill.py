@@ -383,10 +383,10 @@ def _running(anchored: DataFrame, span: Range, options: Options) -> DataFrame:
     )
 
 
-def backfill_cube(
+def range_rows(
     inputs: Inputs, first: date, last: date, launch: date, options: Options = Options()
 ) -> DataFrame:
-    """The published columns for every reported day from ``first`` to ``last``."""
+    """Running sums per cell at every hour with activity and the start of every reported day."""
     span = Range(first, last, launch, options)
     totals = range_totals(inputs, span, options)
     users = range_users(inputs, span, options)
@@ -398,14 +398,22 @@ def backfill_cube(
         .groupBy(*cell, "DateHour")
         .agg(*[F.expr(f"sum({v}) AS {v}") for v in values])
     )
-    running = _running(_anchored(increments, span, options), span, options)
+    return _running(_anchored(increments, span, options), span, options)
+
+
+def backfill_cube(
+    inputs: Inputs, first: date, last: date, launch: date, options: Options = Options()
+) -> DataFrame:
+    """The published columns for every reported day from ``first`` to ``last``."""
+    span = Range(first, last, launch, options)
+    running = range_rows(inputs, first, last, launch, options)
     # Every row holds until the next one; days begin with a row of their own.
     day_end = "CAST(date_add(CAST(DateHour AS DATE), 1) AS TIMESTAMP_NTZ)"
     until = f"least(coalesce(_next, {day_end}), {day_end}) - INTERVAL 1 HOUR"
     hours = running.selectExpr(
         f"explode(sequence(DateHour, {until}, INTERVAL 1 HOUR)) AS _hour",
         "DateHour",
-        *cell,
+        *options.dimension_names,
         *slot_metrics(span.periods, options),
     )
     return published_hours(hours, "DateHour", "_hour", options)
