@@ -28,6 +28,7 @@ from tidecube import (  # noqa: E402
     run_changes,
     run_day,
     run_range,
+    with_known_keys,
 )
 from tidecube.functions.dates import NTZ, half_year_start  # noqa: E402
 from tidecube.operators import bitmaps  # noqa: E402
@@ -44,6 +45,7 @@ from tidecube.operators.enrich import (  # noqa: E402
     payments,
 )
 from tidecube.operators.frame import hour_spine as spine_between  # noqa: E402
+from tidecube.operators.frame import recursive_spine  # noqa: E402
 from tidecube.plans.periods import PAIRS, Periods  # noqa: E402
 from tidecube.plans.staged import Stages  # noqa: E402
 from tidecube.plans.staged import period_starts as starts_of  # noqa: E402
@@ -117,14 +119,22 @@ def period_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return starts_of(days, ORDERS_LAUNCH)
 
 
-def hour_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     created = orders_inputs(spark, sf_dir).transactions.select(
         F.to_date("CreatedAt").alias("day")
     )
-    bounds = created.agg(
+    return created.agg(
         F.min("day").cast(NTZ).alias("start"), F.date_add(F.max("day"), 1).cast(NTZ).alias("end")
     )
-    return spine_between(bounds)
+
+
+def hour_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spine_between(_bounds(spark, sf_dir))
+
+
+def hour_spine_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form with an exclusive end, by recursion."""
+    return recursive_spine(_bounds(spark, sf_dir))
 
 
 def base_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +177,11 @@ def _day(base_day: date, options: Options = Options(), launch: date = ORDERS_LAU
     return query
 
 
+def todate_cube_copied_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cube of a day with the levels that follow from unique companies copied."""
+    return daily_cube(with_known_keys(orders_inputs(spark, sf_dir)), BASE_DAY, ORDERS_LAUNCH)
+
+
 def todate_cube_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_cube(events_inputs(spark, sf_dir), EVENTS_BASE_DAY, EVENTS_LAUNCH)
 
@@ -307,6 +322,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **training_data,
         "period_starts": period_starts,
         "hour_spine": hour_spine,
+        "hour_spine_recursive": hour_spine_recursive,
         "base_transactions": base_transactions,
         "customer_attributes": customer_attributes,
         "customer_hour_cube": customer_hour_cube,
@@ -316,6 +332,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retention_rate": _pairs("rate"),
         "todate_cube_day": _day(BASE_DAY),
         "todate_cube_staged": stage("published"),
+        "todate_cube_copied_levels": todate_cube_copied_levels,
         **{f"todate_cube_{name}": _day(day) for name, day in EDGE_BASE_DAYS.items()},
         "todate_cube_events": todate_cube_events,
         "todate_cube_fixed_formulas": _day(BASE_DAY, FIXED),
@@ -383,6 +400,8 @@ def oracle_sql() -> dict[str, str]:
         **training_data,
         "period_starts": oracles.period_starts(launch),
         "hour_spine": oracles.hour_spine(),
+        "hour_spine_recursive": f"""SELECT DateHour FROM ({oracles.hour_spine()})
+            WHERE DateHour < (SELECT max(DateHour) FROM ({oracles.hour_spine()}))""",
         "base_transactions": one.enriched() + """
             SELECT Id, CustomerKey, Amount, CreatedAt, PaymentType, CompanyId FROM enriched""",
         "customer_attributes": one.enriched() + f"""
@@ -407,6 +426,7 @@ def oracle_sql() -> dict[str, str]:
         "retention_rate": one.select(one.compared(), "compared", one.rates()),
         "todate_cube_day": one.whole(),
         "todate_cube_staged": one.whole(),
+        "todate_cube_copied_levels": one.whole(),
         **{f"todate_cube_{name}": day(d).whole() for name, d in EDGE_BASE_DAYS.items()},
         "todate_cube_events": oracles.Day(
             EVENTS_BASE_DAY.isoformat(), EVENTS_LAUNCH.isoformat(), oracles.EVENTS).whole(),

@@ -9,7 +9,7 @@ from tidecube.plans.late import refresh
 from tidecube.plans.options import Options
 from tidecube.plans.periods import Periods
 from tidecube.sources.commits import read_days, replace_days
-from tidecube.sources.inputs import Inputs, read_inputs
+from tidecube.sources.inputs import Inputs, read_inputs, with_known_keys
 from tidecube.sources.target import read_slice, write_days
 
 __all__ = [
@@ -29,5 +29,6 @@ __all__ = [
     "run_day",
     "run_kept_day",
     "run_range",
+    "with_known_keys",
     "write_days",
 ]

@@ -28,8 +28,10 @@ def customer_hours(payments: DataFrame, options: Options) -> DataFrame:
     )
 
 
-def customer_hour_cube(payments: DataFrame, inputs: Inputs, options: Options) -> DataFrame:
-    """One row per customer, hour and cube cell.
+def customer_hour_cube(
+    payments: DataFrame, inputs: Inputs, options: Options, without: list[int] | None = None
+) -> DataFrame:
+    """One row per customer, hour and cube cell, but for the levels ``without``.
 
     Rows are spread by customer and hour before the levels are multiplied out, so the
     shuffle carries each of them once and even one customer's rows go to many tasks.
@@ -38,7 +40,7 @@ def customer_hour_cube(payments: DataFrame, inputs: Inputs, options: Options) ->
     enriched = with_customer(with_company(hours, inputs.companies), inputs.customers)
     spread = enriched.drop("CreatedAt").repartition("CustomerKey", "DateHour")
     return (
-        explode_levels(spread, options.dimensions)
+        explode_levels(spread, options.dimensions, without)
         .groupBy("CustomerKey", "DateHour", *options.dimension_names)
         .agg(
             F.sum("TxCount").alias("TxCount"),

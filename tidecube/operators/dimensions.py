@@ -59,7 +59,27 @@ def standardize_product(name: Column) -> Column:
     )
 
 
-def explode_levels(df: DataFrame, dimensions: tuple[Dimension, ...]) -> DataFrame:
+def copied_levels(dimensions: tuple[Dimension, ...]) -> list[int]:
+    """Levels that keep the company and roll up its payment type.
+
+    Where a company has one payment type, they repeat the level below, label apart.
+    """
+    type_bit, company_bit = (1 << dimensions.index(d) for d in (PAYMENT_TYPE, COMPANY))
+    return [i for i in range(2 ** len(dimensions)) if i & type_bit and not i & company_bit]
+
+
+def copy_levels(cells: DataFrame) -> DataFrame:
+    """Adds the copied levels to rows that were summed up without them."""
+    kinds = F.when(F.col(COMPANY.name) == COMPANY.overall, F.array(PAYMENT_TYPE.name)).otherwise(
+        F.array(PAYMENT_TYPE.name, F.lit(PAYMENT_TYPE.overall))
+    )
+    others = [c for c in cells.columns if c != PAYMENT_TYPE.name]
+    return cells.select(*others, F.explode(kinds).alias(PAYMENT_TYPE.name)).select(cells.columns)
+
+
+def explode_levels(
+    df: DataFrame, dimensions: tuple[Dimension, ...], without: list[int] | None = None
+) -> DataFrame:
     """One row per cube level: each dimension kept or replaced by its overall label.
 
     Levels are numbered, and bit ``i`` of the number rolls up dimension ``i``.
@@ -70,7 +90,8 @@ def explode_levels(df: DataFrame, dimensions: tuple[Dimension, ...]) -> DataFram
     """
     names = {d.name for d in dimensions}
     others = [c for c in df.columns if c not in names]
-    numbers = F.array(*[F.lit(i) for i in range(2 ** len(dimensions))])
+    levels = [i for i in range(2 ** len(dimensions)) if i not in (without or ())]
+    numbers = F.array(*[F.lit(i) for i in levels])
     return df.select("*", F.explode(numbers).alias("_level")).select(
         *others,
         *[

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -18,6 +19,29 @@ def hour_spine(bounds: DataFrame) -> DataFrame:
     return bounds.select(F.explode(hours).alias("DateHour"))
 
 
+def recursive_spine(bounds: DataFrame) -> DataFrame:
+    """Every hour from ``start`` to before ``end`` for each row of ``bounds``, by recursion.
+
+    A stretch of hours is halved until single hours are left, so the recursion is as deep as the
+    logarithm of the hours, and each of its steps is spread over all tasks. Spark bounds the rows of
+    a recursion by ``spark.sql.cteRecursionRowLimit``, to be set to twice the hours where it is less.
+    """
+    spark, view = bounds.sparkSession, f"bounds_{uuid.uuid4().hex}"
+    bounds.createOrReplaceTempView(view)
+    try:
+        hours = spark.sql(f"""
+            WITH RECURSIVE halves(start, n) AS (
+              SELECT start, CAST(timestampdiff(HOUR, start, end) AS INT) FROM {view} WHERE start < end
+              UNION ALL
+              SELECT start + make_dt_interval(0, CAST(half * (n DIV 2) AS INT)),
+                CAST(CASE WHEN half = 1 THEN n - n DIV 2 ELSE n DIV 2 END AS INT)
+              FROM (SELECT start, n, explode(array(0, 1)) AS half FROM halves WHERE n > 1))
+            SELECT start AS DateHour FROM halves WHERE n = 1""")
+        return hours.select("DateHour")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def day_grid(keys: DataFrame, day: date) -> DataFrame:
     """The 24 hours of ``day`` for each key; each key makes its own hours, so no join."""
     hours = F.explode(F.sequence(F.lit(0), F.lit(23)))

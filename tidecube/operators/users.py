@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecube.functions.dates import date_hour, hour_of, midnight
-from tidecube.operators.dimensions import explode_levels
+from tidecube.operators.dimensions import copied_levels, copy_levels, explode_levels
 from tidecube.operators.enrich import of_known_customers, with_company
 from tidecube.plans.options import Options
 from tidecube.plans.periods import Periods
@@ -26,12 +26,14 @@ def customer_cells(
     states: dict[str, tuple[Column, object]],
     keys: tuple[str, ...] = (),
     earlier: DataFrame | None = None,
+    without: list[int] | None = None,
 ) -> DataFrame:
     """Per customer and cell (and ``keys``), the given combinable aggregates.
 
     ``states`` maps a column to an expression over transactions and the aggregate,
     such as ``F.min``, that both reduces it and merges two results. ``earlier`` has rows per
-    customer and company that were reduced before; columns it lacks are NULL.
+    customer and company that were reduced before; columns it lacks are NULL. Cube
+    levels in ``without`` are left out.
     """
     extra = [d.name for d in options.extra_dimensions]
     finest = payments.groupBy("CustomerKey", "CompanyId", *extra, *keys).agg(
@@ -41,7 +43,7 @@ def customer_cells(
         finest = finest.unionByName(earlier, allowMissingColumns=True)
     known = of_known_customers(with_company(finest, inputs.companies), inputs.customers)
     return (
-        explode_levels(known, options.dimensions)
+        explode_levels(known, options.dimensions, without)
         .groupBy("CustomerKey", *options.dimension_names, *keys)
         .agg(*[merge(F.col(name)).alias(name) for name, (_, merge) in states.items()])
     )
@@ -134,7 +136,9 @@ def activity_patterns(
         "Segments": (segment, F.bit_or),
         "FirstHour": (F.when(in_day, hour_of(created, options.hour_offset)), F.min),
     }
-    cells = customer_cells(payments, inputs, options, states, earlier=earlier)
-    return cells.groupBy(*options.dimension_names, "Segments", "FirstHour").agg(
+    without = copied_levels(options.dimensions) if inputs.unique_companies else None
+    cells = customer_cells(payments, inputs, options, states, (), earlier, without)
+    counted = cells.groupBy(*options.dimension_names, "Segments", "FirstHour").agg(
         F.count(F.lit(1)).alias("Customers")
     )
+    return copy_levels(counted) if without else counted

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidecube.functions.dates import midnight
 from tidecube.operators.activity import Activity
 from tidecube.operators.cube import customer_hour_cube
+from tidecube.operators.dimensions import copied_levels, copy_levels
 from tidecube.operators.enrich import payments
 from tidecube.operators.totals import ADDITIVE, hourly_totals
 from tidecube.operators.users import activity_patterns, pair_bits, period_bits
@@ -31,7 +32,8 @@ def day_totals(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
     rows = payments(
         inputs, periods.first_day("YTD"), periods.base_day, options, "Id", "Amount"
     )
-    cube = customer_hour_cube(rows, inputs, options)
+    without = copied_levels(options.dimensions) if inputs.unique_companies else None
+    cube = customer_hour_cube(rows, inputs, options, without)
     hour = F.col("DateHour")
     segments = periods.segments()
     in_day = hour >= midnight(periods.day)
@@ -44,7 +46,8 @@ def day_totals(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
             "Slot": F.when(in_day, F.hour(hour)).otherwise(F.lit(BEFORE_DAY)),
         }
     )
-    return hourly_totals(placed, options, "Segment", "Slot")
+    totals = hourly_totals(placed, options, "Segment", "Slot")
+    return copy_levels(totals) if without else totals
 
 
 def day_users(

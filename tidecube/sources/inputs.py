@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +35,8 @@ class Inputs:
 
     ``day_column`` names a column of ``transactions`` that holds the date of
     ``CreatedAt``. Give it when the fact table is partitioned by such a column, and
-    every scan is pruned to the partitions it needs.
+    every scan is pruned to the partitions it needs. ``unique_companies`` says that no company
+    Id repeats, as ``with_known_keys`` finds out; a day's cube then copies the levels that follow from it.
     """
 
     transactions: DataFrame
@@ -43,6 +44,7 @@ class Inputs:
     customers: DataFrame
     customer_types: DataFrame | None = None
     day_column: str | None = None
+    unique_companies: bool = False
 
     def __post_init__(self) -> None:
         for name, df, wanted in (
@@ -61,6 +63,12 @@ class Inputs:
             raise ValueError(f"transactions.CreatedAt must be {NTZ}, not {kind}")
 
 
+def with_known_keys(inputs: Inputs) -> Inputs:
+    """The inputs, with ``unique_companies`` as the company table is now. Runs a small job."""
+    repeated = inputs.companies.filter("Id IS NOT NULL").groupBy("Id").count().filter("count > 1")
+    return replace(inputs, unique_companies=repeated.isEmpty())
+
+
 def read_inputs(
     spark: SparkSession,
     transactions: str,
