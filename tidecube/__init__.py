@@ -1,5 +1,6 @@
 """Hourly period-to-date KPI cubes on Spark DataFrames."""
 
+from tidecube.operators.accounts import Accounts
 from tidecube.plans.backfill import backfill_cube
 from tidecube.plans.changes import read_changes, run_changes
 from tidecube.plans.daily import daily_cube
@@ -13,6 +14,7 @@ from tidecube.sources.inputs import Inputs, read_inputs, with_known_keys
 from tidecube.sources.target import read_slice, write_days
 
 __all__ = [
+    "Accounts",
     "Inputs",
     "Options",
     "Periods",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecube.functions.dates import date_hour
+from tidecube.operators.accounts import Accounts
 from tidecube.operators.dimensions import explode_levels
 from tidecube.operators.enrich import with_company, with_customer
 from tidecube.plans.options import Options
@@ -29,7 +30,11 @@ def customer_hours(payments: DataFrame, options: Options) -> DataFrame:
 
 
 def customer_hour_cube(
-    payments: DataFrame, inputs: Inputs, options: Options, without: list[int] | None = None
+    payments: DataFrame,
+    inputs: Inputs,
+    options: Options,
+    without: list[int] | None = None,
+    accounts: Accounts | None = None,
 ) -> DataFrame:
     """One row per customer, hour and cube cell, but for the levels ``without``.
 
@@ -37,7 +42,12 @@ def customer_hour_cube(
     shuffle carries each of them once and even one customer's rows go to many tasks.
     """
     hours = customer_hours(payments, options)
-    enriched = with_customer(with_company(hours, inputs.companies), inputs.customers)
+    if accounts:
+        hours = accounts.eligible(hours)
+    of_company = with_company(hours, inputs.companies)
+    if accounts:
+        of_company = accounts.of_companies(of_company)
+    enriched = with_customer(of_company, inputs.customers, accounts)
     spread = enriched.drop("CreatedAt").repartition("CustomerKey", "DateHour")
     return (
         explode_levels(spread, options.dimensions, without)

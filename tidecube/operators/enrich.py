@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecube.functions.dates import days_between, minute_boundaries
+from tidecube.operators.accounts import Accounts
 from tidecube.operators.asof import latest_customer_type
 from tidecube.operators.dimensions import (
     CUSTOMER_TYPE,
@@ -69,14 +70,21 @@ def age_days(birth: Column, ts: Column) -> Column:
     return F.when(plausible, days_between(birth, ts))
 
 
-def with_customer(rows: DataFrame, customers: DataFrame) -> DataFrame:
+def with_customer(
+    rows: DataFrame, customers: DataFrame, accounts: Accounts | None = None
+) -> DataFrame:
     """Keeps rows of known customers and adds AgeDays and TenureMinutes at CreatedAt."""
     customer = customers.select(
         F.col("Customer_Key").alias("_customer"),
         F.col("CreatedAt").alias("_registered"),
         F.col("DateOfBirth").alias("_birth"),
     )
-    joined = rows.join(customer, F.col("CustomerKey") == F.col("_customer"))
+    same = F.col("CustomerKey") == F.col("_customer")
+    if accounts is None:
+        joined = rows.join(customer, same)
+    else:
+        known = F.col("_customer").isNotNull()
+        joined = accounts.of_customers(rows.join(customer, same, "left"), known).filter(known)
     return joined.select(
         *rows.columns,
         age_days(F.col("_birth"), F.col("CreatedAt")).alias("AgeDays"),

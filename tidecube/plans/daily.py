@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecube.functions.dates import midnight
+from tidecube.operators.accounts import Accounts
 from tidecube.operators.activity import Activity
 from tidecube.operators.cube import customer_hour_cube
 from tidecube.operators.dimensions import copied_levels, copy_levels
@@ -23,7 +24,9 @@ BEFORE_DAY = -1
 HOURS = 24
 
 
-def day_totals(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
+def day_totals(
+    inputs: Inputs, periods: Periods, options: Options, accounts: Accounts | None = None
+) -> DataFrame:
     """Measures per cell, by hour of the day and by segment of the year before it.
 
     Only this year's transactions matter here. ``Segment`` counts up to the number of
@@ -33,7 +36,7 @@ def day_totals(inputs: Inputs, periods: Periods, options: Options) -> DataFrame:
         inputs, periods.first_day("YTD"), periods.base_day, options, "Id", "Amount"
     )
     without = copied_levels(options.dimensions) if inputs.unique_companies else None
-    cube = customer_hour_cube(rows, inputs, options, without)
+    cube = customer_hour_cube(rows, inputs, options, without, accounts)
     hour = F.col("DateHour")
     segments = periods.segments()
     in_day = hour >= midnight(periods.day)
@@ -104,7 +107,11 @@ def _combined(totals: DataFrame, users: DataFrame, periods: Periods, options: Op
 
 
 def day_slots(
-    inputs: Inputs, periods: Periods, options: Options, activity: Activity | None = None
+    inputs: Inputs,
+    periods: Periods,
+    options: Options,
+    activity: Activity | None = None,
+    accounts: Accounts | None = None,
 ) -> DataFrame:
     """Every running metric and prior count for each cell and slot with activity.
 
@@ -113,7 +120,7 @@ def day_slots(
     """
     cell = ", ".join(options.dimension_names)
     rows = _combined(
-        day_totals(inputs, periods, options),
+        day_totals(inputs, periods, options, accounts),
         day_users(inputs, periods, options, activity),
         periods,
         options,
@@ -140,10 +147,12 @@ def daily_cube(
     launch: date,
     options: Options = Options(),
     activity: Activity | None = None,
+    accounts: Accounts | None = None,
 ) -> DataFrame:
     """The published columns for every hour and cell of the day before ``base_day``.
 
-    With kept ``activity`` the users of closed months come from it and not from facts.
+    With kept ``activity`` the users of closed months come from it and not from facts. ``accounts``
+    counts what the joins of the totals do.
 
     Each slot is repeated for the hours up to the cell's next slot, which fills the
     hours without activity, with no grid to join against.
@@ -151,7 +160,7 @@ def daily_cube(
     periods = Periods(base_day, launch, options.two_month)
     day = f"timestamp_ntz'{periods.day} 00:00:00'"
     hours = (
-        day_slots(inputs, periods, options, activity)
+        day_slots(inputs, periods, options, activity, accounts)
         .selectExpr(
             *options.dimension_names,
             *slot_metrics(periods, options),

@@ -8,6 +8,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidecube.operators.accounts import Accounts
 from tidecube.plans.backfill import backfill_cube
 from tidecube.plans.daily import daily_cube
 from tidecube.plans.options import Options
@@ -39,11 +40,16 @@ def run_day(
     launch: date = DEFAULT_LAUNCH,
     options: Options = Options(),
     write: Writer = write_days,
+    accounts: Accounts | None = None,
 ) -> dict[date, int]:
-    """Computes the day before ``base_day`` and replaces it in the target."""
+    """Computes the day before ``base_day`` and replaces it in the target.
+
+    ``accounts``, if given, then reports what the joins dropped and repeated.
+    """
     warn_of_uncompiled_methods(inputs.transactions.sparkSession)
     day = base_day - timedelta(days=1)
-    return write(daily_cube(inputs, base_day, launch, options), target, day, day)
+    cube = daily_cube(inputs, base_day, launch, options, accounts=accounts)
+    return write(cube, target, day, day)
 
 
 def run_range(
