@@ -7,6 +7,7 @@ import sys
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from dataclasses import replace
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,11 @@ from tidecube.plans.periods import PAIRS, Periods  # noqa: E402
 from tidecube.plans.staged import Stages  # noqa: E402
 from tidecube.plans.staged import period_starts as starts_of  # noqa: E402
 from tidecube.plans.user_sets import keep_user_sets, user_sets  # noqa: E402
+from tidecube.sources.by_customer import (  # noqa: E402
+    keep_by_customer,
+    read_by_customer,
+    replace_facts,
+)
 from tidecube.sources.testdata import (  # noqa: E402
     EVENTS_LAUNCH,
     ORDERS_LAUNCH,
@@ -79,6 +85,7 @@ WINDOWS = ((date(1998, 3, 15), date(1999, 9, 10)), (date(1999, 6, 2), date(2000,
 BACKFILL = (date(2000, 12, 28), date(2001, 1, 3))
 CHANGES = (date(2000, 12, 31), date(2001, 1, 2))
 LATE_FROM = date(2000, 12, 31)
+BUCKETS = 8
 FIXED = Options(dth_average="day", retained_2ytd="fixed")
 TWO_MONTH = Options(two_month=True)
 HOUR_SHIFT = Options(hour_offset=3)
@@ -208,6 +215,22 @@ def _overwritten(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
     return read_slice(spark, target, last - timedelta(days=2), last).drop("day")
 
 
+def todate_cube_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day's cube from facts and customers stored by customer.
+
+    Facts are stored as they were before the reported month, which then comes in.
+    """
+    inputs = orders_inputs(spark, sf_dir)
+    facts, customers = (f"{name}_{uuid.uuid4().hex}" for name in ("facts", "customers"))
+    month, end = BASE_DAY.replace(day=1), date(BASE_DAY.year, BASE_DAY.month + 1, 1)
+    earlier = inputs.transactions.filter(F.col("CreatedAt") < F.lit(month).cast(NTZ))
+    folder = _target_folder(spark, "by_customer")
+    keep_by_customer(replace(inputs, transactions=earlier), facts, customers, BUCKETS, folder)
+    replace_facts(inputs, facts, month, end - timedelta(days=1))
+    kept = read_by_customer(spark, facts, customers, inputs.companies)
+    return daily_cube(kept, BASE_DAY, ORDERS_LAUNCH)
+
+
 def day_overwrite_one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with one commit per run, read through the commits."""
     inputs, store = orders_inputs(spark, sf_dir), _target_folder(spark, "day_overwrite_one_step")
@@ -346,6 +369,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_overwrite_table": day_overwrite_table,
         "day_overwrite_one_step": day_overwrite_one_step,
         "late_facts": late_facts,
+        "todate_cube_by_customer": todate_cube_by_customer,
         "dashboard_slice": dashboard_slice,
         "todate_cube_changes": todate_cube_changes,
         "dashboard_slice_changes": dashboard_slice_changes,
@@ -427,6 +451,7 @@ def oracle_sql() -> dict[str, str]:
         "todate_cube_day": one.whole(),
         "todate_cube_staged": one.whole(),
         "todate_cube_copied_levels": one.whole(),
+        "todate_cube_by_customer": one.whole(),
         **{f"todate_cube_{name}": day(d).whole() for name, d in EDGE_BASE_DAYS.items()},
         "todate_cube_events": oracles.Day(
             EVENTS_BASE_DAY.isoformat(), EVENTS_LAUNCH.isoformat(), oracles.EVENTS).whole(),

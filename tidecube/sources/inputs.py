@@ -35,7 +35,8 @@ class Inputs:
 
     ``day_column`` names a column of ``transactions`` that holds the date of
     ``CreatedAt``. Give it when the fact table is partitioned by such a column, and
-    every scan is pruned to the partitions it needs. ``unique_companies`` says that no company
+    every scan is pruned to the partitions it needs. ``month_column`` does the same with the first
+    day of the month of ``CreatedAt``. ``unique_companies`` says that no company
     Id repeats, as ``with_known_keys`` finds out; a day's cube then copies the levels that follow from it.
     """
 
@@ -45,6 +46,7 @@ class Inputs:
     customer_types: DataFrame | None = None
     day_column: str | None = None
     unique_companies: bool = False
+    month_column: str | None = None
 
     def __post_init__(self) -> None:
         for name, df, wanted in (
@@ -98,6 +100,9 @@ def eligible(inputs: Inputs, start: date, end: date, *columns: str) -> DataFrame
     if inputs.day_column:
         day = F.col(inputs.day_column)
         tx = tx.filter((day >= F.lit(start)) & (day < F.lit(end)))
+    if inputs.month_column:
+        month = F.col(inputs.month_column)
+        tx = tx.filter((month >= F.lit(start.replace(day=1))) & (month < F.lit(end)))
     return tx.filter(
         (F.col("EntryType") == PAYMENT_ENTRY_TYPE)
         & (F.col("IsCancellation") == 0)
