@@ -6,7 +6,16 @@ from conftest import SF
 from edge_rows import edge_documents, no_documents
 
 from tidecube.llm import mixing
-from tidecube.llm.mixing import fair_mix, in_order, mixed_documents, op10_fair_mix, served, targets
+from tidecube.llm.mixing import (
+    document_shares,
+    fair_mix,
+    in_order,
+    mixed_documents,
+    op10_fair_mix,
+    positions,
+    served,
+    targets,
+)
 
 
 def size(text):
@@ -83,5 +92,32 @@ def test_edges(spark):
 
 
 def test_query_equals_sql(spark, duck):
-    rows = sorted(tuple(r) for r in op10_fair_mix(spark, SF).collect())
-    assert rows == sorted(duck.execute(mixing.SQL).fetchall())
+    rows = sorted((tuple(r) for r in op10_fair_mix(spark, SF).collect()), key=str)
+    assert rows == sorted(duck.execute(mixing.SQL).fetchall(), key=str)
+
+
+def test_positions_follow_the_finish_times(spark):
+    """Words before a row add up in the order of the sort, and end with the budget."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = sorted(positions(fair_mix(docs).drop("text")).collect(), key=lambda r: r.position)
+    at = 0
+    for r, after in zip(rows, [*rows[1:], None], strict=True):
+        assert r.position == at and (after is None or r.finish <= after.finish)
+        at += r.words
+    budget = 1.5 * sum(size(d.text) for d in docs.collect())
+    assert 0 <= budget - at < len({r.source for r in rows})
+    cut = [r for r in rows if r.words < r["size"]]
+    assert len(cut) <= len({r.source for r in rows})  # at most one in service per source
+    assert all(r.finish <= 1 + 1e-9 for r in rows if r.words == r["size"])
+
+
+def test_repeated_rows_share_the_mix(spark):
+    """Rows that repeat, wordless ones and null sources: each has its own share."""
+    rows = [(1, "a b c", None), (1, "a b c", None), (2, "", None), (2, None, None), (3, "x", "s"), (None, "y z", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(((r.doc_id or 0, r["size"], r.taken, r.position is None) for r in document_shares(docs).collect()))
+    mix = fair_mix(docs).collect()
+    assert sum(g[2] for g in got) == sum(r.words for r in mix)
+    assert [g[:2] for g in got] == [(0, 2), (1, 3), (1, 3), (2, 0), (2, 0), (3, 1)]
+    assert all((g[2] == 0) == g[3] for g in got)
+    assert document_shares(docs.limit(0)).collect() == []

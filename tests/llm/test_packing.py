@@ -81,3 +81,13 @@ def test_random_access_to_blocks(spark, encoder):
     found = {d: ids_of(b, k).tolist() for b in blocks for k, d in enumerate(b["doc_ids"])}
     for i in (0, 57, 199):
         assert found[i] == [*library(encoder, [f"text number {i} of some"])[0], 0]
+
+
+def test_the_order_of_packing_can_be_given(spark):
+    """Ids follow the order columns; repeats of a document lie where these put them."""
+    rows = [(5, "five", 2.0), (1, "one", 3.0), (5, "five", 0.5), (None, None, None), (2, "two", 1.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, at double")
+    got = packed(docs, order=["at"]).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, 5, 2, 5, 1]
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(5)]
+    assert [r.doc_id for r in packed(docs, order=["doc_id", "at"]).orderBy("start").collect()] == [None, 1, 2, 5, 5]

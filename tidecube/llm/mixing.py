@@ -6,6 +6,9 @@ source's target. Sorted by that time, all sources advance at their weights. The
 by virtual time one are the targets, and these add up to the budget, so the mix is cut there: a
 document in service at that moment, at most one per source, gives its first words only.
 
+Sorted by finish time over ranges, the words before a document in the whole mix are the sums of the
+earlier ranges and those before it in its own.
+
 The cumulative sums never put a source into one task: documents are dealt to slices of the
 shuffled order, slices are summed first, and each slice continues from the slices before it.
 """
@@ -15,13 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import table
+from .tables import table, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 PASSES = 2
 SLICE_DIGITS = 3
+ORDER = ("finish", "source", "pass", "first")
 
 
 def size_of(text: Column) -> Column:
@@ -80,8 +84,14 @@ def served(
     the four names, which are replaced.
     """
     docs = docs.drop("size", "source_size", "target", "first")
+    return _served(docs.withColumn("size", size_of(F.col("text"))), weights, budget, passes, seed)
+
+
+def _served(
+    sized: DataFrame, weights: tuple[float, ...], budget: float, passes: int, seed: str
+) -> DataFrame:
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = docs.withColumn("size", size_of(F.col("text"))).withColumn("_order", digest)
+    rows = sized.withColumn("_order", digest)
     rows = rows.withColumn("_slice", F.substring("_order", 1, SLICE_DIGITS))
     per_slice = rows.groupBy("source", "_slice").agg(F.sum("size").alias("_slice_size"))
     wanted = targets(
@@ -130,9 +140,11 @@ def fair_mix(
     beginning) and finish, the virtual finish time. Nothing is taken of documents without words,
     and without documents the result is empty. Null texts, sources and ids: see ``served``.
     """
-    every = served(docs, weights, budget, passes, seed).withColumn(
-        "pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1)))
-    )
+    return _mixed(served(docs, weights, budget, passes, seed), passes)
+
+
+def _mixed(offered: DataFrame, passes: int) -> DataFrame:
+    every = offered.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
     upto = F.col("first") + F.col("pass") * F.col("source_size") + F.col("size")
     return (
         every.withColumn("words", words_taken(F.col("pass")))
@@ -142,8 +154,28 @@ def fair_mix(
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
-    """Sorts a mix by virtual finish time, range-partitioned."""
-    return mixed.orderBy("finish", "source", "doc_id", "pass")
+    """Sorts a mix by virtual finish time, range-partitioned; ties go by source and its order."""
+    return mixed.orderBy(*ORDER)
+
+
+def positions(mixed: DataFrame) -> DataFrame:
+    """Adds ``position``, the words of the mix before the row, to a mix that is sorted and written.
+
+    Each range is one task of the sort, so its running sum is one too; a row per range is summed up
+    over all of them. Texts should not be among the columns.
+    """
+    sorted_rows = written(in_order(mixed).withColumn("_range", F.spark_partition_id()), "mix")
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sorted_rows.groupBy("_range").agg(F.sum("words").alias("_words")).select(
+        "_range", F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_base")
+    )
+    before = Window.partitionBy("_range").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        sorted_rows.withColumn("position", F.coalesce(F.sum("words").over(before), F.lit(0)))
+        .join(bases, "_range")
+        .withColumn("position", F.col("position") + F.col("_base"))
+        .drop("_range", "_base")
+    )
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -165,13 +197,38 @@ def first_words(text: Column, count: Column) -> Column:
     return F.array_join(F.slice(pieces, F.lit(1), count.cast("int")), "")
 
 
+def document_shares(
+    docs: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    budget: float = BUDGET,
+    passes: int = PASSES,
+    seed: str = "mix",
+) -> DataFrame:
+    """Rows (doc_id, size, source_size, target, taken, position), one per row of ``docs``.
+
+    ``taken`` is the number of words that the mix takes over all passes, ``position`` the words of
+    the mix before the document's first ones, null if it has none there. Texts are read once. Null
+    texts, sources and ids, and repeated rows: see ``served``.
+    """
+    sizes = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"))
+    sized = written(sizes, "sizes")
+    offered = written(_served(sized, weights, budget, passes, seed), "offered")
+    shares = positions(_mixed(offered, passes)).groupBy("source", "first").agg(
+        F.sum("words").alias("taken"), F.min("position").alias("position")
+    )
+    # In a source, documents with words differ in the words before them.
+    own = shares.select(F.col("source").alias("_of"), F.col("first").alias("_at"), "taken", "position")
+    return offered.join(
+        own, F.expr("size > 0 AND first = _at AND source <=> _of"), "left"
+    ).select(
+        "doc_id", "size", "source_size", "target",
+        F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "position",
+    )
+
+
 def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per row of ``documents``: doc_id, size, source_size, target, taken."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    total = words_taken(F.lit(0))
-    for k in range(1, PASSES):
-        total = total + words_taken(F.lit(k))
-    return served(docs).select("doc_id", "size", "source_size", "target", total.alias("taken"))
+    """One row per row of ``documents``: doc_id, size, source_size, target, taken, position."""
+    return document_shares(table(spark, sf_dir, "documents"))
 
 
 SQL = f"""
@@ -194,8 +251,18 @@ levels AS (
       ORDER BY most / weight, source IS NULL, source
       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM listed),
 aims AS (
-  SELECT source, least(most, max(level) OVER () * weight) AS target FROM levels)
-SELECT doc_id, size, source_size, target,
-  CAST(greatest(0, least(size, CAST(floor(target) AS BIGINT) - ahead))
-    + greatest(0, least(size, CAST(floor(target) AS BIGINT) - ahead - source_size)) AS BIGINT) AS taken
-FROM placed JOIN aims ON placed.source IS NOT DISTINCT FROM aims.source"""
+  SELECT source, least(most, max(level) OVER () * weight) AS target FROM levels),
+passes AS (
+  SELECT doc_id, placed.source, size, ahead, p, (ahead + p * source_size + size) / target AS finish,
+    greatest(0, least(size, CAST(floor(target) AS BIGINT) - ahead - p * source_size)) AS words
+  FROM placed JOIN aims ON placed.source IS NOT DISTINCT FROM aims.source, (VALUES (0), (1)) v(p)),
+mix AS (
+  SELECT *, coalesce(sum(words) OVER (ORDER BY finish, source NULLS FIRST, p, ahead
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS position FROM passes WHERE words > 0),
+shares AS (
+  SELECT source, ahead, sum(words) AS taken, min(position) AS position FROM mix GROUP BY source, ahead)
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken,
+  CAST(position AS BIGINT) AS position
+FROM placed JOIN aims ON placed.source IS NOT DISTINCT FROM aims.source
+LEFT JOIN shares ON size > 0 AND placed.ahead = shares.ahead
+  AND placed.source IS NOT DISTINCT FROM shares.source"""

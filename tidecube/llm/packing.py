@@ -18,7 +18,7 @@ import sys
 import types
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -228,17 +228,23 @@ def write_packed(
     tokenizer: str = TOKENIZER,
     end_id: int = END_ID,
     block_ids: int = BLOCK_IDS,
+    order: Sequence[str] = ("doc_id",),
 ) -> None:
-    """Encodes (doc_id, text) in ascending doc_id order and writes the table of blocks to ``path``.
+    """Encodes (doc_id, text) in ascending ``order`` and writes the table of blocks to ``path``.
 
-    Null texts are empty, and an empty text is the end id alone. A null doc_id comes first, rows
-    that share a doc_id follow each other by text, and no documents make an empty table. Other
-    columns are not read.
+    Null texts are empty, and an empty text is the end id alone. Nulls come first in the order, rows
+    that share it follow each other by doc_id and text, and no documents make an empty table. Columns
+    other than doc_id, text and those of the order are not read.
     """
+    # Under names of their own, so that an order column may be called like one of the two.
+    keys = [f"_order_{i}" for i in range(len(order))]
+    placed = bounded(docs).select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"),
+        *[F.col(c).alias(k) for c, k in zip(order, keys, strict=True)],
+    )
     ordered = (
-        bounded(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        placed.repartitionByRange(*keys).sortWithinPartitions(*keys, "doc_id", "text")
+        .select("doc_id", "text")
     )
     blocks = ordered.mapInArrow(lambda it: _blocks_of(it, tokenizer, end_id, block_ids), BLOCKS)
     blocks.write.option("compression", "none").parquet(path)
@@ -287,11 +293,11 @@ def ids_of(block: dict, place: int) -> np.ndarray:
     return unpack(block["data"], block["bits"], starts[place], starts[place + 1] - starts[place])
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, order: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Writes the documents to a new place in the shared folder and reads the digests back."""
     spark = docs.sparkSession
     path = f"{shared_folder(spark)}/packed-{uuid.uuid4().hex}"
-    write_packed(docs, path)
+    write_packed(docs, path, order=order)
     return read_digests(spark, path)
 
 
