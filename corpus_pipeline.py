@@ -6,7 +6,9 @@ return the columns of ``documents``. Tables other than the documents come from `
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidecube.llm.decontamination import decontaminated
 from tidecube.llm.jaccard import deduplicated
@@ -37,8 +39,20 @@ def at_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids are written as packed bits and read back: doc_id, start, n_tokens, ids_crc32."""
-    return packed(docs)
+    """Token ids are written as packed bits and read back: doc_id, start, n_tokens, ids_crc32.
+
+    They lie in the order of the mix, which is that of the rows in the stage's files; documents that
+    do not come from files are packed by doc_id.
+    """
+    try:
+        placed = docs.select(
+            "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "UNRESOLVED_COLUMN.WITH_SUGGESTION":
+            raise
+        return packed(docs)
+    return packed(placed, order=["_file", "_row"])
 
 
 STAGES = [
