@@ -10,6 +10,7 @@ import __spark_entry__ as registered
 import corpus_pipeline
 from tidecube.llm.decontamination import contaminated
 from tidecube.llm.jaccard import jaccard_join
+from tidecube.llm.mixing import fair_mix, in_order
 from tidecube.llm.quality import scored
 from tidecube.llm.tables import table, written
 
@@ -54,6 +55,26 @@ def test_each_decision_takes_effect(spark, stages):
     assert ids(packed) == ids(mixed)
 
 
+def test_ids_lie_in_the_order_of_the_mix(spark, stages):
+    """Packed order is finish order, and the two passes of a document lie apart."""
+    before, _ = stages["fair_mix"]
+    _, packed = stages["token_ids"]
+    want = [r.doc_id for r in in_order(fair_mix(before)).collect()]
+    got = [r.doc_id for r in packed.orderBy("start").collect()]
+    assert got == want and got != sorted(got)
+    places = {}
+    for place, i in enumerate(got):
+        places.setdefault(i, []).append(place)
+    apart = [b - a for a, b in (p for p in places.values() if len(p) == 2)]
+    assert apart and sum(n > 1 for n in apart) >= 0.95 * len(apart)
+
+
+def test_documents_without_files_are_packed_by_id(spark):
+    docs = spark.createDataFrame([(2, "two"), (1, "one")], "doc_id long, text string")
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, SF).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [1, 2]
+
+
 def test_run_is_the_stages_one_after_another(spark, stages):
     run = sorted(map(tuple, registered.queries()["pipeline"](spark, SF).collect()))
     assert run == sorted(map(tuple, stages["token_ids"][1].collect()))
@@ -70,5 +91,5 @@ def test_edges(spark):
 
 def test_operators_are_registered():
     names = [n for n in registered.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in registered.queries() and "op2_chat_format" in registered.oracle_sql()
