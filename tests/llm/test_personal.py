@@ -9,7 +9,15 @@ from edge_rows import edge_documents, no_documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidecube.llm.personal import KINDS, _unseen, base_spans, luhn, op9_personal_data, personal_data
+from tidecube.llm.personal import (
+    KINDS,
+    _unseen,
+    base_spans,
+    good_patterns,
+    luhn,
+    op9_personal_data,
+    personal_data,
+)
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -136,6 +144,90 @@ def test_spans_over_blanks_keep_to_forms():
     assert len(list(_unseen(text, []))) > 1000
 
 
+def hops(contexts, per_hop, r):
+    """Documents in which each context shares unseen numbers with the next, the first with seeds."""
+    number = lambda: f"{r.randrange(200, 999)}-555-{r.randrange(1000, 9999)}"
+    shared = [[number() for _ in range(per_hop)] for _ in contexts]
+    texts = [f"noise{k} words {contexts[0][0]} +1 ({r.randrange(200, 999)}) 555-{r.randrange(1000, 9999)} "
+             f"{contexts[0][1]} {k}x" for k in range(60)]
+    for i, (before, after) in enumerate(contexts):
+        for x in shared[i] + (shared[i - 1] if i else []):
+            texts.append(f"some {before} {x} {after} end")
+    alone = number()
+    texts.append(f"some {contexts[-1][0]} {alone} {contexts[-1][1]} end")
+    return list(enumerate(texts)), shared, alone
+
+
+def test_what_is_discovered_makes_new_patterns(spark):
+    """Numbers that one context discovers teach a second one, and that discovers another number."""
+    r = random.Random(5)
+    docs, shared, alone = hops([("please call me at", "before noon today")], 30, r)
+    docs += [(1000 + k, f"some her desk line {x} rings all day") for k, x in enumerate([*shared[0], alone[:-4] + "0001"])]
+    docs += [(2000 + k, f"the order count was {k + 200}-555-{1000 + k} pieces overall") for k in range(30)]
+    rows = {x.doc_id: x for x in personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all("phone:" in rows[k].spans for k in range(60, 91))
+    assert all("phone:" in rows[1000 + k].spans and rows[1000 + k].n_phone == 0 for k in range(31))
+    assert all(rows[2000 + k].spans == "" for k in range(30))
+
+
+def brute_patterns(edges):
+    """Good patterns by dictionaries, from {(pattern, kind, value): seed}."""
+    base = {e: float(seed) for e, seed in edges.items()}
+    of_pattern = {}
+    for p, _, v in edges:
+        of_pattern.setdefault(p, set()).add(v)
+    known = set()
+    while True:
+        own = {}
+        for (p, k, v), b in base.items():
+            own.setdefault((p, k), {})[v] = b
+        own = {c: vs for c, vs in own.items()
+               if c[1] < len(KINDS)
+               and sum(1 if edges[(*c, v)] else 0.5 * (b >= 0.9) for v, b in vs.items()) >= 5}
+        belief = {c: dict(vs) for c, vs in own.items()}
+        for _ in range(3):
+            sure = {c: sum(vs.values()) / (len(of_pattern[c[0]]) + 0.25) for c, vs in belief.items()}
+            doubt = {}
+            for (p, k), vs in own.items():
+                for v in vs:
+                    doubt[v, k] = doubt.get((v, k), 1.0) * (1 - min(sure[p, k], 0.999))
+            belief = {c: {v: max(b, 1 - doubt[v, c[1]]) for v, b in vs.items()} for c, vs in own.items()}
+        sure = {c: sum(vs.values()) / (len(of_pattern[c[0]]) + 0.25) for c, vs in belief.items()}
+        good = {c for c, x in sure.items() if x >= 0.9}
+        found = {(v, c[1]): b for c in good for v, b in belief[c].items()
+                 if b >= 0.9 and not edges[c[0], c[1], v]}
+        for (p, k, v), seed in edges.items():
+            if not seed and (v, k) in found:
+                base[p, k, v] = max(base[p, k, v], found[v, k])
+        now = {e for e, b in base.items() if b >= 0.9 and not edges[e]}
+        if now == known:
+            return good
+        known = now
+
+
+def test_patterns_equal_brute_force(spark):
+    """On random graphs, in which some patterns are reached over one or more discoveries."""
+    sizes, later = [], 0
+    for seed in range(4):
+        r = random.Random(seed)
+        edges = {}
+        for p in range(24):
+            kind, near = p % 4, p // 4
+            for _ in range(r.randrange(6, 30)):
+                v = 100 * kind + r.randrange(18 * near, 18 * near + 30)
+                k = kind if r.random() < 0.97 else r.randrange(5)
+                edges[p, k, v] = k < 4 and v % 100 < 40 and v % 4 != 1
+        rows = [(*e, s) for e, s in edges.items()]
+        df = spark.createDataFrame(rows, "pattern long, kind int, value long, seed boolean")
+        got = {(x.pattern, x.kind) for x in good_patterns(df).collect()}
+        assert got == brute_patterns(edges)
+        sizes.append(len(got))
+        seeded = {(p, k) for p, k in got
+                  if sum(s for (a, b, _), s in edges.items() if (a, b) == (p, k)) < 5}
+        later += len(seeded)
+    assert all(sizes) and later > 0
+
+
 def test_edges(spark):
     nothing = hashlib.sha256(b"").hexdigest()
     rows = personal_data(edge_documents(spark)).collect()

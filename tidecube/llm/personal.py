@@ -5,8 +5,10 @@ the two before it, the one before and the one after, or the two after. Patterns
 identifiers that occur in them form a graph. Spark scores it in rounds: a pattern is as good as
 the share of its distinct identifiers that are trusted to be of one kind, and an unseen
 identifier is as good as the patterns that support it make it. Patterns that end with a high
-confidence, drawn from enough distinct seeds, add the unseen identifiers they surround and that
-have their kind's loose form, such as a telephone number without a country code. Loose forms run
+confidence, drawn from enough distinct seeds, discover the unseen identifiers they surround and
+that have their kind's loose form, such as a telephone number without a country code. Those found
+with a high belief are seeds of that belief for new patterns, and so on until none is found.
+Identifiers in good patterns are the spans that are added. Loose forms run
 over single blanks between groups of digits, and between a name, "at" and a host.
 """
 
@@ -26,6 +28,7 @@ from .words import mix
 KINDS = ("email", "ip", "card", "phone")
 CONFIDENCE = 0.9
 SUPPORT = 5
+FOUND_SHARE = 0.5
 SMOOTHING = 0.25
 ROUNDS = 3
 
@@ -260,51 +263,69 @@ def good_patterns(edges: DataFrame) -> DataFrame:
     """Rows (pattern, kind) of high confidence, from rows (pattern, kind, value, seed).
 
     Edges are distinct pairs of a pattern and an identifier, with whether it is a seed of the
-    kind. In each round a pattern's confidence in a kind is the sum of its identifiers' belief in
-    it over the number of all its identifiers and a smoothing share; an unseen identifier's
-    belief is the chance that one of its patterns is right. Only patterns of enough distinct seeds
-    are candidates, which leaves the graph small before it is iterated on.
+    kind. Patterns are scored over and over: what good patterns discover counts for others the next
+    time, with the belief it has, and never for less. Each time before the last discovers another
+    identifier, so it ends with the longest chain of discoveries; only a count reaches the driver.
     """
-    totals = edges.groupBy("pattern").agg(
-        F.count_distinct("value").alias("n"),
-        *[
-            F.count_if(F.col("seed") & (F.col("kind") == k)).alias(f"s{k}")
-            for k in range(len(KINDS))
-        ],
+    sizes = written(edges.groupBy("pattern").agg(F.count_distinct("value").alias("n")), "sizes")
+    edges = written(
+        edges.select("pattern", "kind", "value", "seed", F.col("seed").cast("double").alias("base")), "edges"
     )
-    candidates = totals.select(
-        "pattern", "n",
-        F.explode(
-            F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"s{k}").alias("seeds")) for k in range(len(KINDS))])
-        ).alias("x"),
-    ).select("pattern", "n", "x.kind", "x.seeds").filter(F.col("seeds") >= SUPPORT)
-    graph = written(edges.join(candidates, ["pattern", "kind"]), "patterns")
-    beliefs = graph.select(
-        "pattern", "kind", "n", "value", F.col("seed").cast("double").alias("belief"), "seed"
+    known = 0
+    while True:
+        beliefs = written(_beliefs(edges, sizes), "beliefs")
+        good = written(
+            _confidence(beliefs).filter(F.col("confidence") >= CONFIDENCE).select("pattern", "kind"), "good"
+        )
+        found = (
+            beliefs.filter(~F.col("seed") & (F.col("belief") >= CONFIDENCE)).join(good, ["pattern", "kind"])
+            .groupBy("value", "kind").agg(F.max("belief").alias("_found"))
+        )
+        edges = written(
+            edges.join(found, ["value", "kind"], "left")
+            .withColumn("base", F.greatest("base", F.coalesce("_found", F.lit(0.0)))).drop("_found"),
+            "edges",
+        )
+        counted = edges.filter(~F.col("seed") & (F.col("base") >= CONFIDENCE)).count()
+        if counted == known:
+            return good
+        known = counted
+
+
+def _beliefs(edges: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Beliefs in the identifiers of candidate patterns: pattern, kind, n, value, seed, base, belief.
+
+    In each round a pattern's confidence in a kind is the sum of its identifiers' belief in it over
+    the number of all its identifiers and a smoothing share; an unseen identifier's belief is the
+    chance that one of its patterns is right, or ``base`` if that is more. Only patterns of enough
+    distinct identifiers that are trusted from the start are candidates, which leaves the graph small;
+    discovered ones count ``FOUND_SHARE`` of a seed there.
+    """
+    candidates = (
+        edges.filter(F.col("kind") < OTHER).groupBy("pattern", "kind")
+        .agg(
+            (F.count_if("seed") + FOUND_SHARE * F.count_if(~F.col("seed") & (F.col("base") >= CONFIDENCE)))
+            .alias("trusted")
+        )
+        .filter(F.col("trusted") >= SUPPORT).select("pattern", "kind")
     )
+    graph = written(edges.join(candidates, ["pattern", "kind"]).join(sizes, "pattern"), "patterns")
+    beliefs = graph.withColumn("belief", F.col("base"))
     for _ in range(ROUNDS):
-        scores = beliefs.groupBy("pattern", "kind").agg(
-            (F.sum("belief") / (F.max("n") + SMOOTHING)).alias("confidence")
-        )
-        scored = graph.select("pattern", "kind", "n", "value", "seed").join(scores, ["pattern", "kind"])
+        scored = graph.join(_confidence(beliefs), ["pattern", "kind"])
         doubt = F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))
-        values = scored.groupBy("value", "kind").agg(
-            F.max("seed").alias("known"), (1 - F.exp(F.sum(doubt))).alias("belief")
-        )
+        values = scored.groupBy("value", "kind").agg((1 - F.exp(F.sum(doubt))).alias("_belief"))
         beliefs = written(
-            graph.select("pattern", "kind", "n", "value", "seed").join(
-                values.select(
-                    "value", "kind",
-                    F.when(F.col("known"), F.lit(1.0)).otherwise(F.col("belief")).alias("belief"),
-                ),
-                ["value", "kind"],
-            ),
+            graph.join(values, ["value", "kind"])
+            .withColumn("belief", F.greatest("base", "_belief")).drop("_belief"),
             "beliefs",
         )
-    return (
-        beliefs.groupBy("pattern", "kind")
-        .agg((F.sum("belief") / (F.max("n") + SMOOTHING)).alias("confidence"))
-        .filter(F.col("confidence") >= CONFIDENCE).select("pattern", "kind")
+    return beliefs
+
+
+def _confidence(beliefs: DataFrame) -> DataFrame:
+    return beliefs.groupBy("pattern", "kind").agg(
+        (F.sum("belief") / (F.max("n") + SMOOTHING)).alias("confidence")
     )
 
 
