@@ -213,10 +213,10 @@ def test_patterns_equal_brute_force(spark):
         edges = {}
         for p in range(24):
             kind, near = p % 4, p // 4
-            for _ in range(r.randrange(6, 30)):
-                v = 100 * kind + r.randrange(18 * near, 18 * near + 30)
-                k = kind if r.random() < 0.97 else r.randrange(5)
-                edges[p, k, v] = k < 4 and v % 100 < 40 and v % 4 != 1
+            for _ in range(r.randrange(20, 120)):
+                v = 200 * kind + r.randrange(9 * near, 9 * near + 36)
+                k = kind if r.random() < 0.99 else r.randrange(5)
+                edges[p, k, v] = k < 4 and v % 200 < 36 and v % 9 != 1
         rows = [(*e, s) for e, s in edges.items()]
         df = spark.createDataFrame(rows, "pattern long, kind int, value long, seed boolean")
         got = {(x.pattern, x.kind) for x in good_patterns(df).collect()}
