@@ -1,22 +1,22 @@
 """Line deduplication over fuzzy copies, in DataFrame operations only.
 
 Equal lines, lower-cased and without white space at their ends, are one node. A line's character
-shingles are hashed in generated code: a row for each shingle, folded straight into MinHash
-values by an aggregation that needs no further shuffle. Bands of values make buckets. In each
-bucket all lines are compared exactly with the first one; what this links is joined by
-distributed union-find. Then lines of a bucket that are still in different components are
-compared with each other, so that no candidate pair is left out, without listing the pairs of a
-group of copies. Of each component the first line stays.
-
-Lines are nodes under a 64-bit hash: among n distinct lines, n * n / 2**65 pairs are expected to
+shingles are hashed once and sorted. A MinHash value is the first hash at or after a fixed point of
+the ring of 64-bit numbers, so all values of a line come from one sorted array, where it is read.
+Bands of values make buckets. Only (bucket, node) is shuffled, summed up per bucket first; texts
+are fetched for lines that share a bucket with another line. In each bucket all lines are compared
+exactly with the first one; what this links is joined by distributed union-find. Then lines of a
+bucket that are still in different components are compared with each other, so that no candidate
+pair is left out, without listing the pairs of a group of copies. Of each component the first line
+stays.
+
+Lines are nodes under a 128-bit hash: among n distinct lines, n * n / 2**129 pairs are expected to
 share one.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
@@ -24,8 +24,8 @@ from .tables import table, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 8
-ROWS = 4
+BANDS = 14
+ROWS = 5
 _UNITS = 2  # bytes of a UTF-16 code unit, the characters of shingles
 
 
@@ -33,54 +33,51 @@ def normalised(line: Column) -> Column:
     return F.lower(F.btrim(line, F.lit(" \t\r")))
 
 
-def _lines(docs: DataFrame, *more: str) -> DataFrame:
-    split = F.explode(F.split("text", "\n", -1)).alias("line")
-    return docs.select(*more, split).select(*more, normalised(F.col("line")).alias("line"))
+def _node(line: Column) -> Column:
+    return F.unhex(F.md5(line))
 
 
-def _shingle_hashes(data: Column) -> Column:
-    """The set of shingle hashes of a coded line of at least one shingle, as an array.
+def _hashes(line: Column) -> Column:
+    """Hashes of a line's shingles as an array, null if it has none.
 
-    ``data`` must be a stored column, or the lambda would code the line anew for each shingle.
+    The coded line is bound to a variable, so that it is made once and not for every shingle.
     """
-    starts = F.sequence(
-        F.lit(1), F.octet_length(data) - (_UNITS * SHINGLE - 1), F.lit(_UNITS)
-    )
-    return F.array_distinct(
-        F.transform(starts, lambda i: F.xxhash64(F.substring(data, i, F.lit(_UNITS * SHINGLE))))
-    )
+    width = _UNITS * SHINGLE
 
+    def of(data: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.octet_length(data) - (width - 1), F.lit(_UNITS))
+        each = F.transform(starts, lambda i: F.xxhash64(F.substring(data, i, F.lit(width))))
+        return F.when(F.octet_length(data) >= width, each)
 
-def _banded(distinct: DataFrame) -> DataFrame:
-    """Rows (node, keys) of the lines that have a shingle, with a key for each band."""
-    width = _UNITS * SHINGLE
-    coded = distinct.select("node", F.encode("line", "UTF-16BE").alias("data"))
-    starts = F.sequence(F.lit(1), F.octet_length("data") - (width - 1), F.lit(_UNITS))
-    # The test for length stays above the shuffle, whose rows the texts need as well.
-    each = (
-        coded.select(
-            "node", "data",
-            F.explode_outer(F.when(F.octet_length("data") >= width, starts)).alias("at"),
-        )
-        .filter(F.col("at").isNotNull())
-        .select("node", F.xxhash64(F.substring("data", F.col("at"), F.lit(width))).alias("hash"))
-    )
-    # The value nearest to a fixed number, by exclusive or, is the least under a permutation.
-    least = each.groupBy("node").agg(
-        *[
-            F.min(F.col("hash").bitwiseXOR(F.lit(_fixed(k)))).alias(f"m{k}")
-            for k in range(BANDS * ROWS)
-        ]
-    )
-    bands = [
-        F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)
-    ]
-    return least.select("node", F.array(*bands).alias("keys"))
+    return F.transform(F.array(F.encode(line, "UTF-16BE")), of)[0]
+
+
+def _points() -> list[int]:
+    """Fixed points of the ring in ascending order, at equal distances."""
+    count = BANDS * ROWS
+    return [(2 * i + 1 - count) * (2**63 // count) for i in range(count)]
+
+
+def _keyed(lines: DataFrame) -> DataFrame:
+    """The rows with a key for each band in place of ``line``; null for lines without a shingle."""
+    others = [c for c in lines.columns if c != "line"]
+    points = _points()
+    ring = F.array(*[F.lit(p).cast("long") for p in points])
+    hashed = lines.select(*others, F.sort_array(_hashes(F.col("line"))).alias("_set"))
+    merged = hashed.select("*", F.sort_array(F.concat("_set", ring)).alias("_merged"))
 
+    def value(k: int) -> Column:
+        # The point's place among the hashes and k earlier points; after the last comes the first.
+        place = F.array_position("_merged", F.lit(points[k]).cast("long")) - F.lit(k + 1)
+        return F.get("_set", F.pmod(place, F.size("_set")).cast("int"))
 
-def _fixed(k: int) -> int:
-    """The k-th of the fixed numbers, spread over the 63-bit range."""
-    return int(math.modf((k + 1) * 0.6180339887498949)[0] * 2**52) * 2039 + k
+    # A band's points lie apart, so that they rarely fall on the same hash.
+    bands = [
+        F.xxhash64(F.lit(b), *[value(b + r * BANDS) for r in range(ROWS)]) for b in range(BANDS)
+    ]
+    # Beside a lambda the projection is compiled in small methods instead of a single huge one.
+    keys = F.transform(F.array(*bands), lambda x: x)
+    return merged.select(*others, F.when(F.col("_set").isNotNull(), keys).alias("keys"))
 
 
 def _reached(common: Column, sizes: Column, threshold: float) -> Column:
@@ -90,40 +87,55 @@ def _reached(common: Column, sizes: Column, threshold: float) -> Column:
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Of rows (a, b), those whose shingle sets have at least this Jaccard similarity."""
-    one = texts.select(F.col("node").alias("a"), F.col("data").alias("_x"))
-    two = texts.select(F.col("node").alias("b"), F.col("data").alias("_y"))
-    told = pairs.distinct().join(one, "a").join(two, "b")
-    # Bound to variables, the sets and their intersection are computed once for each pair.
-    sets = F.array(F.struct(_shingle_hashes(F.col("_x")).alias("x"), _shingle_hashes(F.col("_y")).alias("y")))
-    sizes = F.transform(
-        sets,
-        lambda s: F.struct(
-            F.size(F.array_intersect(s["x"], s["y"])).alias("both"),
-            (F.size(s["x"]) + F.size(s["y"])).alias("all"),
-        ),
-    )
-    similar = F.exists(sizes, lambda s: _reached(s["both"], s["all"], threshold))
-    return told.filter(similar).select("a", "b")
+    one = texts.select(F.col("node").alias("a"), F.col("line").alias("_x"), F.col("n").alias("_m"))
+    two = texts.select(F.col("node").alias("b"), F.col("line").alias("_y"), F.col("n").alias("_n"))
+    # A smaller set below the threshold's part of the larger cannot reach it.
+    near = F.least("_m", "_n") >= F.lit(threshold) * F.greatest("_m", "_n") - 1e-9
+    told = pairs.distinct().join(one, "a").join(two, "b").filter(near)
+    common = F.size(F.array_intersect(_hashes(F.col("_x")), _hashes(F.col("_y"))))
+    return told.filter(_reached(common, F.col("_m") + F.col("_n"), threshold)).select("a", "b")
 
 
 def linked_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows (node, root) of the distinct lines that are linked with others."""
-    nodes = _lines(docs.select("text")).select(F.xxhash64("line").alias("node"), "line")
-    # One shuffle of the lines serves both uses: it is the same exchange in one plan.
-    distinct = nodes.repartition("node").distinct()
-    within = Window.partitionBy("bucket")
-    members = (
-        _banded(distinct)
-        .select("node", F.explode("keys").alias("bucket"))
-        .withColumn("first", F.min("node").over(within))
-        .withColumn("last", F.max("node").over(within))
-        .filter(F.col("first") < F.col("last"))
-        .select("bucket", "node", "first")
+    return _linked(docs, written(_keyed(_numbered(docs)), "lines"), threshold)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """A row for each line, at least one for each document, with the line and its node.
+
+    Lines without a character other than white space have neither. ``told`` orders documents
+    that share a doc_id.
+    """
+    parts = F.split("text", "\n", -1)
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row_id"), "doc_id",
+        F.xxhash64("text").alias("told"),
+        F.coalesce(F.size(parts), F.lit(0)).alias("n_lines"), parts.alias("_parts"),
+    ).select("row_id", "doc_id", "told", "n_lines", F.posexplode_outer("_parts").alias("line_no", "_line"))
+    line = F.when(normalised(F.col("_line")) != "", normalised(F.col("_line")))
+    return rows.withColumn("line", line).drop("_line").withColumn("node", _node(F.col("line")))
+
+
+def _linked(docs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
+    placed = keyed.select("node", F.explode("keys").alias("bucket"))
+    half = F.xxhash64("node")
+    several = (
+        placed.groupBy("bucket").agg(F.min(half).alias("x"), F.max(half).alias("y"))
+        .filter(F.col("x") < F.col("y")).select("bucket")
     )
-    coded = distinct.select("node", F.encode("line", "UTF-16BE").alias("data"))
-    told = written(members.join(coded, "node"), "members")
-    texts = written(told.select("node", "data").distinct(), "lines")
-    told = told.drop("data")
+    members = written(placed.join(several, "bucket").distinct(), "members")
+    firsts = members.groupBy("bucket").agg(F.min("node").alias("first"))
+    lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    lines = lines.select(normalised(F.col("line")).alias("line"))
+    lines = lines.select(_node(F.col("line")).alias("node"), "line")
+    wanted = members.select("node").distinct()
+    texts = written(
+        lines.join(wanted, "node", "left_semi").distinct()
+        .withColumn("n", F.size(F.array_distinct(_hashes(F.col("line"))))),
+        "texts",
+    )
+    told = members.join(firsts, "bucket")
     stars = told.filter(F.col("node") != F.col("first")).select(
         F.col("node").alias("a"), F.col("first").alias("b")
     )
@@ -152,7 +164,9 @@ def _across(
     rest = written(rest.join(several, "bucket"), "open")
     shared = rest.groupBy("node").agg(F.sort_array(F.collect_set("bucket")).alias("keys"))
     sets = written(
-        texts.join(shared, "node").select("node", "keys", _shingle_hashes(F.col("data")).alias("set")),
+        texts.join(shared, "node").select(
+            "node", "keys", F.array_distinct(_hashes(F.col("line"))).alias("set")
+        ),
         "sets",
     )
     every = rest.join(sets, "node")
@@ -172,29 +186,21 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows (row_id, doc_id, n_lines, dropped), one per row of ``docs``.
 
     ``dropped`` lists the numbers (from 0) of the lines that go, ascending. Of equal or linked
-    lines the one with the smallest doc_id (null last), then the earliest row and line, stays.
+    lines the one with the smallest doc_id (null last), then the least hash of the whole text, then
+    the earliest line, stays, however the files lie.
     Lines without a character other than white space always stay. A line shorter than a shingle
     is one shingle as a whole, so a copy of equal lines only. A null text has no lines, an empty one has one. Rows that
     repeat are documents of their own, so the lines of the second go. Columns other than doc_id
     and text are not read; an empty table gives no rows.
     """
-    parts = F.transform(F.split("text", "\n", -1), lambda x: F.xxhash64(normalised(x)))
-    rows = written(
-        docs.select(
-            F.monotonically_increasing_id().alias("row_id"), "doc_id",
-            F.coalesce(parts, F.array().cast("array<bigint>")).alias("nodes"),
-        ),
-        "rows",
-    )
-    blank = F.xxhash64(F.lit(""))
-    lines = rows.select(
-        "row_id", "doc_id", F.posexplode("nodes").alias("line_no", "node")
-    ).filter(F.col("node") != blank)
-    roots = linked_lines(docs, threshold)
+    keyed = written(_keyed(_numbered(docs)), "lines")
+    rows = keyed.filter(F.coalesce("line_no", F.lit(0)) == 0)
+    lines = keyed.filter(F.col("node").isNotNull()).drop("keys")
+    roots = _linked(docs, keyed, threshold)
     classed = lines.join(roots, "node", "left").select(
-        "row_id", "doc_id", "line_no", F.coalesce("root", "node").alias("class")
+        "row_id", "doc_id", "told", "line_no", F.coalesce("root", "node").alias("class")
     )
-    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_id", "line_no")
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "told", "row_id", "line_no")
     firsts = (
         classed.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > 1)
@@ -205,7 +211,7 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .filter((F.col("row_id") != F.col("_row")) | (F.col("line_no") != F.col("_line")))
         .groupBy("row_id").agg(F.sort_array(F.collect_list("line_no")).alias("dropped"))
     )
-    return rows.select("row_id", "doc_id", F.size("nodes").alias("n_lines")).join(
+    return rows.select("row_id", "doc_id", "n_lines").join(
         gone, "row_id", "left"
     ).withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
 
