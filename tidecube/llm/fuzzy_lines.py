@@ -3,8 +3,8 @@
 Equal lines, lower-cased and without white space at their ends, are one node. A line's character
 shingles are hashed once and sorted. A MinHash value is the first hash at or after a fixed point of
 the ring of 64-bit numbers, so all values of a line come from one sorted array, where it is read.
-Bands of values make buckets. Only (bucket, node) is shuffled, summed up per bucket first; texts
-are fetched for lines that share a bucket with another line. In each bucket all lines are compared
+Bands of values make buckets. Each distinct line is dealt to them without its text; texts are
+fetched for lines that share a bucket with another line. In each bucket all lines are compared
 exactly with the first one; what this links is joined by distributed union-find. Then lines of a
 bucket that are still in different components are compared with each other, so that no candidate
 pair is left out, without listing the pairs of a group of copies. Of each component the first line
@@ -24,7 +24,7 @@ from .tables import table, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 14
+BANDS = 10
 ROWS = 5
 _UNITS = 2  # bytes of a UTF-16 code unit, the characters of shingles
 
@@ -75,9 +75,10 @@ def _keyed(lines: DataFrame) -> DataFrame:
     bands = [
         F.xxhash64(F.lit(b), *[value(b + r * BANDS) for r in range(ROWS)]) for b in range(BANDS)
     ]
-    # Beside a lambda the projection is compiled in small methods instead of a single huge one.
-    keys = F.transform(F.array(*bands), lambda x: x)
-    return merged.select(*others, F.when(F.col("_set").isNotNull(), keys).alias("keys"))
+    # A lambda beside them lets the keys be compiled in small methods instead of a single huge one;
+    # inside a lambda they would not be compiled at all.
+    some = F.exists(F.array(F.size("_set")), lambda n: n > 0)
+    return merged.select(*others, F.when(some, F.array(*bands)).alias("keys"))
 
 
 def _reached(common: Column, sizes: Column, threshold: float) -> Column:
@@ -118,13 +119,15 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def _linked(docs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
-    placed = keyed.select("node", F.explode("keys").alias("bucket"))
+    # Repeated lines are one row before their buckets are dealt; both sides share that shuffle.
+    once = keyed.filter(F.col("keys").isNotNull()).select("node", "keys").distinct()
+    placed = once.select("node", F.explode("keys").alias("bucket")).repartition("bucket")
     half = F.xxhash64("node")
     several = (
         placed.groupBy("bucket").agg(F.min(half).alias("x"), F.max(half).alias("y"))
         .filter(F.col("x") < F.col("y")).select("bucket")
     )
-    members = written(placed.join(several, "bucket").distinct(), "members")
+    members = written(placed.join(several, "bucket"), "members")
     firsts = members.groupBy("bucket").agg(F.min("node").alias("first"))
     lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line"))
     lines = lines.select(normalised(F.col("line")).alias("line"))
