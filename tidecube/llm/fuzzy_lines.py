@@ -132,7 +132,8 @@ def _linked(docs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
     lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line"))
     lines = lines.select(normalised(F.col("line")).alias("line"))
     lines = lines.select(_node(F.col("line")).alias("node"), "line")
-    wanted = members.select("node").distinct()
+    # Written first, so that its size is known: below Spark's threshold no text is shuffled.
+    wanted = written(members.select("node").distinct(), "wanted")
     texts = written(
         lines.join(wanted, "node", "left_semi").distinct()
         .withColumn("n", F.size(F.array_distinct(_hashes(F.col("line"))))),
@@ -166,20 +167,17 @@ def _across(
     )
     rest = written(rest.join(several, "bucket"), "open")
     shared = rest.groupBy("node").agg(F.sort_array(F.collect_set("bucket")).alias("keys"))
-    sets = written(
-        texts.join(shared, "node").select(
-            "node", "keys", F.array_distinct(_hashes(F.col("line"))).alias("set")
-        ),
-        "sets",
-    )
-    every = rest.join(sets, "node")
-    common = F.size(F.array_intersect("x.set", "y.set"))
+    # Rows carry the line, a tenth of its set of hashes in size.
+    every = rest.join(written(texts.join(shared, "node"), "open"), "node")
     first_shared = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.bucket")
-    alike = _reached(common, F.size("x.set") + F.size("y.set"), threshold)
+    near = F.least("x.n", "y.n") >= F.lit(threshold) * F.greatest("x.n", "y.n") - 1e-9
+    common = F.size(F.array_intersect(_hashes(F.col("x.line")), _hashes(F.col("y.line"))))
+    alike = _reached(common, F.col("x.n") + F.col("y.n"), threshold)
     return every.alias("x").join(
         every.alias("y"),
         (F.col("x.bucket") == F.col("y.bucket"))
         & (F.col("x.root") < F.col("y.root"))
+        & near
         & first_shared
         & alike,
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
