@@ -24,7 +24,7 @@ from .tables import table, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 10
+BANDS = 14
 ROWS = 5
 _UNITS = 2  # bytes of a UTF-16 code unit, the characters of shingles
 
