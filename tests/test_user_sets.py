@@ -145,3 +145,18 @@ def test_windows_read_bitmaps_only(spark, store, capsys):
     assert "GreaterThanOrEqual(day,2020-01-01)" in plan and "part=2019" not in plan
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "SinglePartition"):
         assert word not in plan
+
+
+def test_an_hour_takes_the_words_it_has(spark, make_inputs, tmp_path):
+    """Hours with few customers are not 4 kilobytes each, and every bit of a word counts."""
+    people = [customer(k) for k in range(200)]
+    crowd = [tx(k, k, 10, "2021-03-04 05:20:00", 1) for k in range(200)]
+    alone = [tx(1000 + k, k, 10, f"2021-03-{1 + k // 24:02d} {k % 24:02d}:20:00", 1) for k in range(48)]
+    inputs = make_inputs(crowd + alone, [(1, 5)], people)
+    keep_user_sets(inputs, str(tmp_path), date(2021, 3, 1), LAST, LAUNCH)
+    sets = user_sets(spark, str(tmp_path), date(2021, 3, 1), BASE)
+    words = {(r.DateHour, len(r.Users)) for r in sets.collect()}
+    assert words == {(datetime(2021, 3, 4, 5), 4)} | {(datetime(2021, 3, 1 + k // 24, k % 24), 1) for k in range(48)}
+    windows = {"All": (date(2021, 3, 1), BASE), "Alone": (date(2021, 3, 1), date(2021, 3, 3)), "None": (LAST, BASE)}
+    counted = bitmaps.window_users(sets, windows, Options()).collect()
+    assert {(r.All, r.Alone, r["None"]) for r in counted} == {(200, 48, 0)} and len(counted) == 4
