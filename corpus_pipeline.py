@@ -17,6 +17,9 @@ from tidecube.llm.packing import packed
 from tidecube.llm.quality import accepted
 from tidecube.llm.tables import table, written
 
+#: Fewer than ``op7_packed_ids`` keeps, as workers hold what earlier stages took as well.
+CACHED_CHUNKS = 200_000
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the positive-unlabelled classifier rejects go."""
@@ -51,8 +54,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "UNRESOLVED_COLUMN.WITH_SUGGESTION":
             raise
-        return packed(docs)
-    return packed(placed, order=["_file", "_row"])
+        return packed(docs, cached_chunks=CACHED_CHUNKS)
+    return packed(placed, order=["_file", "_row"], cached_chunks=CACHED_CHUNKS)
 
 
 STAGES = [

@@ -59,6 +59,24 @@ def test_small_generations_give_the_same_ids(monkeypatch):
         assert [x.tolist() for x in own(texts[at : at + 20])] == library(own, texts[at : at + 20])
 
 
+def test_new_words_are_merged_without_being_split_first(monkeypatch):
+    own, seen = Encoder(packing.TOKENIZER), []
+    texts = ["one alpha beta, gröÞe.\nDelta alpha; ŷŵ\u024f ŷŵ\u024f! last", "x " + " ".join(map(chr, range(0xC0, 0x250)))]
+    want, whole = library(own, texts), own.whole
+    monkeypatch.setattr(own, "whole", lambda texts: seen.extend(texts) or whole(texts))
+    assert [x.tolist() for x in own(texts)] == want
+    assert not any(word in text for text in seen for word in ("alpha", "beta", "grö", "ŷŵ", "last"))
+
+
+def test_a_worker_keeps_as_many_chunks_as_its_last_task_asks_for():
+    kept = Encoder.of_process(packing.TOKENIZER, 50)
+    again = Encoder.of_process(packing.TOKENIZER, 70)
+    assert again is kept and again.cached_chunks == 70
+    for k in range(0, 3000, 30):
+        again([" ".join(["a", *(f"w{i}x" for i in range(k, k + 30))])])
+    assert len(again._known) <= 140
+
+
 def test_documents_come_back_from_the_blocks(spark, encoder):
     docs = edge_documents(spark)
     rows = packed(docs).orderBy("start").collect()

@@ -18,7 +18,10 @@ import sys
 import types
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +33,15 @@ from .tables import bounded, shared_folder, table
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 BLOCK_IDS = 1 << 16
-CACHED_CHUNKS = 200_000
+CACHED_CHUNKS = 500_000
 TEXTS_AT_ONCE = 64
-#: Letters that all Unicode versions know as such, then an ASCII character that is no letter.
+#: How byte-level vocabularies show a space.
+_SPACE = "\u0120"
+#: Letters that all Unicode versions know as such, up to an ASCII character that is no letter, or
+#: none; then the rest of the chunk.
 _WORD_AND_TAIL = re.compile(
-    r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([\x00-@\[-`{-\x7f].*)", re.S
-).fullmatch
+    r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++(?=[\x00-@\[-`{-\x7f])|)([^ ]*) "
+).findall
 BLOCKS = (
     "file int, block long, bits int, first long, n_ids long, data binary, "
     "doc_ids array<long>, doc_first array<long>"
@@ -82,24 +88,32 @@ class Encoder:
 
     The tokenizer splits a text into words before it merges, and always before a single space
     between characters other than white space. So a text is the sequence of its space-separated
-    chunks, each is encoded once, and a dictionary has it afterwards. New chunks are encoded
+    chunks, each is encoded once, and a dictionary has it afterwards. New words of letters go
+    straight to the tokenizer's merges, as there is nothing to split. Other new chunks are encoded
     together as one text, which comes apart again at the tokens that begin with a space, as a
     chunk has none inside. Texts with spaces before other white space go through whole. The
     dictionary has two generations of a bounded size; what is used moves to the younger one.
     """
 
-    def __init__(self, name: str) -> None:
+    def __init__(self, name: str, cached_chunks: int | None = None) -> None:
         import public_tokenizers
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self._tokenizer.encode_special_tokens = True
+        self.cached_chunks = cached_chunks or CACHED_CHUNKS
         self.vocabulary = self._tokenizer.get_vocab_size(with_added_tokens=True)
         spaced = np.zeros(self.vocabulary, dtype=bool)
         for token, number in self._tokenizer.get_vocab(with_added_tokens=True).items():
-            spaced[number] = token.startswith("\u0120")  # how byte-level vocabularies show a space
+            spaced[number] = token.startswith(_SPACE)
         self._spaced = spaced
+        splitter = self._tokenizer.pre_tokenizer
+        self._byte_level = self._tokenizer.normalizer is None and isinstance(splitter, ByteLevel)
+        if self._byte_level:
+            letters = filter(str.isalpha, map(chr, range(0xC0, 0x250)))
+            self._shown = {ord(x): splitter.pre_tokenize_str(x)[-1][0][-2:] for x in letters}
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._tails: dict[str, bytes] = {}
@@ -109,12 +123,20 @@ class Encoder:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     @classmethod
-    def of_process(cls, name: str) -> Encoder:
+    def of_process(cls, name: str, cached_chunks: int) -> Encoder:
         """The encoder of this Python worker, which outlives the tasks that share the worker."""
         kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders"))
         if not hasattr(kept, name):
             setattr(kept, name, cls(name))
-        return getattr(kept, name)
+        encoder = getattr(kept, name)
+        encoder.cached_chunks = cached_chunks
+        return encoder
+
+    def _word(self, word: str) -> bytes:
+        """Ids of letters after a space, which a byte-level tokenizer only merges."""
+        shown = word if word.isascii() else word.translate(self._shown)
+        merged = self._tokenizer.model.tokenize(_SPACE + shown)
+        return array("I", [t.id for t in merged]).tobytes()
 
     def _learn(self, chunks: list[str]) -> None:
         """Gets to know new chunks, from the older generation or by encoding them.
@@ -122,27 +144,27 @@ class Encoder:
         A word with something behind it, such as a full stop, is the word and that: the
         tokenizer always splits where letters end.
         """
-        if len(self._known) + len(chunks) > CACHED_CHUNKS:
+        if len(self._known) + len(chunks) > self.cached_chunks:
             self._older, self._known = self._known, {}
             self._tails.clear()
-        known, older, tails = self._known, self._older, self._tails
-        split, plain, ends = [], {}, {}
-        for x in chunks:
-            if (y := older.get(x)) is not None:
-                known[x] = y
-            elif (m := _WORD_AND_TAIL(x)) is not None:
-                head, tail = m.groups()
-                split.append((x, head, tail))
-                if head not in known:
-                    plain[head] = None
-                if tail not in tails:
-                    ends[tail] = None
+        known, tails = self._known, self._tails
+        kept = list(map(self._older.get, chunks))
+        known.update(compress(zip(chunks, kept, strict=True), kept))
+        new = list(compress(chunks, map(not_, kept)))
+        # One search over all of them, as no chunk has a space.
+        parts = _WORD_AND_TAIL(" ".join([*new, ""])) if self._byte_level else [("", x) for x in new]
+        ends = [x for x in dict.fromkeys(tail for head, tail in parts if head) if x not in tails]
+        tails.update(zip(ends, self.whole(ends), strict=True))
+        plain = []
+        for x, (head, tail) in zip(new, parts, strict=True):
+            if head:
+                if (ids := known.get(head)) is None:
+                    ids = known[head] = self._word(head)
+                if tail:
+                    known[x] = ids + tails[tail]
             elif x and not x[0].isspace() and not x[-1].isspace():
-                plain[x] = None
-        known.update(self._spaced_ids(list(plain)))
-        tails.update(zip(ends, self.whole(list(ends)), strict=True))
-        for x, head, tail in split:
-            known[x] = known[head] + tails[tail]
+                plain.append(x)
+        known.update(self._spaced_ids(plain))
 
     def _spaced_ids(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
         """Chunks with their ids after a space, encoded many at once."""
@@ -164,20 +186,18 @@ class Encoder:
         found = [list(map(get, parts)) for parts in split]
         for rest in found:
             rest[0] = b""
-        lacking = [
-            (k, [i for i, y in enumerate(rest) if y is None])
-            for k, rest in enumerate(found)
-            if None in rest
-        ]
-        self._learn(list(dict.fromkeys(split[k][i] for k, places in lacking for i in places)))
-        get, older = self._known.get, self._older.get
+        lacking = [(k, [i for i, y in enumerate(rest) if y is None]) for k, rest in enumerate(found)]
+        missed = [list(map(split[k].__getitem__, places)) for k, places in lacking]
+        self._learn(list(dict.fromkeys(chain.from_iterable(missed))))
+        get = self._known.get
         odd = set()
-        for k, places in lacking:
-            parts, rest = split[k], found[k]
-            for i in places:
-                if (ids := get(parts[i]) or older(parts[i])) is None:
-                    odd.add(k)  # an empty chunk or one with white space at an end
-                    break
+        for (k, places), chunks in zip(lacking, missed, strict=True):
+            learned = list(map(get, chunks))
+            if None in learned:  # an empty chunk or one with white space at an end
+                odd.add(k)
+                continue
+            rest = found[k]
+            for i, ids in zip(places, learned, strict=True):
                 rest[i] = ids
         out = []
         for k, (text, parts, first, rest) in enumerate(zip(texts, split, firsts, found, strict=True)):
@@ -188,11 +208,11 @@ class Encoder:
 
 
 def _blocks_of(
-    batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, block_ids: int
+    batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, block_ids: int, cached_chunks: int
 ) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    encode = Encoder.of_process(tokenizer)
+    encode = Encoder.of_process(tokenizer, cached_chunks)
     bits, file = width(encode.vocabulary), TaskContext.get().partitionId()
     block, first, held, count = 0, 0, [], 0
 
@@ -229,12 +249,14 @@ def write_packed(
     end_id: int = END_ID,
     block_ids: int = BLOCK_IDS,
     order: Sequence[str] = ("doc_id",),
+    cached_chunks: int = CACHED_CHUNKS,
 ) -> None:
     """Encodes (doc_id, text) in ascending ``order`` and writes the table of blocks to ``path``.
 
     Null texts are empty, and an empty text is the end id alone. Nulls come first in the order, rows
     that share it follow each other by doc_id and text, and no documents make an empty table. Columns
-    other than doc_id, text and those of the order are not read.
+    other than doc_id, text and those of the order are not read. A Python worker keeps the ids of up
+    to twice ``cached_chunks`` chunks, some 200 bytes each.
     """
     # Under names of their own, so that an order column may be called like one of the two.
     keys = [f"_order_{i}" for i in range(len(order))]
@@ -246,7 +268,9 @@ def write_packed(
         placed.repartitionByRange(*keys).sortWithinPartitions(*keys, "doc_id", "text")
         .select("doc_id", "text")
     )
-    blocks = ordered.mapInArrow(lambda it: _blocks_of(it, tokenizer, end_id, block_ids), BLOCKS)
+    blocks = ordered.mapInArrow(
+        lambda it: _blocks_of(it, tokenizer, end_id, block_ids, cached_chunks), BLOCKS
+    )
     blocks.write.option("compression", "none").parquet(path)
 
 
@@ -293,11 +317,13 @@ def ids_of(block: dict, place: int) -> np.ndarray:
     return unpack(block["data"], block["bits"], starts[place], starts[place + 1] - starts[place])
 
 
-def packed(docs: DataFrame, order: Sequence[str] = ("doc_id",)) -> DataFrame:
+def packed(
+    docs: DataFrame, order: Sequence[str] = ("doc_id",), cached_chunks: int = CACHED_CHUNKS
+) -> DataFrame:
     """Writes the documents to a new place in the shared folder and reads the digests back."""
     spark = docs.sparkSession
     path = f"{shared_folder(spark)}/packed-{uuid.uuid4().hex}"
-    write_packed(docs, path, order=order)
+    write_packed(docs, path, order=order, cached_chunks=cached_chunks)
     return read_digests(spark, path)
 
 
