@@ -5,6 +5,7 @@ import re
 
 from edge_rows import LONG, edge_documents, no_documents
 
+from tidecube.llm import fuzzy_lines
 from tidecube.llm.fuzzy_lines import SHINGLE, deduplicated_lines, line_classes, linked_lines
 
 
@@ -83,6 +84,16 @@ def test_one_changed_character_in_an_ordinary_line(spark):
     assert {i for i, d in brute_force(docs).items() if d} == {1, 2, 3, 12}
 
 
+def test_lines_that_are_no_candidates_go_before_the_shuffle(spark, monkeypatch):
+    nodes = spark.range(40000).selectExpr("unhex(md5(cast(id as string))) AS node", "id")
+    wanted = nodes.filter("id % 20 = 0").select("node")
+    for most in (fuzzy_lines.MOST_MAPS, 1):
+        monkeypatch.setattr(fuzzy_lines, "MOST_MAPS", most)
+        kept = {r.id for r in fuzzy_lines._perhaps(nodes, wanted).collect()}
+        assert kept >= set(range(0, 40000, 20)) and len(kept) < (5000 if most > 1 else 8000)
+    assert fuzzy_lines._perhaps(nodes, wanted.limit(0)).count() == 0
+
+
 def test_no_python_in_the_plan(spark, capsys):
     df = spark.createDataFrame(fixture()[:5], "doc_id long, text string")
     for result in (line_classes(df), linked_lines(df)):

@@ -26,6 +26,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 14
 ROWS = 5
+MAP_BITS = 1 << 15  # of a bitmap, which Spark's functions fix
+MOST_MAPS = 1 << 13  # 32 megabytes
 _UNITS = 2  # bytes of a UTF-16 code unit, the characters of shingles
 
 
@@ -135,7 +137,7 @@ def _linked(docs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
     # Written first, so that its size is known: below Spark's threshold no text is shuffled.
     wanted = written(members.select("node").distinct(), "wanted")
     texts = written(
-        lines.join(wanted, "node", "left_semi").distinct()
+        _perhaps(lines, wanted).join(wanted, "node", "left_semi").distinct()
         .withColumn("n", F.size(F.array_distinct(_hashes(F.col("line"))))),
         "texts",
     )
@@ -148,6 +150,25 @@ def _linked(docs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
     return components(links.union(more))
 
 
+def _perhaps(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``node`` is wanted and a few others, so that no more of them are shuffled.
+
+    Bitmaps of the hashes of what is wanted are broadcast, 16 to 32 bits for a node up to a bound;
+    beyond that more of the others stay.
+    """
+    maps, bits = 1, 16 * wanted.count()
+    while maps < MOST_MAPS and maps * MAP_BITS < bits:
+        maps *= 2
+    spot = F.pmod(F.xxhash64("node"), F.lit(maps * MAP_BITS))
+    in_map = F.pmod(spot, F.lit(MAP_BITS))
+    number = F.shiftright(spot, MAP_BITS.bit_length() - 1)
+    bitmaps = wanted.groupBy(number.alias("_map")).agg(F.bitmap_construct_agg(in_map).alias("_bits"))
+    byte = F.substring("_bits", F.shiftright(in_map, 3).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(in_map, F.lit(8)).cast("int"))
+    found = rows.withColumn("_map", number).join(F.broadcast(bitmaps), "_map").filter(bit == 1)
+    return found.select(rows.columns)
+
+
 def _across(
     members: DataFrame, texts: DataFrame, roots: DataFrame, threshold: float
 ) -> DataFrame:
