@@ -4,6 +4,7 @@ import random
 import re
 
 from edge_rows import LONG, edge_documents, no_documents
+from pyspark.sql import functions as F
 
 from tidecube.llm import fuzzy_lines
 from tidecube.llm.fuzzy_lines import SHINGLE, deduplicated_lines, line_classes, linked_lines
@@ -94,6 +95,55 @@ def test_lines_that_are_no_candidates_go_before_the_shuffle(spark, monkeypatch):
     assert fuzzy_lines._perhaps(nodes, wanted.limit(0)).count() == 0
 
 
+def test_candidates_are_let_through_before_they_are_joined(spark):
+    """Spark moves a semi-join below the bitmaps; then all lines were shuffled for it."""
+    lines = spark.range(3000).selectExpr("unhex(md5(cast(id as string))) AS node", "string(id) AS line")
+    wanted = lines.filter("line like '%7'").select("node")
+    found = fuzzy_lines._fetched(lines, wanted)
+    assert {r.line for r in found.collect()} == {str(i) for i in range(7, 3000, 10)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    outer, inner = (x for x in plan.splitlines() if "Join" in x)
+    assert "_map" in inner and "_map" not in outer
+
+
+def test_sketches_rule_out_no_similar_lines(spark):
+    """Most lines that are not similar need no comparison of their shingles."""
+    r = random.Random(5)
+    kinds = []
+    for base in lines(7, 12):
+        for changes in (0, 1, 1, 2, 4, 6, 9, 14):
+            places = r.sample(range(len(base)), changes)
+            kinds.append("".join("#" if k in places else c for k, c in enumerate(base)))
+    sets = [{x[i : i + SHINGLE] for i in range(len(x) - SHINGLE + 1)} for x in kinds]
+    rows = [(i, x, len(s), 0 if i % 8 == 7 else 99) for i, (x, s) in enumerate(zip(kinds, sets))]
+    texts = spark.createDataFrame(rows, "node long, line string, n int, neighbours long")
+    told = fuzzy_lines._sketched(texts).cache()
+    assert {x.node for x in told.collect() if x.sketch} == {i for i, *_ in rows if i % 8 != 7}
+    left = told.alias("x").join(
+        told.alias("y"), (F.col("x.node") < F.col("y.node")) & fuzzy_lines._perhaps_alike("x", "y", 0.8)
+    ).select("x.node", "y.node").collect()
+    left = {tuple(x) for x in left}
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    pairs = [(a, b) for b in range(len(sets)) for a in range(b)]
+    similar = {p for p in pairs if alike(*p) >= 0.8}
+    assert len(similar) > 40 and similar <= left
+    assert {p for p in pairs if 7 in (p[0] % 8, p[1] % 8)} <= left
+    others = [p for p in pairs if 7 not in (p[0] % 8, p[1] % 8) and alike(*p) < 0.65]
+    assert len(others) > 2500 and len(left & set(others)) < len(others) / 20
+
+
+def test_points_are_found_from_any_stride(spark, monkeypatch):
+    texts = [x[:k] for k, x in zip((4, 5, 6, 12, 30, 60, 90, 200), lines(3, 8))]
+    texts += [" ".join(lines(4, 9)), "aaaaaaaaaaaa", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "node long, line string")
+    seen = []
+    for stride in (fuzzy_lines.BANDS * fuzzy_lines.ROWS, fuzzy_lines.STRIDE, 9):
+        monkeypatch.setattr(fuzzy_lines, "STRIDE", stride)
+        seen.append({x.node: x["keys"] for x in fuzzy_lines._keyed(df).collect()})
+    assert seen[0] == seen[1] == seen[2] and seen[0][0] is None and seen[0][10] is None
+    assert all(len(seen[0][i]) == fuzzy_lines.BANDS for i in range(1, 10))
+
+
 def test_no_python_in_the_plan(spark, capsys):
     df = spark.createDataFrame(fixture()[:5], "doc_id long, text string")
     for result in (line_classes(df), linked_lines(df)):

@@ -26,8 +26,11 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 14
 ROWS = 5
+STRIDE = 14  # points of the ring that are looked for together
 MAP_BITS = 1 << 15  # of a bitmap, which Spark's functions fix
 MOST_MAPS = 1 << 13  # 32 megabytes
+WORDS = 32  # of 64 bits in a line's sketch
+SKETCHED = 16  # places in buckets that a line's neighbours fill, from which on it gets a sketch
 _UNITS = 2  # bytes of a UTF-16 code unit, the characters of shingles
 
 
@@ -68,9 +71,24 @@ def _keyed(lines: DataFrame) -> DataFrame:
     hashed = lines.select(*others, F.sort_array(_hashes(F.col("line"))).alias("_set"))
     merged = hashed.select("*", F.sort_array(F.concat("_set", ring)).alias("_merged"))
 
+    # Points are looked for from the last of every STRIDE points on, not from the first hash on.
+    starts = range(0, len(points), STRIDE)
+    found = [F.array_position("_merged", F.lit(points[k]).cast("long")).cast("int") for k in starts]
+    found = merged.select("*", *[at.alias(f"_at{k}") for k, at in zip(starts, found)])
+    ends = [F.col(f"_at{k}") for k in starts[1:]] + [F.size("_merged") + 1]
+    parted = found.select(
+        *others, "_set", *[f"_at{k}" for k in starts],
+        *[
+            F.slice("_merged", F.col(f"_at{k}"), end - F.col(f"_at{k}")).alias(f"_from{k}")
+            for k, end in zip(starts, ends)
+        ],
+    )
+
     def value(k: int) -> Column:
         # The point's place among the hashes and k earlier points; after the last comes the first.
-        place = F.array_position("_merged", F.lit(points[k]).cast("long")) - F.lit(k + 1)
+        first = k - k % STRIDE
+        within = F.array_position(f"_from{first}", F.lit(points[k]).cast("long"))
+        place = F.col(f"_at{first}") + within - F.lit(k + 2)
         return F.get("_set", F.pmod(place, F.size("_set")).cast("int"))
 
     # A band's points lie apart, so that they rarely fall on the same hash.
@@ -80,7 +98,7 @@ def _keyed(lines: DataFrame) -> DataFrame:
     # A lambda beside them lets the keys be compiled in small methods instead of a single huge one;
     # inside a lambda they would not be compiled at all.
     some = F.exists(F.array(F.size("_set")), lambda n: n > 0)
-    return merged.select(*others, F.when(some, F.array(*bands)).alias("keys"))
+    return parted.select(*others, F.when(some, F.array(*bands)).alias("keys"))
 
 
 def _reached(common: Column, sizes: Column, threshold: float) -> Column:
@@ -99,6 +117,35 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return told.filter(_reached(common, F.col("_m") + F.col("_n"), threshold)).select("a", "b")
 
 
+def _sketched(texts: DataFrame) -> DataFrame:
+    """The rows with ``sketch``, bits of the hashes of ``line``; null for lines of few neighbours.
+
+    To make a sketch takes as long as a few comparisons.
+    """
+    # Dealt by node as texts, which are smaller than the words.
+    many = texts.filter(F.col("neighbours") >= SKETCHED).select("node", "line").repartition("node")
+    slots = many.select("node", F.explode(_hashes(F.col("line"))).alias("_h"))
+    number = F.pmod(F.shiftright("_h", 6), F.lit(WORDS)).cast("int")
+    bit = F.expr("shiftleft(1L, cast(_h & 63 AS int))")
+    words = slots.groupBy("node", number.alias("_number")).agg(F.bit_or(bit).alias("_word"))
+    each = [F.max(F.when(F.col("_number") == k, F.col("_word"))) for k in range(WORDS)]
+    each = [F.coalesce(word, F.lit(0).cast("long")) for word in each]
+    return texts.join(words.groupBy("node").agg(F.array(*each).alias("sketch")), "node", "left")
+
+
+def _perhaps_alike(x: str, y: str, threshold: float) -> Column:
+    """Whether sketches leave it open that two lines are similar.
+
+    A bit that only one line has stands for a hash that only this line has, so that the bits that
+    differ are no more than the hashes that do. Similar lines always pass.
+    """
+    each = F.zip_with(f"{x}.sketch", f"{y}.sketch", lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    differing = F.aggregate(each, F.lit(0), lambda total, bits: total + bits)
+    sizes = F.col(f"{x}.n") + F.col(f"{y}.n")
+    # A method for all words at once would be too large for the JVM to compile.
+    return F.coalesce(_reached((sizes - differing) / 2, sizes, threshold), F.lit(True))
+
+
 def linked_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows (node, root) of the distinct lines that are linked with others."""
     return _linked(docs, written(_keyed(_numbered(docs)), "lines"), threshold)
@@ -129,7 +176,8 @@ def _linked(docs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
         placed.groupBy("bucket").agg(F.min(half).alias("x"), F.max(half).alias("y"))
         .filter(F.col("x") < F.col("y")).select("bucket")
     )
-    members = written(placed.join(several, "bucket"), "members")
+    # Few buckets hold several lines: they fit a hash table, which spares sorting all keys.
+    members = written(placed.join(several.hint("shuffle_hash"), "bucket"), "members")
     firsts = members.groupBy("bucket").agg(F.min("node").alias("first"))
     lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line"))
     lines = lines.select(normalised(F.col("line")).alias("line"))
@@ -137,7 +185,7 @@ def _linked(docs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
     # Written first, so that its size is known: below Spark's threshold no text is shuffled.
     wanted = written(members.select("node").distinct(), "wanted")
     texts = written(
-        _perhaps(lines, wanted).join(wanted, "node", "left_semi").distinct()
+        _fetched(lines, wanted).distinct()
         .withColumn("n", F.size(F.array_distinct(_hashes(F.col("line"))))),
         "texts",
     )
@@ -150,6 +198,14 @@ def _linked(docs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
     return components(links.union(more))
 
 
+def _fetched(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The lines whose ``node`` is one of ``wanted``, which holds each once, with its columns.
+
+    Not a semi-join, as Spark would move that below the bitmaps and shuffle all lines for it.
+    """
+    return _perhaps(lines, wanted).join(wanted, "node")
+
+
 def _perhaps(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows whose ``node`` is wanted and a few others, so that no more of them are shuffled.
 
@@ -174,8 +230,9 @@ def _across(
 ) -> DataFrame:
     """Links (a, b) between lines of a bucket that are still in different components.
 
-    The test is part of the join's condition, so that only links become rows. It first asks
-    whether an earlier bucket holds both lines, and only then compares their shingle sets.
+    Sketches are the join's condition and rule out most pairs, whose number grows with the square
+    of a bucket's lines, before they are rows. A pair that an earlier bucket holds is left to that
+    bucket. Texts are fetched for the other pairs alone, not for each bucket of a line.
     """
     placed = members.select("bucket", "node", "first").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
@@ -183,25 +240,32 @@ def _across(
     # Every line has been compared with the first one of its buckets.
     rest = placed.filter(F.col("node") != F.col("first")).select("bucket", "node", "root")
     several = (
-        rest.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-        .filter(F.col("x") < F.col("y")).select("bucket")
+        rest.groupBy("bucket").agg(
+            F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("lines")
+        )
+        .filter(F.col("x") < F.col("y")).select("bucket", "lines")
     )
     rest = written(rest.join(several, "bucket"), "open")
-    shared = rest.groupBy("node").agg(F.sort_array(F.collect_set("bucket")).alias("keys"))
-    # Rows carry the line, a tenth of its set of hashes in size.
-    every = rest.join(written(texts.join(shared, "node"), "open"), "node")
+    shared = written(
+        rest.groupBy("node").agg(
+            F.sort_array(F.collect_set("bucket")).alias("keys"),
+            F.sum(F.col("lines") - 1).alias("neighbours"),
+        ),
+        "open",
+    )
+    opened = written(_fetched(texts, shared), "open")
+    every = rest.join(written(_sketched(opened).drop("line"), "open"), "node")
     first_shared = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.bucket")
     near = F.least("x.n", "y.n") >= F.lit(threshold) * F.greatest("x.n", "y.n") - 1e-9
-    common = F.size(F.array_intersect(_hashes(F.col("x.line")), _hashes(F.col("y.line"))))
-    alike = _reached(common, F.col("x.n") + F.col("y.n"), threshold)
-    return every.alias("x").join(
+    pairs = every.alias("x").join(
         every.alias("y"),
         (F.col("x.bucket") == F.col("y.bucket"))
         & (F.col("x.root") < F.col("y.root"))
         & near
-        & first_shared
-        & alike,
+        & _perhaps_alike("x", "y", threshold)
+        & first_shared,
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    return _verified(pairs, opened, threshold)
 
 
 def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
