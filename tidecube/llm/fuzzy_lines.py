@@ -230,9 +230,9 @@ def _across(
 ) -> DataFrame:
     """Links (a, b) between lines of a bucket that are still in different components.
 
-    Sketches are the join's condition and rule out most pairs, whose number grows with the square
-    of a bucket's lines, before they are rows. A pair that an earlier bucket holds is left to that
-    bucket. Texts are fetched for the other pairs alone, not for each bucket of a line.
+    The test is part of the join's condition, so that only links become rows. Sketches rule out
+    most pairs, whose number grows with the square of a bucket's lines. Of the others it first
+    asks whether an earlier bucket holds both lines, and only then compares their shingle sets.
     """
     placed = members.select("bucket", "node", "first").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
@@ -254,18 +254,21 @@ def _across(
         "open",
     )
     opened = written(_fetched(texts, shared), "open")
-    every = rest.join(written(_sketched(opened).drop("line"), "open"), "node")
+    # Rows carry the line, a tenth of its set of hashes in size.
+    every = rest.join(written(_sketched(opened), "open"), "node")
     first_shared = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.bucket")
     near = F.least("x.n", "y.n") >= F.lit(threshold) * F.greatest("x.n", "y.n") - 1e-9
-    pairs = every.alias("x").join(
+    common = F.size(F.array_intersect(_hashes(F.col("x.line")), _hashes(F.col("y.line"))))
+    alike = _reached(common, F.col("x.n") + F.col("y.n"), threshold)
+    return every.alias("x").join(
         every.alias("y"),
         (F.col("x.bucket") == F.col("y.bucket"))
         & (F.col("x.root") < F.col("y.root"))
         & near
         & _perhaps_alike("x", "y", threshold)
-        & first_shared,
+        & first_shared
+        & alike,
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    return _verified(pairs, opened, threshold)
 
 
 def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
